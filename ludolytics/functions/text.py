@@ -43,4 +43,5 @@ def excerpt(text: Column, max_chars: int = 300) -> Column:
 
 def strip_fences(text: Column) -> Column:
     """Removes the Markdown fences around a JSON answer."""
-    return F.trim(F.regexp_replace(text, r"```(?:json)?\s*", ""))
+    bare = F.regexp_replace(text, r"```(?:json)?\s*", "")
+    return F.regexp_replace(bare, r"^\s+|\s+$", "")

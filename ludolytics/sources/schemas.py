@@ -9,9 +9,22 @@ from dataclasses import dataclass
 
 from pyspark.sql import types as T
 
+TEXT = T.StringType()
+INT = T.IntegerType()
+LONG = T.LongType()
+REAL = T.DoubleType()
+FLAG = T.BooleanType()
+DATE = T.DateType()
+TIME = T.TimestampNTZType()
+TEXTS = T.ArrayType(TEXT)
 
-def struct(ddl: str) -> T.StructType:
-    return T.StructType.fromDDL(ddl)
+
+def struct(**fields: T.DataType) -> T.StructType:
+    return T.StructType([T.StructField(name, kind) for name, kind in fields.items()])
+
+
+def fields(schema: T.StructType) -> dict[str, T.DataType]:
+    return {f.name: f.dataType for f in schema.fields}
 
 
 # ---- topics ---------------------------------------------------------------
@@ -25,89 +38,174 @@ TOPICS = {
 }
 
 PLAYER_MESSAGE = struct(
-    "steamid string, personaname string, profileurl string, avatar string, "
-    "avatarmedium string, avatarfull string, personastate int, "
-    "communityvisibilitystate int, profilestate int, lastlogoff bigint, "
-    "commentpermission int, realname string, primaryclanid string, timecreated bigint, "
-    "gameid string, gameserverip string, gameextrainfo string, loccountrycode string, "
-    "locstatecode string, loccityid int, fetched_at string, source string"
+    steamid=TEXT,
+    personaname=TEXT,
+    profileurl=TEXT,
+    avatar=TEXT,
+    avatarmedium=TEXT,
+    avatarfull=TEXT,
+    personastate=INT,
+    communityvisibilitystate=INT,
+    profilestate=INT,
+    lastlogoff=LONG,
+    commentpermission=INT,
+    realname=TEXT,
+    primaryclanid=TEXT,
+    timecreated=LONG,
+    gameid=TEXT,
+    gameserverip=TEXT,
+    gameextrainfo=TEXT,
+    loccountrycode=TEXT,
+    locstatecode=TEXT,
+    loccityid=INT,
+    fetched_at=TEXT,
+    source=TEXT,
 )
 
 GAME_MESSAGE = struct(
-    "steamid string, appid int, name string, playtime_forever int, img_icon_url string, "
-    "img_logo_url string, playtime_windows_forever int, playtime_mac_forever int, "
-    "playtime_linux_forever int, playtime_deck_forever int, rtime_last_played bigint, "
-    "playtime_disconnected int, fetched_at string, source string"
+    steamid=TEXT,
+    appid=INT,
+    name=TEXT,
+    playtime_forever=INT,
+    img_icon_url=TEXT,
+    img_logo_url=TEXT,
+    playtime_windows_forever=INT,
+    playtime_mac_forever=INT,
+    playtime_linux_forever=INT,
+    playtime_deck_forever=INT,
+    rtime_last_played=LONG,
+    playtime_disconnected=INT,
+    fetched_at=TEXT,
+    source=TEXT,
 )
 
 STATS_MESSAGE = struct(
-    "steamid string, appid int, name string, playtime_2weeks int, playtime_forever int, "
-    "img_icon_url string, img_logo_url string, playtime_windows_forever int, "
-    "playtime_mac_forever int, playtime_linux_forever int, playtime_deck_forever int, "
-    "rtime_last_played bigint, data_type string, fetched_at string, source string"
+    steamid=TEXT,
+    appid=INT,
+    name=TEXT,
+    playtime_2weeks=INT,
+    playtime_forever=INT,
+    img_icon_url=TEXT,
+    img_logo_url=TEXT,
+    playtime_windows_forever=INT,
+    playtime_mac_forever=INT,
+    playtime_linux_forever=INT,
+    playtime_deck_forever=INT,
+    rtime_last_played=LONG,
+    data_type=TEXT,
+    fetched_at=TEXT,
+    source=TEXT,
 )
 
 # Prices arrive as numbers or as text; read as text so that neither form is lost.
 GAME_INFO_MESSAGE = struct(
-    "appid int, name string, developer string, publisher string, owners string, "
-    "owners_variance string, players_forever int, players_2weeks int, average_forever int, "
-    "average_2weeks int, median_forever int, median_2weeks int, ccu int, price string, "
-    "initialprice string, discount string, languages string, genre string, "
-    "tags map<string,int>, positive int, negative int, fetched_at string, source string"
+    appid=INT,
+    name=TEXT,
+    developer=TEXT,
+    publisher=TEXT,
+    owners=TEXT,
+    owners_variance=TEXT,
+    players_forever=INT,
+    players_2weeks=INT,
+    average_forever=INT,
+    average_2weeks=INT,
+    median_forever=INT,
+    median_2weeks=INT,
+    ccu=INT,
+    price=TEXT,
+    initialprice=TEXT,
+    discount=TEXT,
+    languages=TEXT,
+    genre=TEXT,
+    tags=T.MapType(TEXT, INT),
+    positive=INT,
+    negative=INT,
+    fetched_at=TEXT,
+    source=TEXT,
 )
 
 # ---- landed documents -----------------------------------------------------
 
 REVIEW_PAGE = struct(
-    "success int, cursor string, reviews array<struct<recommendationid string, "
-    "author struct<steamid string, playtime_forever int, playtime_at_review int>, "
-    "voted_up boolean, votes_up int, votes_funny int, weighted_vote_score double, "
-    "review string, timestamp_created bigint, timestamp_updated bigint, language string, "
-    "comment_count int, steam_purchase boolean, received_for_free boolean>>"
+    success=INT,
+    cursor=TEXT,
+    reviews=T.ArrayType(
+        struct(
+            recommendationid=TEXT,
+            author=struct(steamid=TEXT, playtime_forever=INT, playtime_at_review=INT),
+            voted_up=FLAG,
+            votes_up=INT,
+            votes_funny=INT,
+            weighted_vote_score=REAL,
+            review=TEXT,
+            timestamp_created=LONG,
+            timestamp_updated=LONG,
+            language=TEXT,
+            comment_count=INT,
+            steam_purchase=FLAG,
+            received_for_free=FLAG,
+        )
+    ),
 )
 
 REVIEW_SUMMARY = struct(
-    "success int, query_summary struct<review_score int, review_score_desc string, "
-    "total_positive int, total_negative int, total_reviews int>"
+    success=INT,
+    query_summary=struct(
+        review_score=INT,
+        review_score_desc=TEXT,
+        total_positive=INT,
+        total_negative=INT,
+        total_reviews=INT,
+    ),
 )
 
+_DESCRIBED = T.ArrayType(struct(description=TEXT))
+
 STORE_DETAILS = T.MapType(
-    T.StringType(),
+    TEXT,
     struct(
-        "success boolean, data struct<name string, type string, required_age int, "
-        "is_free boolean, detailed_description string, short_description string, "
-        "about_the_game string, supported_languages string, header_image string, "
-        "website string, developers array<string>, publishers array<string>, "
-        "categories array<struct<description string>>, "
-        "genres array<struct<description string>>, "
-        "release_date struct<date string, coming_soon boolean>, "
-        "metacritic struct<score int, url string>, recommendations struct<total int>, "
-        "achievements struct<total int>, price_overview string>"
+        success=FLAG,
+        data=struct(
+            name=TEXT,
+            type=TEXT,
+            required_age=INT,
+            is_free=FLAG,
+            detailed_description=TEXT,
+            short_description=TEXT,
+            about_the_game=TEXT,
+            supported_languages=TEXT,
+            header_image=TEXT,
+            website=TEXT,
+            developers=TEXTS,
+            publishers=TEXTS,
+            categories=_DESCRIBED,
+            genres=_DESCRIBED,
+            release_date=struct(date=TEXT, coming_soon=FLAG),
+            metacritic=struct(score=INT, url=TEXT),
+            recommendations=struct(total=INT),
+            achievements=struct(total=INT),
+            price_overview=TEXT,
+        ),
     ),
 )
 
-RANKING_LIST = T.MapType(T.StringType(), GAME_INFO_MESSAGE)
+RANKING_LIST = T.MapType(TEXT, GAME_INFO_MESSAGE)
 
-PLAYER_SUMMARIES = T.StructType(
-    [T.StructField("response", T.StructType([T.StructField("players", T.ArrayType(PLAYER_MESSAGE))]))]
-)
+PLAYER_SUMMARIES = struct(response=struct(players=T.ArrayType(PLAYER_MESSAGE)))
 
 
 def owned_games(game: T.StructType) -> T.StructType:
     """The answer that lists the owned or recently played games of one player."""
-    response = T.StructType(
-        [T.StructField("game_count", T.IntegerType()), T.StructField("games", T.ArrayType(game))]
-    )
-    return T.StructType([T.StructField("response", response)])
+    return struct(response=struct(game_count=INT, games=T.ArrayType(game)))
 
 
-LIVE_COUNT = struct("response struct<result int, player_count int>")
+LIVE_COUNT = struct(response=struct(result=INT, player_count=INT))
 
-RECOMMENDATIONS = struct("recommendations array<struct<name string, reason string>>")
+RECOMMENDATIONS = struct(recommendations=T.ArrayType(struct(name=TEXT, reason=TEXT)))
 
 # ---- tables ---------------------------------------------------------------
 
-_STAMPS = ", inserted_at timestamp_ntz, updated_at timestamp_ntz"
+_STAMPS = {"inserted_at": TIME, "updated_at": TIME}
 
 
 @dataclass(frozen=True)
@@ -120,23 +218,12 @@ class Table:
     update_cols: tuple[str, ...] | None = None
 
 
-def _stored(message: T.StructType, **changed: str) -> str:
-    """The columns of a message as stored, with the given types replaced."""
-    return ", ".join(
-        f"{f.name} {changed.get(f.name, f.dataType.simpleString())}" for f in message.fields
-    )
-
-
 PLAYERS = Table(
     "PLAYERS",
     struct(
-        _stored(
-            PLAYER_MESSAGE,
-            lastlogoff="timestamp_ntz",
-            timecreated="timestamp_ntz",
-            fetched_at="timestamp_ntz",
-        )
-        + _STAMPS
+        **fields(PLAYER_MESSAGE)
+        | {"lastlogoff": TIME, "timecreated": TIME, "fetched_at": TIME}
+        | _STAMPS
     ),
     ("steamid",),
 )
@@ -144,9 +231,8 @@ PLAYERS = Table(
 GAMES = Table(
     "GAMES",
     struct(
-        "game_id string, "
-        + _stored(GAME_MESSAGE, rtime_last_played="timestamp_ntz", fetched_at="timestamp_ntz")
-        + _STAMPS
+        game_id=TEXT,
+        **fields(GAME_MESSAGE) | {"rtime_last_played": TIME, "fetched_at": TIME} | _STAMPS,
     ),
     ("game_id",),
 )
@@ -154,9 +240,8 @@ GAMES = Table(
 PLAYER_STATS = Table(
     "PLAYER_STATS",
     struct(
-        "stat_id string, "
-        + _stored(STATS_MESSAGE, rtime_last_played="timestamp_ntz", fetched_at="timestamp_ntz")
-        + _STAMPS
+        stat_id=TEXT,
+        **fields(STATS_MESSAGE) | {"rtime_last_played": TIME, "fetched_at": TIME} | _STAMPS,
     ),
     ("stat_id",),
 )
@@ -164,14 +249,9 @@ PLAYER_STATS = Table(
 GAME_INFO = Table(
     "GAME_INFO",
     struct(
-        _stored(
-            GAME_INFO_MESSAGE,
-            price="int",
-            initialprice="int",
-            discount="int",
-            fetched_at="timestamp_ntz",
-        )
-        + _STAMPS
+        **fields(GAME_INFO_MESSAGE)
+        | {"price": INT, "initialprice": INT, "discount": INT, "fetched_at": TIME}
+        | _STAMPS
     ),
     ("appid",),
 )
@@ -179,12 +259,27 @@ GAME_INFO = Table(
 GAME_REVIEWS = Table(
     "GAME_REVIEWS",
     struct(
-        "review_id string, appid int, game_name string, recommendationid string, "
-        "steamid string, playtime_forever int, playtime_at_review int, voted_up boolean, "
-        "votes_up int, votes_funny int, weighted_vote_score double, review_text string, "
-        "timestamp_created timestamp_ntz, timestamp_updated timestamp_ntz, language string, "
-        "comment_count int, steam_purchase boolean, received_for_free boolean, "
-        "fetched_at timestamp_ntz, source string" + _STAMPS
+        review_id=TEXT,
+        appid=INT,
+        game_name=TEXT,
+        recommendationid=TEXT,
+        steamid=TEXT,
+        playtime_forever=INT,
+        playtime_at_review=INT,
+        voted_up=FLAG,
+        votes_up=INT,
+        votes_funny=INT,
+        weighted_vote_score=REAL,
+        review_text=TEXT,
+        timestamp_created=TIME,
+        timestamp_updated=TIME,
+        language=TEXT,
+        comment_count=INT,
+        steam_purchase=FLAG,
+        received_for_free=FLAG,
+        fetched_at=TIME,
+        source=TEXT,
+        **_STAMPS,
     ),
     ("review_id",),
     # What a repeated review updates; its text and vote stay as first seen.
@@ -201,14 +296,31 @@ GAME_REVIEWS = Table(
 GAME_DETAILS = Table(
     "GAME_DETAILS",
     struct(
-        "appid int, name string, type string, required_age int, is_free boolean, "
-        "detailed_description string, short_description string, about_the_game string, "
-        "supported_languages string, header_image string, website string, "
-        "developers array<string>, publishers array<string>, categories array<string>, "
-        "genres array<string>, release_date string, coming_soon boolean, "
-        "metacritic_score int, metacritic_url string, recommendations_total int, "
-        "achievements_total int, price_overview string, fetched_at timestamp_ntz, "
-        "source string" + _STAMPS
+        appid=INT,
+        name=TEXT,
+        type=TEXT,
+        required_age=INT,
+        is_free=FLAG,
+        detailed_description=TEXT,
+        short_description=TEXT,
+        about_the_game=TEXT,
+        supported_languages=TEXT,
+        header_image=TEXT,
+        website=TEXT,
+        developers=TEXTS,
+        publishers=TEXTS,
+        categories=TEXTS,
+        genres=TEXTS,
+        release_date=TEXT,
+        coming_soon=FLAG,
+        metacritic_score=INT,
+        metacritic_url=TEXT,
+        recommendations_total=INT,
+        achievements_total=INT,
+        price_overview=TEXT,
+        fetched_at=TIME,
+        source=TEXT,
+        **_STAMPS,
     ),
     ("appid",),
     # What a repeated document updates.
@@ -227,8 +339,13 @@ GAME_DETAILS = Table(
 GAME_PLAYER_COUNTS = Table(
     "GAME_PLAYER_COUNTS",
     struct(
-        "record_id string, appid int, game_name string, live_player_count int, "
-        "fetched_at timestamp_ntz, source string, inserted_at timestamp_ntz"
+        record_id=TEXT,
+        appid=INT,
+        game_name=TEXT,
+        live_player_count=INT,
+        fetched_at=TIME,
+        source=TEXT,
+        inserted_at=TIME,
     ),
     ("record_id",),
 )
@@ -236,9 +353,16 @@ GAME_PLAYER_COUNTS = Table(
 REVIEW_SENTIMENTS = Table(
     "REVIEW_SENTIMENTS",
     struct(
-        "review_id string, appid int, game_name string, sentiment_compound double, "
-        "sentiment_positive double, sentiment_negative double, sentiment_neutral double, "
-        "sentiment_label string, review_length int, processed_at timestamp_ntz"
+        review_id=TEXT,
+        appid=INT,
+        game_name=TEXT,
+        sentiment_compound=REAL,
+        sentiment_positive=REAL,
+        sentiment_negative=REAL,
+        sentiment_neutral=REAL,
+        sentiment_label=TEXT,
+        review_length=INT,
+        processed_at=TIME,
     ),
     ("review_id",),
 )
@@ -246,11 +370,18 @@ REVIEW_SENTIMENTS = Table(
 GAME_SENTIMENT_ANALYSIS = Table(
     "GAME_SENTIMENT_ANALYSIS",
     struct(
-        "appid int, game_name string, analysis_date date, total_reviews_analyzed int, "
-        "avg_sentiment_compound double, avg_sentiment_positive double, "
-        "avg_sentiment_negative double, positive_review_pct double, "
-        "negative_review_pct double, neutral_review_pct double, sentiment_score double, "
-        "processed_at timestamp_ntz"
+        appid=INT,
+        game_name=TEXT,
+        analysis_date=DATE,
+        total_reviews_analyzed=INT,
+        avg_sentiment_compound=REAL,
+        avg_sentiment_positive=REAL,
+        avg_sentiment_negative=REAL,
+        positive_review_pct=REAL,
+        negative_review_pct=REAL,
+        neutral_review_pct=REAL,
+        sentiment_score=REAL,
+        processed_at=TIME,
     ),
     ("appid", "analysis_date"),
 )
@@ -258,19 +389,21 @@ GAME_SENTIMENT_ANALYSIS = Table(
 SENTIMENT_TRENDS = Table(
     "SENTIMENT_TRENDS",
     struct(
-        "trend_date date, category string, appid int, game_name string, "
-        "sentiment_score double, review_count int, rank_in_category int, "
-        "processed_at timestamp_ntz"
+        trend_date=DATE,
+        category=TEXT,
+        appid=INT,
+        game_name=TEXT,
+        sentiment_score=REAL,
+        review_count=INT,
+        rank_in_category=INT,
+        processed_at=TIME,
     ),
     ("trend_date", "category", "appid"),
 )
 
 POPULAR_GAMES_HISTORICAL = Table(
     "POPULAR_GAMES_HISTORICAL",
-    struct(
-        "fetched_at timestamp_ntz, appid int, game_name string, live_player_count int, "
-        "ranking int"
-    ),
+    struct(fetched_at=TIME, appid=INT, game_name=TEXT, live_player_count=INT, ranking=INT),
     ("fetched_at", "appid"),
 )
 

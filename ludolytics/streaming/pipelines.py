@@ -122,8 +122,13 @@ def start_drain(
 LATEST_COUNTS = S.Table(
     "LATEST_PLAYER_COUNTS",
     S.struct(
-        "appid int, game_name string, live_player_count int, fetched_at timestamp_ntz, "
-        "source string, inserted_at timestamp_ntz, updated_at timestamp_ntz"
+        appid=S.INT,
+        game_name=S.TEXT,
+        live_player_count=S.INT,
+        fetched_at=S.TIME,
+        source=S.TEXT,
+        inserted_at=S.TIME,
+        updated_at=S.TIME,
     ),
     ("appid",),
 )
