@@ -13,8 +13,10 @@ LETTERS = r"\p{L}\p{N}_"
 SPACES = r"\s\x0B\x1C-\x1F\x85\p{Z}"
 
 URL = rf"http[^{SPACES}]+|www[^{SPACES}]+"
-UNWANTED = rf"[^{LETTERS}{SPACES}.,!?'\"-]"
-SPACE_RUN = rf"[{SPACES}]+"
+KEPT = LETTERS + """.,!?'"-"""
+# What becomes one blank: a run of other characters, but not a single blank, which is
+# the usual case and need not be replaced by itself.
+GAP = rf"[^{KEPT}]{{2,}}|[^ {KEPT}]"
 WORD = rf"[{LETTERS}]+(?:['-][{LETTERS}]+)*"
 
 
@@ -25,8 +27,7 @@ def clean_text(text: Column, max_chars: int | None = None) -> Column:
     """
     lowered = F.lower(F.coalesce(text, F.lit("")))
     without_links = F.regexp_replace(lowered, URL, "")
-    plain = F.regexp_replace(without_links, UNWANTED, " ")
-    cleaned = F.trim(F.regexp_replace(plain, SPACE_RUN, " "))
+    cleaned = F.trim(F.regexp_replace(without_links, GAP, " "))
     return cleaned if max_chars is None else F.substring(cleaned, 1, max_chars)
 
 

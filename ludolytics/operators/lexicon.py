@@ -12,6 +12,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ludolytics.functions import words
+from ludolytics.operators.sides import broadcast_if_small
+
+# A word and its valence take well under 100 bytes, so this is a broadcast below 100 MB.
+MAX_BROADCAST_WORDS = 1_000_000
 
 # The normalisation constant, and the label thresholds (inclusive).
 ALPHA = 15.0
@@ -41,6 +45,9 @@ NEGATING = (
 # Valences are summed as whole numbers of this unit, so the order of the sum is free.
 _UNIT = 100_000_000
 
+# Stands for "this text exists"; no word contains a blank.
+_MARK = "a text"
+
 
 def _intensity(word: Column) -> Column:
     return F.when(word.isin(*STRENGTHENING), F.lit(INTENSITY)).when(
@@ -61,59 +68,77 @@ def score_texts(
 ) -> DataFrame:
     """compound, positive, negative and neutral share of each text, with its label.
 
-    id_cols identify a text and are carried along. Words meet the lexicon in an
-    equi-join (the lexicon is a small table, so Spark broadcasts it by its size);
-    the aggregate then shrinks each text to one row before the only shuffle.
+    id_cols identify a text and are carried along. Words meet the lexicon in an inner
+    equi-join (broadcast while the lexicon is small), which drops the many words without
+    a valence before anything is computed on them. Every text also sends one mark that
+    the lexicon side holds, so a text without any match stays. The aggregate then
+    shrinks a text to one row before the only shuffle.
+    Texts of length 0 are dropped, at the end: as a condition on the text the filter
+    would be pushed down to the scan and clean every text twice.
     With in_context, the three preceding words intensify or negate a word. They come
     from shifted copies of the word array, which needs no window over the words.
     """
-    listed = texts.select(*id_cols, words(F.col(text_col)).alias("w0"))
-    gap = F.array(F.lit(None).cast("string"))
-    shifted = listed.select(
-        *id_cols,
-        "w0",
-        F.concat(gap, "w0").alias("w1"),
-        F.concat(gap, gap, "w0").alias("w2"),
-        F.concat(gap, gap, gap, "w0").alias("w3"),
+    listed = texts.select(
+        *id_cols, F.length(text_col).alias("text_length"), words(F.col(text_col)).alias("w")
     )
-    spoken = shifted.select(
-        *id_cols, F.inline(F.arrays_zip("w0", "w1", "w2", "w3")).alias("token", "p1", "p2", "p3")
+    counted = listed.withColumn("n_words", F.size("w").cast("bigint"))
+    carried = [*id_cols, "text_length", "n_words"]
+    mark = F.array(F.lit(_MARK))
+    if in_context:
+        # The mark comes last, so it precedes no word.
+        gap = F.array(F.lit(None).cast("string"))
+        shifted = counted.select(
+            *carried,
+            F.concat("w", mark).alias("w0"),
+            F.concat(gap, "w").alias("w1"),
+            F.concat(gap, gap, "w").alias("w2"),
+            F.concat(gap, gap, gap, "w").alias("w3"),
+        )
+        spoken = F.inline(F.arrays_zip("w0", "w1", "w2", "w3")).alias("token", "p1", "p2", "p3")
+    else:
+        shifted = counted
+        spoken = F.explode(F.concat("w", mark)).alias("token")
+    marked = lexicon.select("token", F.col("valence").cast("double").alias("valence")).union(
+        lexicon.sparkSession.range(1).select(F.lit(_MARK), F.lit(0.0))
     )
-    valences = lexicon.select("token", F.col("valence").cast("double").alias("valence"))
-    matched = spoken.join(valences, "token", "left")
+    marked = broadcast_if_small(marked, MAX_BROADCAST_WORDS)
+    matched = shifted.select(*carried, spoken).join(marked, "token")
 
     value = F.col("valence")
     if in_context:
-        before = [F.col("p1"), F.col("p2"), F.col("p3")]
         boost = F.lit(0.0)
         negated = F.lit(False)
-        for word, damping in zip(before, DAMPING, strict=True):
-            boost = boost + _intensity(word) * damping
-            negated = negated | _negates(word)
+        for word, damping in zip(("p1", "p2", "p3"), DAMPING, strict=True):
+            boost = boost + _intensity(F.col(word)) * damping
+            negated = negated | _negates(F.col(word))
         raised = value + F.signum(value) * boost
         value = raised * F.when(negated, F.lit(NEGATION)).otherwise(F.lit(1.0))
     units = F.round(value * _UNIT).cast("bigint")
-    valued = matched.select(*id_cols, "token", units.alias("v"))
+    valued = matched.select(*carried, units.alias("v"))
 
     v, one = F.col("v"), F.lit(_UNIT)
     sums = valued.groupBy(*id_cols).agg(
-        F.coalesce(F.sum("v"), F.lit(0)).alias("s"),
+        F.max("text_length").alias("text_length"),
+        F.max("n_words").alias("n_words"),
+        F.sum("v").alias("s"),
         F.coalesce(F.sum(F.when(v > 0, v + one)), F.lit(0)).alias("p"),
         F.coalesce(F.sum(F.when(v < 0, one - v)), F.lit(0)).alias("n"),
-        F.count_if(F.col("token").isNotNull() & (F.coalesce(v, F.lit(0)) == 0)).alias("u"),
+        F.count_if(v != 0).alias("weighted"),
     )
     s, p, n = (F.col(c) / F.lit(float(_UNIT)) for c in ("s", "p", "n"))
-    total = p + n + F.col("u")
+    plain = (F.col("n_words") - F.col("weighted")).cast("double")
+    total = p + n + plain
 
     def share(part: Column) -> Column:
         return F.round(F.coalesce(F.try_divide(part, total), F.lit(0.0)), 3)
 
-    scored = sums.select(
+    scored = sums.filter(F.col("text_length") > 0).select(
         *id_cols,
+        "text_length",
         F.round(s / F.sqrt(s * s + ALPHA), 4).alias("sentiment_compound"),
         share(p).alias("sentiment_positive"),
         share(n).alias("sentiment_negative"),
-        share(F.col("u").cast("double")).alias("sentiment_neutral"),
+        share(plain).alias("sentiment_neutral"),
     )
     return scored.withColumn("sentiment_label", sentiment_label(F.col("sentiment_compound")))
 

@@ -1,0 +1,15 @@
+"""Small sides of joins."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
+    """Marks df for broadcast after counting that it has at most max_rows rows.
+
+    A larger table is left to the optimizer, which shuffles it or, knowing its size in
+    bytes, may still broadcast it. Counting stops at the bound.
+    """
+    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ludolytics.functions import excerpt
@@ -159,27 +159,26 @@ def user_totals(stats: DataFrame, limit: int = 50) -> DataFrame:
 
 
 def game_sentiments(games: DataFrame, limit: int = 20) -> DataFrame:
-    """The games of the latest analysis with the best scores."""
-    latest = games.select(F.max("analysis_date")).scalar()
-    order = [F.col("raw_score").desc_nulls_last(), F.col("game_id")]
-    rows = games.filter(F.col("analysis_date") == latest).select(
+    """The games of the latest analysis with the best scores.
+
+    Ordered by date first, the first `limit` rows hold every row of the answer; those
+    of an earlier date are then dropped. One pass, and the window sees `limit` rows.
+    """
+    order = [
+        F.col("analysis_date").desc_nulls_last(),
+        F.col("sentiment_score").desc_nulls_last(),
+        F.col("appid"),
+    ]
+    latest = F.max("analysis_date").over(Window.partitionBy())
+    shown = top_k(games, order, limit).withColumn("_latest", latest)
+    return shown.filter(F.col("analysis_date") == F.col("_latest")).select(
         F.col("appid").alias("game_id"),
         "game_name",
         "total_reviews_analyzed",
         F.round("avg_sentiment_compound", 3).alias("avg_sentiment"),
         F.round("positive_review_pct", 1).alias("positive_pct"),
         F.round("negative_review_pct", 1).alias("negative_pct"),
-        F.col("sentiment_score").alias("raw_score"),
-        "analysis_date",
-    )
-    return top_k(rows, order, limit).select(
-        "game_id",
-        "game_name",
-        "total_reviews_analyzed",
-        "avg_sentiment",
-        "positive_pct",
-        "negative_pct",
-        F.round("raw_score", 1).alias("sentiment_score"),
+        F.round("sentiment_score", 1).alias("sentiment_score"),
         "analysis_date",
     )
 

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ludolytics.functions import percent, strip_fences
+from ludolytics.operators.ranking import ranked_top_k
 from ludolytics.operators.similarity import labels, most_similar
 from ludolytics.plans.views import games_by_tag, tag_votes
 from ludolytics.sources.schemas import RECOMMENDATIONS
@@ -162,58 +163,69 @@ def fallback_games(game_info: DataFrame, appid: int, limit: int = FALLBACK_GAMES
     )
 
 
-def fallback_for_all(
-    sources: DataFrame, game_info: DataFrame, limit: int = FALLBACK_GAMES
-) -> DataFrame:
-    """The same for every source at once.
+_SHOWN = ("appid", "name", "genre", "player_count", "review_score", "reason")
 
-    No answer takes more than `limit` rows of one game, so the first 2 * limit rows of
-    a list with at most `limit` rows per game hold every answer. That short list is
-    computed once and handed to the sources as a scalar.
+
+def _short_list(game_info: DataFrame, limit: int) -> Column:
+    """The popular rows from which every source's fallback can be cut, as one value.
+
+    No fallback takes more than `limit` rows of one game, so the first 2 * limit rows of
+    a list with at most `limit` rows per game hold every answer. The list is computed
+    once and handed to the sources as a scalar, without a join.
     """
     per_game = Window.partitionBy("appid").orderBy("genre")
     capped = (
         _popular_tag_rows(game_info)
         .withColumn("_n", F.row_number().over(per_game))
         .filter(F.col("_n") <= limit)
-        .drop("_n")
-    )
-    row = F.struct(
-        (-F.col("player_count")).alias("rank_by"),
-        "appid",
-        "genre",
-        "name",
-        "player_count",
-        "review_score",
     )
-    short_list = (
-        capped.orderBy(*_popular_first())
-        .limit(2 * limit)
-        .agg(F.sort_array(F.collect_list(row)).alias("rows"))
-        .scalar()
+    first = ranked_top_k(capped, _popular_first(), 2 * limit, "rank").withColumn(
+        "reason", F.lit(FALLBACK_REASON)
     )
-    offered = sources.select(F.col("appid").alias("source_appid"), short_list.alias("rows"))
-    others = F.slice(
-        F.filter("rows", lambda r: r["appid"] != F.col("source_appid")), 1, limit
+    rows = F.collect_list(F.struct("rank", F.struct(*_SHOWN).alias("row")))
+    return first.agg(F.sort_array(rows)["row"]).scalar()
+
+
+def _other_games(rows: Column, source: Column, limit: int) -> Column:
+    return F.slice(F.filter(rows, lambda r: r["appid"] != source), 1, limit)
+
+
+def fallback_for_all(
+    sources: DataFrame, game_info: DataFrame, limit: int = FALLBACK_GAMES
+) -> DataFrame:
+    """The same for every source at once."""
+    offered = sources.select(
+        F.col("appid").alias("source_appid"), _short_list(game_info, limit).alias("rows")
     )
+    others = _other_games(F.col("rows"), F.col("source_appid"), limit)
     return offered.select("source_appid", F.posexplode(others).alias("n", "r")).select(
-        "source_appid",
-        (F.col("n") + 1).alias("position"),
-        "r.appid",
-        "r.name",
-        "r.genre",
-        "r.player_count",
-        "r.review_score",
-        F.lit(FALLBACK_REASON).alias("reason"),
+        "source_appid", (F.col("n") + 1).alias("position"), "r.*"
     )
 
 
-def recommendations(details: DataFrame, game_info: DataFrame) -> DataFrame:
+def recommendations(
+    details: DataFrame, game_info: DataFrame, limit: int = FALLBACK_GAMES
+) -> DataFrame:
     """For every game: its similar games, or the fallback where none is similar."""
-    similar = similar_games(details, game_info).drop("similarity", "text_similarity")
-    matched = similar.select(F.col("source_appid").alias("appid")).distinct()
-    unmatched = source_games(details, game_info).select("appid").join(matched, "appid", "left_anti")
-    return similar.unionByName(fallback_for_all(unmatched, game_info))
+    similar = similar_games(details, game_info).select(
+        "source_appid", "position", F.struct(*_SHOWN).alias("found")
+    )
+    sources = source_games(details, game_info).select("appid")
+    matched = sources.join(similar, sources["appid"] == similar["source_appid"], "left").select(
+        sources["appid"].alias("source"),
+        "position",
+        "found",
+        _short_list(game_info, limit).alias("rows"),
+    )
+    none_found = F.col("found").isNull()
+    answer = F.when(none_found, _other_games(F.col("rows"), F.col("source"), limit)).otherwise(
+        F.array("found")
+    )
+    return matched.select(
+        F.col("source").alias("source_appid"),
+        F.col("position").alias("_found_at"),
+        F.posexplode(answer).alias("n", "r"),
+    ).select("source_appid", F.coalesce("_found_at", F.col("n") + 1).alias("position"), "r.*")
 
 
 def parse_recommendations(answers: DataFrame) -> DataFrame:

@@ -45,10 +45,9 @@ def review_sentiments(
         "appid",
         "game_name",
         clean_text(F.col("review_text"), max_chars).alias("clean"),
-    ).filter(F.col("clean") != "")
-    measured = cleaned.withColumn("review_length", F.length("clean"))
-    ids = ["review_id", "appid", "game_name", "review_length"]
-    return score_texts(measured, ids, "clean", lexicon, in_context).select(
+    )
+    scored = score_texts(cleaned, ["review_id", "appid", "game_name"], "clean", lexicon, in_context)
+    return scored.withColumnRenamed("text_length", "review_length").select(
         "review_id",
         "appid",
         "game_name",

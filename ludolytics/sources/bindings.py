@@ -17,6 +17,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents, spread over the cores where they lie in too few splits for them.
+
+    Work on texts is bound by the processor, and a small file is one split. A table
+    with at least as many splits as cores, as any large one, is left as it is.
+    """
+    documents = table(spark, sf_dir, "documents")
+    cores = spark.sparkContext.defaultParallelism
+    if documents.rdd.getNumPartitions() >= cores:
+        return documents
+    return documents.repartition(cores, "doc_id")
+
+
 def game_player_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").selectExpr(
         "md5(concat(cast(user_id AS string), '_', cast(event_id AS string))) AS record_id",
@@ -112,7 +125,7 @@ def player_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def game_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
-    documents = table(spark, sf_dir, "documents")
+    documents = texts(spark, sf_dir)
     labels = table(spark, sf_dir, "labels")
     return documents.join(labels, "doc_id", "left").selectExpr(
         "md5(concat(cast(doc_id % 20 AS string), '_', cast(doc_id AS string))) AS review_id",
@@ -143,7 +156,7 @@ def scored_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
 def game_details(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Details of the games; the description is a whole document."""
     part = table(spark, sf_dir, "part")
-    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    documents = texts(spark, sf_dir).select("doc_id", "text")
     return part.join(documents, part.p_partkey == documents.doc_id, "left").select(
         F.col("p_partkey").cast("int").alias("appid"),
         F.concat("p_name", F.lit(" "), F.col("p_partkey").cast("string")).alias("name"),

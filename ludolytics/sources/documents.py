@@ -164,7 +164,7 @@ def summary_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 def detail_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Store documents (value, fetched_at); games without a text are unsuccessful."""
     part = B.table(spark, sf_dir, "part")
-    texts = B.table(spark, sf_dir, "documents").select("doc_id", "text")
+    texts = B.texts(spark, sf_dir).select("doc_id", "text")
     described = F.struct(F.col("p_type").alias("description"))
     branded = F.struct(F.col("p_brand").alias("description"))
     data = F.struct(
