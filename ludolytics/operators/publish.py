@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -21,13 +19,35 @@ def to_messages(rows: DataFrame, key: Column, topic: str) -> DataFrame:
     )
 
 
-def unpublished(rows: DataFrame, published: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """The rows whose key has not been published yet."""
-    return rows.join(published.select(*keys), list(keys), "left_anti")
+def publishable(
+    rows: DataFrame, appids: DataFrame | None = None, published: DataFrame | None = None
+) -> DataFrame:
+    """The named rows; only those of appids, and without those already published."""
+    ready = rows.filter(F.col("name").isNotNull())
+    if appids is not None:
+        ready = ready.join(appids.select("appid"), "appid", "left_semi")
+    if published is not None:
+        ready = ready.join(published.select("appid"), "appid", "left_anti")
+    return ready
+
+
+def id_batches(rows: DataFrame, column: str, size: int = 100) -> DataFrame:
+    """All ids as comma-separated lists of at most `size`, for an interface that takes lists.
+
+    Rows are numbered inside their partition, so no total order is needed.
+    """
+    numbered = rows.select(column, F.monotonically_increasing_id().alias("n"))
+    # The upper bits number the partition, the lower 33 bits the row in it.
+    partition = F.shiftright("n", 33).alias("partition")
+    batch = F.floor(F.col("n").bitwiseAND(F.lit(2**33 - 1)) / size).alias("batch")
+    lists = numbered.groupBy(partition, batch).agg(F.concat_ws(",", F.collect_list(column)).alias("ids"))
+    return lists.select("ids")
 
 
-def write_messages(messages: DataFrame, bootstrap_servers: str | None = None, path: str | None = None) -> None:
-    """To the broker, or as JSON lines below path, one folder per topic."""
+def write_messages(
+    messages: DataFrame, path: str | None = None, bootstrap_servers: str | None = None
+) -> None:
+    """As JSON lines below path, one folder per topic, or to the broker."""
     if bootstrap_servers is not None:
         (
             messages.write.format("kafka")

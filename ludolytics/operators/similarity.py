@@ -26,12 +26,15 @@ def _jaccard(common: Column, left: Column, right: Column) -> Column:
     return F.coalesce(F.try_divide(common.cast("double"), either), F.lit(0.0))
 
 
-def most_similar(sources: DataFrame, candidates: DataFrame, k: int) -> DataFrame:
+def most_similar(
+    sources: DataFrame, texts: DataFrame, candidates: DataFrame, k: int
+) -> DataFrame:
     """The k candidates most like each source, with the labels they share.
 
-    Both sides: appid, labels, description. candidates is a short list cut by a limit,
-    which bounds its broadcast and each source's pairs. Labels decide; only candidates
-    that could still reach the first k (rank() keeps all ties) have their description
+    sources: appid, labels. texts: appid, description, where there is one. candidates:
+    both, and further columns, which come along; a short list cut by a limit, which
+    bounds its broadcasts and each source's pairs. Labels decide; only candidates that
+    could still reach the first k (rank() keeps all ties) have their description
     compared, so long texts meet few partners.
     """
     known = F.broadcast(
@@ -59,25 +62,33 @@ def most_similar(sources: DataFrame, candidates: DataFrame, k: int) -> DataFrame
         "place", F.rank().over(per_source.orderBy(F.desc("similarity")))
     ).filter(F.col("place") <= k)
 
-    source_words = sources.select("appid", vocabulary(F.col("description")).alias("source_words"))
-    candidate_words = F.broadcast(
+    # The join below needs this partitioning anyway; asked for here, the work on the texts
+    # is spread by it too.
+    source_words = (
+        texts.select("appid", "description")
+        .repartition("appid")
+        .select("appid", vocabulary(F.col("description")).alias("source_words"))
+    )
+    further = [c for c in candidates.columns if c not in ("appid", "labels", "description")]
+    described = F.broadcast(
         candidates.select(
             F.col("appid").alias("candidate"),
             vocabulary(F.col("description")).alias("candidate_words"),
+            *further,
         )
     )
-    common = F.size(F.array_intersect("source_words", "candidate_words"))
+    common = F.coalesce(F.size(F.array_intersect("source_words", "candidate_words")), F.lit(0))
+    own = F.coalesce(F.size("source_words"), F.lit(0))
     compared = (
-        finalists.join(source_words, "appid")
-        .join(candidate_words, "candidate")
+        finalists.join(source_words, "appid", "left")
+        .join(described, "candidate")
         .select(
             "appid",
             "candidate",
             "similarity",
-            _jaccard(common, F.size("source_words"), F.size("candidate_words")).alias(
-                "text_similarity"
-            ),
+            _jaccard(common, own, F.size("candidate_words")).alias("text_similarity"),
             F.concat_ws(", ", F.sort_array("shared")).alias("shared_labels"),
+            *further,
         )
     )
     order = [F.desc("similarity"), F.desc("text_similarity"), F.col("candidate")]

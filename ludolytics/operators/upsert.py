@@ -103,7 +103,10 @@ def merge_into(
     order: Sequence[str] = ("fetched_at",),
     update_cols: Sequence[str] | None = None,
 ) -> None:
-    """The same upsert by the table's own MERGE, for a catalogue that supports it."""
+    """The same upsert by the table's own MERGE, for a catalogue that supports it.
+
+    The tests here have no such catalogue, so this form is not covered by them.
+    """
     if update_cols is None:
         update_cols = [c for c in source.columns if c not in keys]
     incoming = fold_batch(source, keys, order, update_cols).alias("arriving")

@@ -34,6 +34,22 @@ def leaderboard(counts: DataFrame, as_of: datetime | str, limit: int = 50) -> Da
     )
 
 
+# How the trends are shown.
+TREND_MARKS = {
+    "UP": "📈 UP",
+    "DOWN": "📉 DOWN",
+    "STABLE": "➡️ STABLE",
+    "N/A": "⏳ N/A",
+}
+
+
+def with_trend_marks(board: DataFrame) -> DataFrame:
+    """The trends as shown; an unknown one counts as not available."""
+    pairs = [F.lit(text) for pair in TREND_MARKS.items() for text in pair]
+    shown = F.element_at(F.create_map(*pairs), F.col("trend"))
+    return board.withColumn("trend", F.coalesce(shown, F.lit(TREND_MARKS["N/A"])))
+
+
 def leaderboard_metrics(board: DataFrame) -> DataFrame:
     """One row on the games shown."""
     return board.agg(

@@ -21,7 +21,7 @@ def stamped(rows: DataFrame, as_of: datetime | str) -> DataFrame:
     return rows.withColumns({"inserted_at": ntz(as_of), "updated_at": ntz(as_of)})
 
 
-def rejected(rows: DataFrame, keys: tuple[str, ...]) -> Column:
+def rejected(keys: tuple[str, ...]) -> Column:
     """True where a part of the key is missing: damaged messages and incomplete records."""
     missing = F.lit(False)
     for key in keys:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ludolytics.functions import text_to_int
@@ -101,6 +101,11 @@ def tracked_games(lists: list[DataFrame], catalogue: DataFrame | None, n: int) -
     return best.orderBy("best_position", "appid").limit(n)
 
 
+def catalogue_up_to(pages: DataFrame, max_games: int) -> DataFrame:
+    """The first games of a paged catalogue (page, position, ...), in page order."""
+    return pages.orderBy("page", "position").limit(max_games)
+
+
 def games_to_track(game_info: DataFrame, n: int) -> DataFrame:
     """The games whose counts, reviews and details are collected."""
     owners = text_to_int(F.regexp_replace("owners", "k$", ""))
@@ -130,9 +135,3 @@ def games_by_genre(game_info: DataFrame, genre: str) -> DataFrame:
 def games_with_tag(game_info: DataFrame, tag: str) -> DataFrame:
     """The catalogue rows that carry the tag."""
     return game_info.filter(F.map_contains_key(tag_votes(game_info), tag))
-
-
-def latest_per_key(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
-    """One row per key: the first in the given order."""
-    newest = Window.partitionBy(*keys).orderBy(*order)
-    return df.withColumn("_n", F.row_number().over(newest)).filter("_n = 1").drop("_n")

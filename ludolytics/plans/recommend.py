@@ -86,6 +86,15 @@ def without_source(candidates: DataFrame, appid: int) -> DataFrame:
     return candidates.filter(F.col("appid") != appid)
 
 
+def _labelled(details: DataFrame, game_info: DataFrame) -> DataFrame:
+    """The labels of every game that has details, a catalogue row, or both."""
+    genres = details.select("appid", _genres(details).alias("genres"))
+    tags = game_info.select("appid", tag_votes(game_info).alias("tags"))
+    return genres.join(tags, "appid", "full_outer").select(
+        "appid", labels(F.col("genres"), F.col("tags")).alias("labels")
+    )
+
+
 def similar_games(
     details: DataFrame,
     game_info: DataFrame,
@@ -93,32 +102,23 @@ def similar_games(
     k: int = SIMILAR_GAMES,
 ) -> DataFrame:
     """The candidates most like the given game, or like every game, with the reason."""
-    tags = game_info.select("appid", tag_votes(game_info).alias("tags"))
-    candidates = candidate_games(details, game_info)
-    sources = source_games(details, game_info, appid).join(tags, "appid", "left")
-    found = most_similar(
-        sources.select(
-            "appid",
-            labels(F.col("genres"), F.col("tags")).alias("labels"),
-            F.col("short_description").alias("description"),
-        ),
-        candidates.select(
-            "appid",
-            labels(F.col("genres"), F.col("tags")).alias("labels"),
-            F.col("short_description").alias("description"),
-        ),
-        k,
+    candidates = candidate_games(details, game_info).select(
+        "appid",
+        labels(F.col("genres"), F.col("tags")).alias("labels"),
+        F.col("short_description").alias("description"),
+        "name",
+        F.concat_ws(", ", "genres").alias("genre"),
+        "player_count",
+        "review_score",
     )
-    shown = F.broadcast(
-        candidates.select(
-            F.col("appid").alias("candidate"),
-            "name",
-            F.concat_ws(", ", "genres").alias("genre"),
-            "player_count",
-            "review_score",
-        )
+    if appid is not None:
+        details = details.filter(F.col("appid") == appid)
+        game_info = game_info.filter(F.col("appid") == appid)
+    texts = details.filter(F.col("short_description").isNotNull()).select(
+        "appid", F.col("short_description").alias("description")
     )
-    return found.join(shown, "candidate").select(
+    found = most_similar(_labelled(details, game_info), texts, candidates, k)
+    return found.select(
         F.col("appid").alias("source_appid"),
         "position",
         F.col("candidate").alias("appid"),
@@ -210,7 +210,7 @@ def recommendations(
     similar = similar_games(details, game_info).select(
         "source_appid", "position", F.struct(*_SHOWN).alias("found")
     )
-    sources = source_games(details, game_info).select("appid")
+    sources = details.select("appid").join(game_info.select("appid"), "appid", "full_outer")
     matched = sources.join(similar, sources["appid"] == similar["source_appid"], "left").select(
         sources["appid"].alias("source"),
         "position",

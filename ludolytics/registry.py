@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ludolytics.functions import clean_text, ntz
 from ludolytics.operators import checks
-from ludolytics.operators.publish import key_of, to_messages, unpublished
+from ludolytics.operators.publish import key_of, publishable, to_messages
 from ludolytics.operators.upsert import upsert
 from ludolytics.plans import dashboard, ingest, marts, quality, recommend, sentiment, views
 from ludolytics.sources import bindings as B
@@ -185,6 +185,13 @@ def q21_leaderboard(spark, sf):
     return dashboard.leaderboard(B.game_player_counts(spark, sf), AS_OF)
 
 
+@query
+def q21_leaderboard_with_marks(spark, sf):
+    return dashboard.with_trend_marks(
+        dashboard.leaderboard(B.game_player_counts(spark, sf), AS_OF)
+    )
+
+
 @query
 def q22_leaderboard_metrics(spark, sf):
     return dashboard.leaderboard_metrics(
@@ -420,11 +427,8 @@ def q51_tracked_games(spark, sf):
 
 @query
 def q52_publish_records(spark, sf):
-    rows = B.game_info(spark, sf).filter(F.col("name").isNotNull())
-    published = D.stored_game_info(spark, sf)
-    messages = to_messages(
-        unpublished(rows, published, ["appid"]), key_of("appid"), S.TOPICS["game_info"]
-    )
+    rows = publishable(B.game_info(spark, sf), published=D.stored_game_info(spark, sf))
+    messages = to_messages(rows, key_of("appid"), S.TOPICS["game_info"])
     return messages.select(
         "topic",
         "key",

@@ -12,6 +12,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ludolytics.functions import ntz
@@ -27,23 +28,57 @@ DRAIN_INTERVAL = "60 seconds"
 
 @dataclass(frozen=True)
 class Pipeline:
+    """key_parts are the fields of the message without which a record has no key."""
+
     name: str
     topic: str
+    message: T.StructType
+    key_parts: tuple[str, ...]
     table: S.Table
     transform: Callable[[DataFrame], DataFrame]
 
 
 PIPELINES = {
-    p.name: p
-    for p in (
-        Pipeline("players", S.TOPICS["players"], S.PLAYERS, ingest.players_from_messages),
-        Pipeline("games", S.TOPICS["games"], S.GAMES, ingest.games_from_messages),
-        Pipeline("stats", S.TOPICS["stats"], S.PLAYER_STATS, ingest.stats_from_messages),
-        Pipeline("game_info", S.TOPICS["game_info"], S.GAME_INFO, ingest.game_info_from_messages),
-    )
+    "players": Pipeline(
+        "players",
+        S.TOPICS["players"],
+        S.PLAYER_MESSAGE,
+        ("steamid",),
+        S.PLAYERS,
+        ingest.players_from_messages,
+    ),
+    "games": Pipeline(
+        "games",
+        S.TOPICS["games"],
+        S.GAME_MESSAGE,
+        ("steamid", "appid"),
+        S.GAMES,
+        ingest.games_from_messages,
+    ),
+    "stats": Pipeline(
+        "stats",
+        S.TOPICS["stats"],
+        S.STATS_MESSAGE,
+        ("steamid", "appid"),
+        S.PLAYER_STATS,
+        ingest.stats_from_messages,
+    ),
+    "game_info": Pipeline(
+        "game_info",
+        S.TOPICS["game_info"],
+        S.GAME_INFO_MESSAGE,
+        ("appid",),
+        S.GAME_INFO,
+        ingest.game_info_from_messages,
+    ),
 }
 
 
+def _use_utc(spark: SparkSession) -> None:
+    """Times are stored as UTC without a zone, so the session must run in UTC."""
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
 def _now() -> Column:
     return F.current_timestamp().cast("timestamp_ntz")
 
@@ -73,19 +108,12 @@ def batch_writer(
 
 def _without_key(pipeline: Pipeline, messages: DataFrame) -> DataFrame:
     """The raw values whose rows lack a part of the key."""
-    schema = {
-        "players": S.PLAYER_MESSAGE,
-        "games": S.GAME_MESSAGE,
-        "stats": S.STATS_MESSAGE,
-        "game_info": S.GAME_INFO_MESSAGE,
-    }[pipeline.name]
-    parts = {"players": ("steamid",), "game_info": ("appid",)}.get(
-        pipeline.name, ("steamid", "appid")
-    )
     text = F.col("value").cast("string")
-    read = messages.select(text.alias("value"), F.from_json(text, schema).alias("data"))
-    missing = ingest.rejected(read.select("data.*", "value"), parts)
-    return read.select("value", "data.*").filter(missing).select("value")
+    read = messages.select(
+        text.alias("value"), F.from_json(text, pipeline.message).alias("data")
+    )
+    parts = tuple(f"data.{part}" for part in pipeline.key_parts)
+    return read.filter(ingest.rejected(parts)).select("value")
 
 
 def start(
@@ -99,6 +127,7 @@ def start(
     buckets: int = 64,
 ) -> StreamingQuery:
     """Starts a pipeline; `once` drains what is there and stops."""
+    _use_utc(spark)
     writer = (
         source.stream(spark, pipeline.topic)
         .writeStream.outputMode("append")
@@ -175,6 +204,7 @@ def start_samples(
     as_of: Column | None = None,
 ) -> StreamingQuery:
     """Starts the sample pipeline on a stream of live count documents."""
+    _use_utc(spark)
     writer = (
         documents.writeStream.outputMode("append")
         .queryName("samples")
