@@ -7,7 +7,12 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-_SALT = "_salt"
+_SLICE = "_slice"
+
+# Up to this k Spark limits groups before the shuffle
+# (spark.sql.optimizer.windowGroupLimitThreshold).
+MAX_MAP_SIDE_K = 1000
+MIN_SLICES = 32
 
 
 def top_k(df: DataFrame, order: Sequence[Column], k: int | None) -> DataFrame:
@@ -30,24 +35,28 @@ def top_k_per_group(
     order: Sequence[Column],
     k: int,
     rank: str,
-    spread_on: Sequence[str],
-    spread: int = 16,
+    slices: int = 1,
 ) -> DataFrame:
     """The first k rows of each group with their position.
 
-    A group may hold a large share of all rows, so the ranking runs twice: first
-    inside `spread` slices of each group (every map task already drops rows beyond
-    k before the shuffle), then over the at most k * spread survivors of the group.
-    Rows in the overall top k are in the top k of their slice, so nothing is lost.
-    spread_on names the columns that tell the rows of a group apart.
+    A filter on row_number lets every map task keep k rows of a group at most, so a group
+    with a large share of all rows reaches its task as k rows per map task, whatever its
+    size. Spark does this up to MAX_MAP_SIDE_K.
+    With few, large groups and many map tasks even that is much for one task: slices > 1
+    ranks the rows of every `slices`-th map task first and then the k * slices survivors.
+    It is not the default, as it moves the rows of small groups twice.
     """
-    slice_of_row = F.pmod(F.xxhash64(*[F.col(c) for c in spread_on]), F.lit(spread))
-    within_slice = Window.partitionBy(*keys, _SALT).orderBy(*order)
-    within_group = Window.partitionBy(*keys).orderBy(*order)
-    survivors = (
-        df.withColumn(_SALT, slice_of_row)
-        .withColumn(rank, F.row_number().over(within_slice))
-        .filter(F.col(rank) <= k)
-        .drop(_SALT, rank)
-    )
-    return survivors.withColumn(rank, F.row_number().over(within_group)).filter(F.col(rank) <= k)
+    if k > MAX_MAP_SIDE_K:
+        slices = max(slices, MIN_SLICES)
+    if slices > 1:
+        # One slice per map task, not per row: the map side then still keeps k rows of a group.
+        sliced = df.withColumn(_SLICE, F.pmod(F.spark_partition_id(), F.lit(slices)))
+        df = _first_k(sliced, [*keys, _SLICE], order, k, rank).drop(_SLICE, rank)
+    return _first_k(df, keys, order, k, rank)
+
+
+def _first_k(
+    df: DataFrame, keys: Sequence[str], order: Sequence[Column], k: int, rank: str
+) -> DataFrame:
+    window = Window.partitionBy(*keys).orderBy(*order)
+    return df.withColumn(rank, F.row_number().over(window)).filter(F.col(rank) <= k)

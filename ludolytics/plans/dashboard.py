@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ludolytics.functions import excerpt
 from ludolytics.operators.ranking import top_k, top_k_per_group
-from ludolytics.plans.views import games_by_tag, player_counts_live, tag_votes
+from ludolytics.plans.views import TAG_SLICES, games_by_tag, player_counts_live, tag_votes
 
 
 def _by_players() -> list:
@@ -90,9 +90,7 @@ def games_for_tag(game_info: DataFrame, tag: str, limit: int = 20) -> DataFrame:
 def games_for_all_tags(game_info: DataFrame, limit: int = 20) -> DataFrame:
     """The same for every tag at once, with the position."""
     games = _tag_columns(games_by_tag(game_info))
-    return top_k_per_group(
-        games, ["tag_name"], _by_players(), limit, "position", spread_on=["game_id"]
-    )
+    return top_k_per_group(games, ["tag_name"], _by_players(), limit, "position", slices=TAG_SLICES)
 
 
 def _tags(game_info: DataFrame) -> DataFrame:
@@ -148,9 +146,7 @@ def user_profiles(
 ) -> DataFrame:
     """The same for every player at once."""
     named = stats.filter(F.col("name").isNotNull())
-    most = top_k_per_group(
-        named, ["steamid"], _by_playtime(), limit, "position", spread_on=["appid"]
-    )
+    most = top_k_per_group(named, ["steamid"], _by_playtime(), limit, "position")
     return _described(most, players, game_info)
 
 
@@ -164,9 +160,7 @@ def user_totals(stats: DataFrame, limit: int = 50) -> DataFrame:
     named = stats.filter(F.col("name").isNotNull()).select(
         "steamid", "appid", "playtime_forever", "playtime_2weeks"
     )
-    shown = top_k_per_group(
-        named, ["steamid"], _by_playtime(), limit, "position", spread_on=["appid"]
-    )
+    shown = top_k_per_group(named, ["steamid"], _by_playtime(), limit, "position")
     return shown.groupBy("steamid").agg(
         F.count(F.lit(1)).alias("total_games"),
         (F.sum("playtime_forever") / 60.0).alias("total_hours"),
@@ -244,9 +238,7 @@ def review_samples_per_game(reviews: DataFrame, limit: int = 10) -> DataFrame:
         "review_id", "appid", "game_name", "review_text", "voted_up", "playtime_at_review",
         "timestamp_created",
     )
-    newest = top_k_per_group(
-        needed, ["appid"], _newest(), limit, "position", spread_on=["review_id"]
-    )
+    newest = top_k_per_group(needed, ["appid"], _newest(), limit, "position")
     return _review_columns(newest, "appid", "position")
 
 

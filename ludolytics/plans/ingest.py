@@ -205,9 +205,7 @@ def normalised_reviews(
         rows = rows.filter(F.col("language") == language)
     if reviews_per_game is not None:
         order = [F.col("timestamp_created").desc_nulls_last(), F.col("recommendationid")]
-        rows = top_k_per_group(
-            rows, ["appid"], order, reviews_per_game, "_n", spread_on=["recommendationid"]
-        )
+        rows = top_k_per_group(rows, ["appid"], order, reviews_per_game, "_n")
     default = F.concat(F.lit("Game_"), F.col("appid").cast("string"))
     known = names.select("appid", F.col("name").alias("_name"))
     named = rows.join(known, "appid", "left").withColumn(

@@ -31,9 +31,7 @@ def popular_games_snapshot(counts: DataFrame, k: int = POPULAR_GAMES) -> DataFra
 def popular_games_history(counts: DataFrame, k: int = POPULAR_GAMES) -> DataFrame:
     """The same for every snapshot: what appending snapshot after snapshot amounts to."""
     samples = counts.select("fetched_at", "appid", "game_name", "live_player_count")
-    return top_k_per_group(
-        samples, ["fetched_at"], _players_order(), k, "ranking", spread_on=["appid"]
-    )
+    return top_k_per_group(samples, ["fetched_at"], _players_order(), k, "ranking")
 
 
 def new_history_rows(history: DataFrame, snapshot: DataFrame) -> DataFrame:
@@ -69,8 +67,7 @@ def recent_reviews(reviews: DataFrame, k: int = REVIEWS_PER_GAME) -> DataFrame:
         ["appid"],
         order,
         k,
-        "position",
-        spread_on=["review_id"],
+        "position"
     )
     return ranked.select(*columns, "position")
 

@@ -161,9 +161,7 @@ def sentiment_trends(
         F.inline(F.array_compact(F.array(*entries))),
     )
     by = [F.asc_nulls_last("_first"), F.asc_nulls_last("_second"), F.col("appid")]
-    ranked = top_k_per_group(
-        listed, ["category"], by, k, "rank_in_category", spread_on=["appid"]
-    )
+    ranked = top_k_per_group(listed, ["category"], by, k, "rank_in_category")
     return ranked.select(
         "trend_date",
         "category",

@@ -20,6 +20,9 @@ RECENT_HOURS = 24
 RISING = 1.1
 FALLING = 0.9
 
+# Tags are few and some hold a large share of the games.
+TAG_SLICES = 16
+
 
 def tag_votes(game_info: DataFrame) -> Column:
     """The tags column as a map, whether stored as a map or as JSON text."""
@@ -81,7 +84,7 @@ def top_games_by_tag(game_info: DataFrame, k: int = GAMES_PER_TAG) -> DataFrame:
         "tag_name", "game_name", "appid", "owners", "price_cents", "current_players"
     )
     order = [F.col("current_players").desc_nulls_last(), F.col("appid")]
-    return top_k_per_group(games, ["tag_name"], order, k, "rank_in_tag", spread_on=["appid"])
+    return top_k_per_group(games, ["tag_name"], order, k, "rank_in_tag", slices=TAG_SLICES)
 
 
 def user_game_summary(stats: DataFrame, players: DataFrame, game_info: DataFrame) -> DataFrame:

@@ -16,11 +16,31 @@ def skewed(spark):
 def test_top_k_per_group_equals_plain_window(spark):
     df = skewed(spark)
     order = [F.col("v").desc_nulls_last(), F.col("id")]
-    for k in (1, 5, 100):
-        got = top_k_per_group(df, ["g"], order, k, "rank", spread_on=["id"])
+    for k in (1, 5, 60):
         w = Window.partitionBy("g").orderBy(*order)
         expected = df.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
-        assert set(map(tuple, got.collect())) == set(map(tuple, expected.collect()))
+        rows = set(map(tuple, expected.collect()))
+        for slices in (1, 7):
+            got = top_k_per_group(df.repartition(5), ["g"], order, k, "rank", slices)
+            assert set(map(tuple, got.collect())) == rows
+
+
+def test_map_side_limit_is_planned(spark):
+    """Both with and without slices the limit comes before the first shuffle of the rows."""
+    order = [F.col("v").desc_nulls_last(), F.col("id")]
+    for slices in (1, 7):
+        df = top_k_per_group(skewed(spark), ["g"], order, 5, "rank", slices)
+        plan = df._sc._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "simple")
+        assert plan.count("Partial") == plan.count("Exchange") == (1 if slices == 1 else 2)
+
+
+def test_large_k_uses_slices(spark, monkeypatch):
+    from ludolytics.operators import ranking
+
+    monkeypatch.setattr(ranking, "MAX_MAP_SIDE_K", 3)
+    order = [F.col("v").desc_nulls_last(), F.col("id")]
+    got = top_k_per_group(skewed(spark), ["g"], order, 5, "rank")
+    assert got.groupBy("g").count().filter("count <> 5").count() == 0
 
 
 def test_ranks_have_no_gaps(spark):
