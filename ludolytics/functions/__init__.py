@@ -1,6 +1,6 @@
 """Column expressions. Everything here stays on the JVM side."""
 
-from ludolytics.functions.text import clean_text, excerpt, strip_fences, words
+from ludolytics.functions.text import clean_text, excerpt, strip_fences, without_links, words
 from ludolytics.functions.times import epoch_to_ntz, hour_bucket, hours_between, iso_to_ntz, ntz
 from ludolytics.functions.values import (
     md5_key,
@@ -24,5 +24,6 @@ __all__ = [
     "price_label",
     "strip_fences",
     "text_to_int",
+    "without_links",
     "words",
 ]

@@ -20,14 +20,17 @@ GAP = rf"[^{KEPT}]{{2,}}|[^ {KEPT}]"
 WORD = rf"[{LETTERS}]+(?:['-][{LETTERS}]+)*"
 
 
+def without_links(text: Column) -> Column:
+    """Lower case without links; null becomes ''."""
+    return F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), URL, "")
+
+
 def clean_text(text: Column, max_chars: int | None = None) -> Column:
     """Lower case, without links, odd characters and repeated white space.
 
     Null becomes ''. The whole text is kept unless max_chars asks for a cut.
     """
-    lowered = F.lower(F.coalesce(text, F.lit("")))
-    without_links = F.regexp_replace(lowered, URL, "")
-    cleaned = F.trim(F.regexp_replace(without_links, GAP, " "))
+    cleaned = F.trim(F.regexp_replace(without_links(text), GAP, " "))
     return cleaned if max_chars is None else F.substring(cleaned, 1, max_chars)
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ludolytics.functions import clean_text, words
+from ludolytics.functions import without_links, words
 
 
 def labels(genres: Column, tags: Column) -> Column:
@@ -16,8 +16,11 @@ def labels(genres: Column, tags: Column) -> Column:
 
 
 def vocabulary(text: Column) -> Column:
-    """The distinct words of a whole text."""
-    return F.array_distinct(words(clean_text(text)))
+    """The distinct words of a whole text.
+
+    Cleaning only changes what stands between words, so links apart it is not needed.
+    """
+    return F.array_distinct(words(without_links(text)))
 
 
 def _jaccard(common: Column, left: Column, right: Column) -> Column:

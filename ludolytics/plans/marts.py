@@ -62,13 +62,8 @@ def recent_reviews(reviews: DataFrame, k: int = REVIEWS_PER_GAME) -> DataFrame:
         "timestamp_updated",
     ]
     order = [F.col("timestamp_updated").desc_nulls_last(), F.col("review_id")]
-    ranked = top_k_per_group(
-        reviews.select("review_id", *columns),
-        ["appid"],
-        order,
-        k,
-        "position"
-    )
+    needed = reviews.select("review_id", *columns)
+    ranked = top_k_per_group(needed, ["appid"], order, k, "position")
     return ranked.select(*columns, "position")
 
 

@@ -128,39 +128,23 @@ def game_sentiment_summary(reviews: DataFrame) -> DataFrame:
 def player_counts_live(counts: DataFrame, as_of: datetime | str) -> DataFrame:
     """Per game: the latest count, averages, peak, sample count and trend.
 
-    One scan and one wide aggregate instead of four aggregates joined together.
-    The name is a grouping column of the first aggregate because a string in an
-    aggregate buffer would turn the hash aggregate into a sort of all samples; the
-    second aggregate then sees one row per game and name.
-    Of samples with equal times the higher count is the latest, then the greater name.
+    One scan, one aggregate and one shuffle of partial results instead of four aggregates
+    joined together. Of samples with equal times the higher count is the latest, then the
+    greater name.
     """
     count = F.col("live_player_count")
     recent = F.col("fetched_at") >= ntz(as_of) - F.expr(f"INTERVAL {RECENT_HOURS} HOURS")
-    # Time and count packed into one number: fixed width, so the hash aggregate keeps it.
-    moment = F.unix_micros(F.col("fetched_at").cast("timestamp")).cast("decimal(20,0)")
-    packed = moment * F.lit(2**32).cast("decimal(11,0)") + F.coalesce(count, F.lit(-1))
-    per_name = counts.groupBy("appid", "game_name").agg(
-        F.max(packed.cast("decimal(32,0)")).alias("newest"),
-        F.max_by(count, packed.cast("decimal(32,0)")).alias("current_players"),
-        F.max("fetched_at").alias("last_updated"),
+    per_game = counts.groupBy("appid").agg(
+        F.max_by(
+            F.struct("game_name", "live_player_count", "fetched_at"),
+            F.struct("fetched_at", "live_player_count", "game_name"),
+        ).alias("latest"),
         F.max(count).alias("peak_players"),
         F.count(F.lit(1)).alias("data_points"),
-        F.sum(count.cast("bigint")).alias("total"),
-        F.count(count).alias("counted"),
-        F.sum(F.when(recent, count.cast("bigint"))).alias("total_24h"),
-        F.count(F.when(recent, count)).alias("counted_24h"),
+        F.avg(count).alias("avg_all"),
+        F.avg(F.when(recent, count)).alias("avg_24h"),
     )
-    latest = F.struct("newest", "game_name")
-    per_game = per_name.groupBy("appid").agg(
-        F.max_by(F.struct("game_name", "current_players", "last_updated"), latest).alias("latest"),
-        F.max("peak_players").alias("peak_players"),
-        F.sum("data_points").alias("data_points"),
-        F.try_divide(F.sum("total").cast("double"), F.sum("counted").cast("double")).alias("avg_all"),
-        F.try_divide(F.sum("total_24h").cast("double"), F.sum("counted_24h").cast("double")).alias(
-            "avg_24h"
-        ),
-    )
-    current, average = F.col("latest.current_players"), F.col("avg_24h")
+    current, average = F.col("latest.live_player_count"), F.col("avg_24h")
     trend = (
         F.when(average.isNull(), "N/A")
         .when(current > average * RISING, "UP")
@@ -174,7 +158,7 @@ def player_counts_live(counts: DataFrame, as_of: datetime | str) -> DataFrame:
         F.round("avg_all", 0).alias("avg_players_alltime"),
         F.round("avg_24h", 0).alias("avg_players_24h"),
         "peak_players",
-        F.col("latest.last_updated").alias("last_updated"),
+        F.col("latest.fetched_at").alias("last_updated"),
         "data_points",
         trend.alias("trend"),
     )
