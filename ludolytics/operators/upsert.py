@@ -24,7 +24,6 @@ def fold_batch(
 
     The earliest record inserts the row, the latest one gives the updatable columns.
     Both are aggregates, so repeated keys shrink before the shuffle.
-    Records without a complete key are left out: they match nothing.
     """
     fixed = [c for c in source.columns if c not in keys and c not in update_cols]
     updated = [c for c in source.columns if c in update_cols]
@@ -38,7 +37,7 @@ def fold_batch(
         aggregates.append(F.min_by(F.struct(*fixed), position).alias("_first"))
     if updated:
         aggregates.append(F.max_by(F.struct(*updated), position).alias("_last"))
-    folded = source.dropna(subset=list(keys)).groupBy(*keys).agg(*aggregates)
+    folded = source.groupBy(*keys).agg(*aggregates)
     columns = [
         F.col(c) if c in keys else F.col("_first" if c in fixed else "_last")[c].alias(c)
         for c in source.columns
@@ -61,6 +60,8 @@ def upsert(
     and as_of as updated_at; new rows take every source column and as_of as both
     stamps; the other rows stay. With newer_by, an existing row only changes where
     the source value of that column is not older. Columns and order are target's.
+    Records without a complete key are left out, after the join: before it, the condition
+    would be pushed below the parsing of the records and parse them a second time.
     """
     if update_cols is None:
         update_cols = [c for c in source.columns if c not in keys]
@@ -69,6 +70,8 @@ def upsert(
     s = incoming.withColumn("_arrived", F.lit(True)).alias("s")
     matching = [F.col(f"t.{k}") == F.col(f"s.{k}") for k in keys]
     joined = t.join(s, matching, "full_outer")
+    for k in keys:
+        joined = joined.filter(F.coalesce(f"t.{k}", f"s.{k}").isNotNull())
 
     arrived = F.col("s._arrived").isNotNull()
     stored = F.col("t._stored").isNotNull()
@@ -109,7 +112,8 @@ def merge_into(
     """
     if update_cols is None:
         update_cols = [c for c in source.columns if c not in keys]
-    incoming = fold_batch(source, keys, order, update_cols).alias("arriving")
+    keyed = source.dropna(subset=list(keys))
+    incoming = fold_batch(keyed, keys, order, update_cols).alias("arriving")
     matching = F.lit(True)
     for key in keys:
         matching = matching & (F.col(f"{table}.{key}") == F.col(f"arriving.{key}"))

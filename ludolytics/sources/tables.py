@@ -134,19 +134,16 @@ class KeyedTable:
         if batch is not None and manifest["batches"].get(batch[0], -1) >= batch[1]:
             return version
         buckets = manifest["buckets"]
-        bucketed = source.dropna(subset=list(self.table.keys)).withColumn(
-            BUCKET, self._bucket_of(buckets)
-        )
+        keyed = source.dropna(subset=list(self.table.keys))
         # At most `buckets` numbers come back.
-        touched = [str(r[0]) for r in bucketed.select(BUCKET).distinct().collect()]
+        numbers = keyed.select(self._bucket_of(buckets).alias(BUCKET)).distinct()
+        touched = [str(r[0]) for r in numbers.collect()]
         folders = dict(manifest["folders"])
         new_folder = f"v={version + 1}"
         if touched:
             target = self._rows({b: folders[b] for b in touched if b in folders})
             update_cols = self.table.update_cols
-            merged = upsert(
-                target, bucketed.drop(BUCKET), self.table.keys, as_of, order, update_cols, newer_by
-            )
+            merged = upsert(target, source, self.table.keys, as_of, order, update_cols, newer_by)
             (
                 merged.withColumn(BUCKET, self._bucket_of(buckets))
                 .repartition(len(touched), BUCKET)

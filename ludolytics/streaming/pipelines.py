@@ -94,13 +94,15 @@ def batch_writer(
     table = KeyedTable(spark, pipeline.table, root, buckets)
 
     def write(messages: DataFrame, epoch: int) -> None:
+        # The merge reads the rows twice: for the buckets they touch and for their values.
         received = messages.select("value").persist()
+        rows = pipeline.transform(received).persist()
         try:
-            rows = pipeline.transform(received)
             table.upsert(rows, as_of if as_of is not None else _now(), (pipeline.name, epoch))
             bad = _without_key(pipeline, received)
             bad.write.mode("overwrite").json(f"{root}/rejected/{pipeline.name}/epoch={epoch}")
         finally:
+            rows.unpersist()
             received.unpersist()
 
     return write
