@@ -3,6 +3,7 @@
 from ludolytics.functions.text import clean_text, excerpt, strip_fences, without_links, words
 from ludolytics.functions.times import epoch_to_ntz, hour_bucket, hours_between, iso_to_ntz, ntz
 from ludolytics.functions.values import (
+    half_up,
     md5_key,
     percent,
     price_cents,
@@ -14,6 +15,7 @@ __all__ = [
     "clean_text",
     "epoch_to_ntz",
     "excerpt",
+    "half_up",
     "hour_bucket",
     "hours_between",
     "iso_to_ntz",

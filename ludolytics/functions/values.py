@@ -18,10 +18,15 @@ def md5_key(*parts: Column) -> Column:
     return F.when(complete, F.md5(joined))
 
 
+def half_up(value: Column, digits: int) -> Column:
+    """Rounds as a decimal, so a half that a double only nearly holds still goes up."""
+    return F.round(value.cast("decimal(30,10)"), digits).cast("double")
+
+
 def percent(part: Column, whole: Column, digits: int) -> Column:
     """part as a percentage of whole in double, null where whole is 0."""
     share = F.try_divide(part.cast("double") * 100.0, whole.cast("double"))
-    return F.round(share, digits)
+    return half_up(share, digits)
 
 
 def text_to_int(value: Column) -> Column:

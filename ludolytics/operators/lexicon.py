@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ludolytics.functions import words
+from ludolytics.functions import half_up, words
 from ludolytics.operators.sides import broadcast_if_small
 
 # A word and its valence take well under 100 bytes, so this is a broadcast below 100 MB.
@@ -130,12 +130,12 @@ def score_texts(
     total = p + n + plain
 
     def share(part: Column) -> Column:
-        return F.round(F.coalesce(F.try_divide(part, total), F.lit(0.0)), 3)
+        return half_up(F.coalesce(F.try_divide(part, total), F.lit(0.0)), 3)
 
     scored = sums.filter(F.col("text_length") > 0).select(
         *id_cols,
         "text_length",
-        F.round(s / F.sqrt(s * s + ALPHA), 4).alias("sentiment_compound"),
+        half_up(s / F.sqrt(s * s + ALPHA), 4).alias("sentiment_compound"),
         share(p).alias("sentiment_positive"),
         share(n).alias("sentiment_negative"),
         share(plain).alias("sentiment_neutral"),

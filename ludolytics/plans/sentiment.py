@@ -7,7 +7,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ludolytics.functions import clean_text, percent
+from ludolytics.functions import clean_text, half_up, percent
 from ludolytics.operators.lexicon import score_texts
 from ludolytics.operators.ranking import ranked_top_k, top_k_per_group
 
@@ -98,7 +98,7 @@ def game_sentiment_analysis(sentiments: DataFrame, analysis_date: date | str) ->
             percent(F.col(f"{s}_reviews"), total, 2).alias(f"{s}_review_pct")
             for s in ("positive", "negative", "neutral")
         ],
-        F.round(average("compound") * 50.0 + 50.0, 2).alias("sentiment_score"),
+        half_up(average("compound") * 50.0 + 50.0, 2).alias("sentiment_score"),
     )
 
 
@@ -185,7 +185,7 @@ def report_summary(games: DataFrame, analysis_date: date | str) -> DataFrame:
     def mean(name: str) -> Column:
         # Scores have two digits: decimal sums make the mean independent of row order.
         exact = F.sum(F.col(name).cast("decimal(10,2)")).cast("double")
-        return F.round(F.coalesce(F.try_divide(exact, count.cast("double")), F.lit(0.0)), 2)
+        return half_up(F.coalesce(F.try_divide(exact, count.cast("double")), F.lit(0.0)), 2)
 
     return _day(games, analysis_date).agg(
         F.countDistinct("appid").alias("games_analyzed"),
