@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ludolytics.llm import bpe, lzhash, simhash, tokencount
+from ludolytics.llm import bpe, lzhash, pii, simhash, tokencount, toxicity
 from ludolytics.llm.shared import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -46,3 +46,14 @@ def op5_bpe_round_trip(spark, sf):
 @query
 def op9_lz_fingerprints(spark, sf):
     return lzhash.compare_next(table(spark, sf, "documents"))
+
+
+@query
+def op1_pii_spans(spark, sf):
+    return pii.digests(pii.spans(table(spark, sf, "documents")))
+
+
+@query
+def op2_toxicity_nnpu(spark, sf):
+    docs = table(spark, sf, "documents")
+    return toxicity.scores(docs, toxicity.train(docs, table(spark, sf, "labels")))

@@ -235,5 +235,5 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     linked = components(keep(links(distinct, plan, distance, bucket)))
     rooted = keep(linked.join(distinct, linked["node"] == distinct["fp"]).select("fp", "root", "rep"))
     named = rooted.join(rooted.groupBy("root").agg(F.min("rep").alias("low")), "root").select("fp", "low")
-    owner = distinct.join(named, "fp", "left").select("fp", F.coalesce("low", "rep").alias("component_id"))
+    owner = keep(distinct.join(named, "fp", "left").select("fp", F.coalesce("low", "rep").alias("component_id")))
     return base.join(owner, "fp").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
