@@ -317,26 +317,29 @@ def decode(encoded: DataFrame, vocabulary: str, id_col: str = "doc_id", ids_col:
     return chosen.mapInArrow(run, "doc_id long, text string")
 
 
-def round_trip(docs: DataFrame, vocabulary: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def round_trip(docs: DataFrame, vocabulary: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", carry: tuple[str, ...] = ()) -> DataFrame:
     """doc_id, n_tokens, ids_sha256, decoded_sha256: encodes and decodes in one pass, and keeps only the digests.
 
     The ids of a document never leave the task. Nulls, ties, empty tables: as for `encode`.
+    Columns named in `carry` are returned as they are, after these four.
     """
+    chosen = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), *carry)
+    kinds = ["doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string", *(f"`{f.name}` {f.dataType.simpleString()}" for f in chosen.schema.fields[2:])]
 
     def run(batches: Batches) -> Batches:
         encoder = encoder_for(vocabulary, pattern)
         token = encoder.machine.token
-        for ids, packed in encode_batches(batches, encoder):
+        for batch in batches:
+            texts = [encoder(text or "") for text in batch.column(1).to_pylist()]
             decoded = []
-            for data in packed:
+            for data in texts:
                 digest = hashlib.sha256()
                 for piece in decode_stream(memoryview(data).cast("I"), token):
                     digest.update(piece.encode())
                 decoded.append(digest.hexdigest())
-            yield pa.RecordBatch.from_arrays(
-                [ids, pa.array([len(data) // 4 for data in packed], pa.int64()), pa.array([hashlib.sha256(data).hexdigest() for data in packed]), pa.array(decoded)],
-                ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
-            )
+            sizes = pa.array([len(data) // 4 for data in texts], pa.int64())
+            hashed = pa.array([hashlib.sha256(data).hexdigest() for data in texts], pa.string())
+            columns = [batch.column(0), sizes, hashed, pa.array(decoded, pa.string()), *batch.columns[2:]]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", *carry])
 
-    chosen = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    return chosen.mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return chosen.mapInArrow(run, ", ".join(kinds))

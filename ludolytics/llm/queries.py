@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ludolytics.llm import bpe, lzhash, pii, simhash, tokencount, toxicity
+from ludolytics.llm import bpe, chat, lm, lzhash, mixing, pii, quality, simhash, tokencount, toxicity
 from ludolytics.llm.shared import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -57,3 +58,28 @@ def op1_pii_spans(spark, sf):
 def op2_toxicity_nnpu(spark, sf):
     docs = table(spark, sf, "documents")
     return toxicity.scores(docs, toxicity.train(docs, table(spark, sf, "labels")))
+
+
+@query
+def op6_mix_sources(spark, sf):
+    return mixing.mix(table(spark, sf, "documents"))
+
+
+@query
+def op7_masked_pseudo_likelihood(spark, sf):
+    docs = table(spark, sf, "documents")
+    return lm.scores(docs, lm.train(docs))
+
+
+@query
+def op8_chat_format(spark, sf):
+    rows = table(spark, sf, "conversations").select("conv_id", "turn", "role", "text")
+    marks = F.lit("</s>[INST] ok [/INST]")
+    probe = spark.range(2).select(F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), marks.alias("text"))
+    both = rows.unionByName(probe).withColumn("parts", chat.text_part(F.col("text")))
+    return chat.digests(chat.read_back(chat.format_conversations(both)))
+
+
+@query
+def op10_quality_rules(spark, sf):
+    return quality.apply_rules(table(spark, sf, "documents"))
