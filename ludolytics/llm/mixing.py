@@ -16,7 +16,7 @@ from ludolytics.llm.shared import WORD, keep
 WEIGHTS = (5, 2, 1)
 MOST_EPOCHS = 3
 #: Documents of a source that are sorted together: a range of keys holds about so many.
-RANGE_ROWS = 20_000
+RANGE_ROWS = 2_000
 
 
 def quality_weight(text: Column) -> Column:
