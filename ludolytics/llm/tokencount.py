@@ -30,6 +30,8 @@ from ludolytics.llm.shared import once
 MARGIN = 64
 #: White space of which every kind of splitter knows; other kinds stay inside a piece.
 PIECES = re.compile(r"[^ \t\n\r]+")
+#: The splitter's own words in plain lower-case ASCII without an apostrophe, where its contractions play no part.
+PLAIN = re.compile(r"[a-z]+|[0-9]|[^\sa-z0-9]+", re.ASCII)
 
 #: The tokens of a text: where each ends (code points), and whether a word ends there.
 Ends = list[tuple[int, bool]]
@@ -79,6 +81,13 @@ def splice_count(text: str, ends: Callable[[str], Ends], chunk: int, overlap: in
     return total + len(first), widened
 
 
+def pieces(text: str) -> list[str]:
+    """Parts that are tokenized alone. Special strings begin with `<|` and are matched before lower-casing."""
+    if text.isascii() and "'" not in text and "<|" not in text:
+        return PLAIN.findall(text.lower())
+    return PIECES.findall(text)
+
+
 class Counter:
     """Counts with one tokenizer file. `chunk`: longer texts are read in chunks; `max_pieces` bounds what is remembered."""
 
@@ -97,13 +106,10 @@ class Counter:
         marks = self.word_ends
         return [(end, number in marks) for number, (_, end) in zip(found.ids, found.offsets, strict=True)]
 
-    def learn(self, texts: list[str]) -> None:
-        """Tokenizes all pieces of these texts that are not known yet, at one go."""
+    def learn(self, new: set[str]) -> None:
+        """Tokenizes those pieces that are not known yet, at one go."""
         if len(self._known) > self.max_pieces:
             self._known.clear()
-        new: set[str] = set()
-        for text in texts:
-            new.update(PIECES.findall(text))
         todo = list(new.difference(self._known))
         for start in range(0, len(todo), 1 << 16):
             part = todo[start : start + (1 << 16)]
@@ -111,9 +117,10 @@ class Counter:
                 self._known[piece] = len(found)
 
     def counts(self, texts: list[str]) -> list[int]:
-        self.learn([text for text in texts if len(text) <= self.chunk])
+        split = [pieces(text) if len(text) <= self.chunk else None for text in texts]
+        self.learn(set().union(*filter(None, split)))
         known = self._known
-        return [sum(map(known.__getitem__, PIECES.findall(text))) if len(text) <= self.chunk else self.huge(text) for text in texts]
+        return [self.huge(text) if parts is None else sum(map(known.__getitem__, parts)) for text, parts in zip(texts, split, strict=True)]
 
     def huge(self, text: str) -> int:
         return splice_count(text, self.ends, self.chunk, self.overlap)[0]
