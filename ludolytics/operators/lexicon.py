@@ -12,10 +12,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ludolytics.functions import half_up, words
-from ludolytics.operators.sides import broadcast_if_small
-
-# A word and its valence take well under 100 bytes, so this is a broadcast below 100 MB.
-MAX_BROADCAST_WORDS = 1_000_000
 
 # The normalisation constant, and the label thresholds (inclusive).
 ALPHA = 15.0
@@ -45,8 +41,10 @@ NEGATING = (
 # Valences are summed as whole numbers of this unit, so the order of the sum is free.
 _UNIT = 100_000_000
 
-# Stands for "this text exists"; no word contains a blank.
-_MARK = "a text"
+# Stand for "this text exists"; no word contains a blank. There are many of them, so that
+# they are no hot key where the join with the lexicon is a shuffle.
+_MARK = "a text "
+_MARKS = 512
 
 
 def _intensity(word: Column) -> Column:
@@ -69,8 +67,8 @@ def score_texts(
     """compound, positive, negative and neutral share of each text, with its label.
 
     id_cols identify a text and are carried along. Words meet the lexicon in an inner
-    equi-join (broadcast while the lexicon is small), which drops the many words without
-    a valence before anything is computed on them. Every text also sends one mark that
+    equi-join (broadcast where the optimizer finds the lexicon small), which drops the many words without
+    a valence before anything is computed on them. Every text also sends one of the marks that
     the lexicon side holds, so a text without any match stays. The aggregate then
     shrinks a text to one row before the only shuffle.
     Texts of length 0 are dropped, at the end: as a condition on the text the filter
@@ -83,7 +81,8 @@ def score_texts(
     )
     counted = listed.withColumn("n_words", F.size("w").cast("bigint"))
     carried = [*id_cols, "text_length", "n_words"]
-    mark = F.array(F.lit(_MARK))
+    number = F.pmod(F.xxhash64(*id_cols), F.lit(_MARKS))
+    mark = F.array(F.concat(F.lit(_MARK), number.cast("string")))
     if in_context:
         # The mark comes last, so it precedes no word.
         gap = F.array(F.lit(None).cast("string"))
@@ -99,9 +98,10 @@ def score_texts(
         shifted = counted
         spoken = F.explode(F.concat("w", mark)).alias("token")
     marked = lexicon.select("token", F.col("valence").cast("double").alias("valence")).union(
-        lexicon.sparkSession.range(1).select(F.lit(_MARK), F.lit(0.0))
+        lexicon.sparkSession.range(_MARKS).select(
+            F.concat(F.lit(_MARK), F.col("id").cast("string")), F.lit(0.0)
+        )
     )
-    marked = broadcast_if_small(marked, MAX_BROADCAST_WORDS)
     matched = shifted.select(*carried, spoken).join(marked, "token")
 
     value = F.col("valence")

@@ -9,11 +9,6 @@ from pyspark.sql import functions as F
 
 _SLICE = "_slice"
 
-# Up to this k Spark limits groups before the shuffle
-# (spark.sql.optimizer.windowGroupLimitThreshold).
-MAX_MAP_SIDE_K = 1000
-MIN_SLICES = 32
-
 
 def top_k(df: DataFrame, order: Sequence[Column], k: int | None) -> DataFrame:
     """The first k rows in the given order; every row if k is None."""
@@ -41,13 +36,11 @@ def top_k_per_group(
 
     A filter on row_number lets every map task keep k rows of a group at most, so a group
     with a large share of all rows reaches its task as k rows per map task, whatever its
-    size. Spark does this up to MAX_MAP_SIDE_K.
+    size. Spark does this up to spark.sql.optimizer.windowGroupLimitThreshold rows.
     With few, large groups and many map tasks even that is much for one task: slices > 1
     ranks the rows of every `slices`-th map task first and then the k * slices survivors.
     It is not the default, as it moves the rows of small groups twice.
     """
-    if k > MAX_MAP_SIDE_K:
-        slices = max(slices, MIN_SLICES)
     if slices > 1:
         # One slice per map task, not per row: the map side then still keeps k rows of a group.
         sliced = df.withColumn(_SLICE, F.pmod(F.spark_partition_id(), F.lit(slices)))

@@ -1,7 +1,7 @@
 """Keyed upsert as a DataFrame expression.
 
 Built-in Parquet tables cannot be the target of MERGE INTO, so the merge is a full
-outer join on the key. sources.tables.KeyedTable stores its result.
+outer join on the key. sources.tables.ChangeTable keeps batches as changes instead.
 """
 
 from __future__ import annotations

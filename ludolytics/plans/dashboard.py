@@ -155,12 +155,14 @@ def sample_users(players: DataFrame, limit: int = 20) -> DataFrame:
     return top_k(named.distinct(), [F.col("steamid"), F.col("personaname")], limit)
 
 
-def user_totals(stats: DataFrame, limit: int = 50) -> DataFrame:
-    """Games and hours over the games that a profile shows, for every player."""
+def user_totals(stats: DataFrame, limit: int | None = None) -> DataFrame:
+    """Games and hours of every player; with a limit, over the games that a profile page shows."""
     named = stats.filter(F.col("name").isNotNull()).select(
         "steamid", "appid", "playtime_forever", "playtime_2weeks"
     )
-    shown = top_k_per_group(named, ["steamid"], _by_playtime(), limit, "position")
+    shown = named
+    if limit is not None:
+        shown = top_k_per_group(named, ["steamid"], _by_playtime(), limit, "position")
     return shown.groupBy("steamid").agg(
         F.count(F.lit(1)).alias("total_games"),
         (F.sum("playtime_forever") / 60.0).alias("total_hours"),

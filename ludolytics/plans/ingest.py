@@ -161,13 +161,13 @@ def ranking_rows(documents: DataFrame, fetched_at: datetime | str) -> DataFrame:
 def normalised_reviews(
     pages: DataFrame,
     names: DataFrame,
-    reviews_per_game: int | None = 100,
+    reviews_per_game: int | None = None,
     language: str | None = None,
     max_chars: int | None = None,
 ) -> DataFrame:
-    """Review pages (appid, value, fetched_at) to rows, the newest reviews of each game.
+    """Review pages (appid, value, fetched_at) to rows: every review, with its whole text.
 
-    Whole texts are kept unless max_chars asks for a cut.
+    reviews_per_game and max_chars are options: the newest reviews of each game, a cut text.
     """
     page = F.from_json(F.col("value").cast("string"), S.REVIEW_PAGE).alias("page")
     reviews = (

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ludolytics.functions import text_to_int
 from ludolytics.operators.ranking import ranked_top_k, top_k_per_group
 from ludolytics.plans.views import tag_votes
 
@@ -47,7 +46,7 @@ def popular_games(history: DataFrame) -> DataFrame:
 
 
 def recent_reviews(reviews: DataFrame, k: int = REVIEWS_PER_GAME) -> DataFrame:
-    """The latest reviews of each game with their position."""
+    """The latest reviews of each game with their position; texts are fetched for the ranked ids only."""
     columns = [
         "appid",
         "game_name",
@@ -62,9 +61,9 @@ def recent_reviews(reviews: DataFrame, k: int = REVIEWS_PER_GAME) -> DataFrame:
         "timestamp_updated",
     ]
     order = [F.col("timestamp_updated").desc_nulls_last(), F.col("review_id")]
-    needed = reviews.select("review_id", *columns)
-    ranked = top_k_per_group(needed, ["appid"], order, k, "position")
-    return ranked.select(*columns, "position")
+    narrow = reviews.select("review_id", "appid", "timestamp_updated")
+    ranked = top_k_per_group(narrow, ["appid"], order, k, "position").select("review_id", "position")
+    return reviews.join(ranked, "review_id").select(*columns, "position")
 
 
 def ranking_list(
@@ -98,9 +97,15 @@ def catalogue_up_to(pages: DataFrame, max_games: int) -> DataFrame:
     return pages.orderBy("page", "position").limit(max_games)
 
 
+def owners_at_least(owners: Column) -> Column:
+    """The first number of an owners text, such as `1,000,000 .. 2,000,000`; null without one."""
+    first = F.regexp_extract(F.regexp_replace(owners, r"(?<=\d)[,.\u00a0'](?=\d{3})", ""), r"\d+", 0)
+    return F.when(first != "", first).cast("bigint")
+
+
 def games_to_track(game_info: DataFrame, n: int) -> DataFrame:
     """The games whose counts, reviews and details are collected."""
-    owners = text_to_int(F.regexp_replace("owners", "k$", ""))
+    owners = owners_at_least(F.col("owners"))
     lists = [
         ranking_list(game_info, "top100in2weeks", F.col("ccu")),
         ranking_list(game_info, "top100forever", F.col("positive")),

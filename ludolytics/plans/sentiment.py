@@ -24,10 +24,11 @@ def unscored_reviews(
     reviews: DataFrame, sentiments: DataFrame, max_rows: int | None = None
 ) -> DataFrame:
     """Reviews with enough text that have no sentiment yet; max_rows makes a bounded run."""
+    new = reviews.select("review_id").join(sentiments.select("review_id"), "review_id", "left_anti")
     fresh = (
         reviews.filter(F.col("review_text").isNotNull())
         .filter(F.length("review_text") > MIN_TEXT_LENGTH)
-        .join(sentiments.select("review_id"), "review_id", "left_anti")
+        .join(new.distinct(), "review_id", "left_semi")
         .select("review_id", "appid", "game_name", "review_text", "voted_up", "playtime_at_review")
     )
     return fresh if max_rows is None else fresh.orderBy("review_id").limit(max_rows)

@@ -18,16 +18,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def texts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The documents, spread over the cores where they lie in too few splits for them.
-
-    Work on texts is bound by the processor, and a small file is one split. A table
-    with at least as many splits as cores, as any large one, is left as it is.
-    """
-    documents = table(spark, sf_dir, "documents")
-    cores = spark.sparkContext.defaultParallelism
-    if documents.rdd.getNumPartitions() >= cores:
-        return documents
-    return documents.repartition(cores, "doc_id")
+    return table(spark, sf_dir, "documents")
 
 
 def game_player_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -75,7 +66,7 @@ def game_info(spark: SparkSession, sf_dir: str, shipped: str | None = None) -> D
         "p_brand AS developer",
         "p_name AS publisher",
         "p_type AS genre",
-        "concat(cast(p_size AS string), 'k') AS owners",
+        "concat(format_number(p_size * 1000, 0), ' .. ', format_number(p_size * 2000, 0)) AS owners",
         "CASE WHEN p_partkey % 11 = 0 THEN '' WHEN p_partkey % 13 = 0 THEN '0' "
         "ELSE cast(cast(round(p_retailprice * 100) AS int) AS string) END AS price",
         "CASE WHEN p_partkey % 17 = 0 THEN NULL ELSE cast(qty AS int) END AS ccu",

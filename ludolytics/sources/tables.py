@@ -1,177 +1,131 @@
-"""Parquet tables: keyed tables with upsert, and tables replaced or appended by date.
-
-MERGE needs a row-level capable catalogue, which plain Parquet is not. A KeyedTable
-holds its rows in hash buckets of the key; an upsert reads and rewrites only the
-buckets that the batch touches, into a new folder, and then publishes a small manifest
-naming the folder of every bucket. A reader takes one manifest and so never sees half
-a merge; a writer that dies leaves the table as it was.
+"""Parquet tables: keyed tables as logs of changes, and tables replaced or appended by date.
+
+MERGE needs a row-level capable catalogue (`operators.upsert.merge_into`), which plain
+Parquet is not. A ChangeTable therefore only adds: every micro-batch becomes a partition
+(stream query, epoch) of a change table, and the state is the fold of all changes by key. A
+batch writes its own rows and no others; a repeated epoch overwrites its own partition; a
+new checkpoint is a new query and so overwrites nothing. A scheduled run folds old
+changes into a snapshot.
 """
 
 from __future__ import annotations
 
-import json
 from collections.abc import Sequence
-from datetime import date
+from datetime import date, datetime
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ludolytics.operators.upsert import STAMPS, upsert
 from ludolytics.sources.schemas import Table
 
-BUCKET = "_bucket"
+QUERY, EPOCH, UPTO = "_query", "_epoch", "_upto"
+DAY, VERSION = "_day", "_version"
 
 
-def shared_root(spark: SparkSession, default: str | None = None) -> str:
-    """The shared folder that the cluster names; `default` only where it names none."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or default
+def shared_root(spark: SparkSession) -> str:
+    """The shared folder that the cluster names."""
+    root = spark.conf.get("spark.checkpoint.dir", None)
     if root is None:
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     return root.rstrip("/")
 
 
-class _Folder:
-    """The few file system calls that the manifests need, on any Hadoop file system."""
-
-    def __init__(self, spark: SparkSession, path: str) -> None:
-        self._jvm = spark._jvm
-        self.path = self._jvm.org.apache.hadoop.fs.Path(path)
-        self.fs = self.path.getFileSystem(spark._jsc.hadoopConfiguration())
-
-    def _child(self, name: str):
-        return self._jvm.org.apache.hadoop.fs.Path(self.path, name)
-
-    def names(self) -> list[str]:
-        if not self.fs.exists(self.path):
-            return []
-        return [status.getPath().getName() for status in self.fs.listStatus(self.path)]
-
-    def read(self, name: str) -> str:
-        stream = self.fs.open(self._child(name))
-        try:
-            return self._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
-        finally:
-            stream.close()
-
-    def create(self, name: str, text: str) -> None:
-        """Writes a file that appears whole or not at all; an existing one is an error."""
-        draft = self._child(f".{name}.draft")
-        stream = self.fs.create(draft, True)
-        try:
-            stream.write(bytearray(text.encode()))
-        finally:
-            stream.close()
-        if not self.fs.rename(draft, self._child(name)):
-            raise RuntimeError(f"another writer published {name}")
-
-    def delete(self, name: str) -> None:
-        self.fs.delete(self._child(name), True)
-
-
-class KeyedTable:
-    """A table whose rows are unique by key."""
-
-    def __init__(
-        self,
-        spark: SparkSession,
-        table: Table,
-        root: str,
-        buckets: int = 64,
-        keep_versions: int = 5,
-    ) -> None:
+def _stored(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """The Parquet rows below a path; none where nothing was written yet."""
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
+
+
+class ChangeTable:
+    """A table whose rows are unique by key, kept as its changes.
+
+    newer_by names a column by which a change is newer than another; without it the one
+    that came later is. The first change of a key gives the columns that aren't updated.
+    """
+
+    def __init__(self, spark: SparkSession, table: Table, root: str, newer_by: str | None = None) -> None:
         self.spark = spark
         self.table = table
-        self.path = f"{root.rstrip('/')}/{table.name}"
-        self.buckets = buckets
-        self.keep_versions = keep_versions
-        self._manifests = _Folder(spark, f"{self.path}/manifests")
-
-    def _versions(self) -> list[int]:
-        return sorted(
-            int(n.removesuffix(".json")) for n in self._manifests.names() if n.endswith(".json")
-            and not n.startswith(".")
-        )
-
-    def _manifest(self, version: int) -> dict:
-        return json.loads(self._manifests.read(f"{version}.json"))
-
-    def _latest(self) -> tuple[int, dict]:
-        versions = self._versions()
-        if not versions:
-            return 0, {"buckets": self.buckets, "folders": {}, "batches": {}}
-        return versions[-1], self._manifest(versions[-1])
-
-    def _bucket_of(self, buckets: int) -> Column:
-        keys = [F.col(k).cast("string") for k in self.table.keys]
-        return F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
-
-    def _empty(self) -> DataFrame:
-        return self.spark.createDataFrame([], self.table.schema)
-
-    def _rows(self, folders: dict[str, str]) -> DataFrame:
-        if not folders:
-            return self._empty()
-        paths = [f"{self.path}/{folder}/{BUCKET}={bucket}" for bucket, folder in folders.items()]
-        return self.spark.read.schema(self.table.schema).parquet(*paths)
+        self.newer_by = newer_by
+        self.changes = f"{root.rstrip('/')}/{table.name}/changes"
+        self.snapshots = f"{root.rstrip('/')}/{table.name}/snapshots"
+        extra = [T.StructField(QUERY, T.StringType()), T.StructField(EPOCH, T.LongType())]
+        self._change_schema = T.StructType([*table.schema.fields, *extra])
+
+    def write(self, rows: DataFrame, as_of: Column, query: str, epoch: int) -> None:
+        """Adds the changes of one epoch, or writes them again; rows without a whole key are left out."""
+        stamped = rows.dropna(subset=list(self.table.keys)).withColumns({stamp: as_of for stamp in STAMPS})
+        given = [
+            (F.col(f.name) if f.name in stamped.columns else F.lit(None)).cast(f.dataType).alias(f.name)
+            for f in self.table.schema.fields
+        ]
+        (
+            stamped.select(*given, F.lit(query).alias(QUERY), F.lit(epoch).cast("long").alias(EPOCH))
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy(QUERY, EPOCH)
+            .parquet(self.changes)
+        )
+
+    def _all(self) -> DataFrame:
+        changes = _stored(self.spark, self.changes, self._change_schema)
+        kept = T.StructType([*self._change_schema.fields[:-2], T.StructField(UPTO, T.TimestampNTZType())])
+        snapshots = _stored(self.spark, self.snapshots, kept)
+        last = snapshots.agg(F.max(UPTO).alias("last"))
+        newest = snapshots.join(F.broadcast(last), F.col(UPTO) == F.col("last")).drop(UPTO, "last")  # one row
+        newest = newest.withColumns({QUERY: F.lit(""), EPOCH: F.lit(-1).cast("long")})
+        open_changes = changes.join(F.broadcast(last), F.col("last").isNull() | (F.col("updated_at") >= F.col("last"))).drop("last")
+        return newest.unionByName(open_changes)
 
     def read(self) -> DataFrame:
-        """The table as of now; an empty one where nothing was written yet."""
-        return self._rows(self._latest()[1]["folders"])
-
-    def upsert(
-        self,
-        source: DataFrame,
-        as_of: Column,
-        batch: tuple[str, int] | None = None,
-        order: Sequence[str] = ("fetched_at",),
-        newer_by: str | None = None,
-    ) -> int:
-        """Merges source and gives the new version.
-
-        batch = (stream, epoch) is remembered: an epoch that comes again is skipped.
+        """The state as of now; an empty table where nothing was written yet."""
+        return self._folded(self._all())
+
+    def _folded(self, changes: DataFrame) -> DataFrame:
+        names = self.table.schema.names
+        updated = [c for c in (self.table.update_cols or names) if c not in (*self.table.keys, *STAMPS)]
+        fixed = [c for c in names if c not in (*self.table.keys, *STAMPS, *updated)]
+        comparable = [f.name for f in self.table.schema.fields if f.dataType.typeName() not in ("map", "variant")]
+        own = ["fetched_at"] if "fetched_at" in names else []
+        # The hash only decides between changes of equal times, so that a rerun repeats itself.
+        arrival = ["updated_at", EPOCH, *own, F.xxhash64(*comparable)]
+        first = F.struct("inserted_at", *arrival)
+        last = F.struct(*([self.newer_by] if self.newer_by else []), *arrival)
+        folds = [F.min("inserted_at").alias("inserted_at"), F.max_by(F.struct("updated_at", *updated), last).alias("_last")]
+        if fixed:
+            folds.append(F.min_by(F.struct(*fixed), first).alias("_first"))
+        folded = changes.groupBy(*self.table.keys).agg(*folds)
+
+        def column(name: str) -> Column:
+            if name in self.table.keys or name == "inserted_at":
+                return F.col(name)
+            return F.col("_first" if name in fixed else "_last")[name].alias(name)
+
+        return folded.select(*[column(name) for name in names])
+
+    def compact(self, upto: datetime | str) -> None:
+        """Writes a snapshot of the changes before `upto`, which must be older than any batch that still runs.
+
+        Readers take the newest snapshot and the changes since. Nothing is deleted: retention
+        may drop older snapshots and changes when no reader is left on them.
         """
-        version, manifest = self._latest()
-        if batch is not None and manifest["batches"].get(batch[0], -1) >= batch[1]:
-            return version
-        buckets = manifest["buckets"]
-        keyed = source.dropna(subset=list(self.table.keys))
-        # At most `buckets` numbers come back.
-        numbers = keyed.select(self._bucket_of(buckets).alias(BUCKET)).distinct()
-        touched = [str(r[0]) for r in numbers.collect()]
-        folders = dict(manifest["folders"])
-        new_folder = f"v={version + 1}"
-        if touched:
-            target = self._rows({b: folders[b] for b in touched if b in folders})
-            update_cols = self.table.update_cols
-            merged = upsert(target, source, self.table.keys, as_of, order, update_cols, newer_by)
-            (
-                merged.withColumn(BUCKET, self._bucket_of(buckets))
-                .repartition(len(touched), BUCKET)
-                .write.mode("overwrite")
-                .partitionBy(BUCKET)
-                .parquet(f"{self.path}/{new_folder}")
-            )
-            folders |= dict.fromkeys(touched, new_folder)
-        batches = manifest["batches"] | ({batch[0]: batch[1]} if batch is not None else {})
-        published = {"buckets": buckets, "folders": folders, "batches": batches}
-        self._manifests.create(f"{version + 1}.json", json.dumps(published))
-        self._forget_old()
-        return version + 1
-
-    def _forget_old(self) -> None:
-        """Drops the manifests beyond keep_versions and the folders only they named."""
-        versions = self._versions()
-        old = versions[: -self.keep_versions]
-        if not old:
-            return
-        kept = {f for v in versions[-self.keep_versions :] for f in self._manifest(v)["folders"].values()}
-        data = _Folder(self.spark, self.path)
-        for version in old:
-            self._manifests.delete(f"{version}.json")
-        for name in data.names():
-            number = name.removeprefix("v=")
-            if name.startswith("v=") and int(number) <= old[-1] and name not in kept:
-                data.delete(name)
+        text = str(upto).replace(" ", "T")
+        old = self._all().where(F.col("updated_at") < F.lit(text).cast("timestamp_ntz"))
+        (
+            self._folded(old)
+            .withColumn(UPTO, F.lit(text).cast("timestamp_ntz"))
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy(UPTO)
+            .parquet(self.snapshots)
+        )
 
 
 # ---- tables kept by date ------------------------------------------------------
@@ -180,9 +134,17 @@ class KeyedTable:
 def read_table(spark: SparkSession, table: Table, root: str) -> DataFrame:
     """The stored rows; an empty table where nothing was written yet."""
     path = f"{root.rstrip('/')}/{table.name}"
-    if not _Folder(spark, path).names():
-        return spark.createDataFrame([], table.schema)
-    return spark.read.schema(table.schema).parquet(path).select(*table.schema.names)
+    return _stored(spark, path, table.schema).select(*table.schema.names)
+
+
+def read_dates(
+    spark: SparkSession, table: Table, root: str, low: date | str, high: date | str
+) -> DataFrame:
+    """The stored rows of a table appended by date, between two dates; other partitions are not listed into the scan."""
+    dated = T.StructType([*table.schema.fields, T.StructField(DAY, T.DateType())])
+    stored = _stored(spark, f"{root.rstrip('/')}/{table.name}", dated)
+    days = F.col(DAY).between(F.lit(str(low)).cast("date"), F.lit(str(high)).cast("date"))
+    return stored.filter(days).select(*table.schema.names)
 
 
 def _typed(rows: DataFrame, table: Table) -> DataFrame:
@@ -192,17 +154,43 @@ def _typed(rows: DataFrame, table: Table) -> DataFrame:
 def replace_date(
     rows: DataFrame, table: Table, root: str, date_col: str, day: date | str
 ) -> None:
-    """Replaces the rows of one day, also by none; all other days stay."""
-    chosen = F.col(date_col) == F.lit(str(day)).cast("date")
-    of_day = _typed(rows, table).filter(chosen).drop(date_col)
-    of_day.write.mode("overwrite").parquet(
-        f"{root.rstrip('/')}/{table.name}/{date_col}={day}"
-    )
+    """Replaces the rows of one day, also by none; all other days stay.
 
-
-def append(rows: DataFrame, table: Table, root: str, partition_by: Sequence[str] = ()) -> None:
-    writer = _typed(rows, table).write.mode("append").partitionBy(*partition_by)
-    writer.parquet(f"{root.rstrip('/')}/{table.name}")
+    New files are staged before the old ones go. Only a day that becomes empty is simply cleared.
+    """
+    chosen = F.col(date_col) == F.lit(str(day)).cast("date")
+    of_day = _typed(rows, table).filter(chosen)
+    path = f"{root.rstrip('/')}/{table.name}"
+    if of_day.isEmpty():
+        of_day.drop(date_col).write.mode("overwrite").parquet(f"{path}/{date_col}={day}")
+        return
+    writer = of_day.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy(date_col).parquet(path)
+
+
+def append(rows: DataFrame, table: Table, root: str, date_of: str | None = None) -> None:
+    """Adds rows; date_of names a time by whose date the files are partitioned."""
+    typed = _typed(rows, table)
+    by: Sequence[str] = ()
+    if date_of is not None:
+        typed, by = typed.withColumn(DAY, F.to_date(date_of)), (DAY,)
+    typed.write.mode("append").partitionBy(*by).parquet(f"{root.rstrip('/')}/{table.name}")
+
+
+def replace_table(rows: DataFrame, table: Table, root: str, version: date | str) -> None:
+    """Stores a whole mart as a version of its own; a repeated version replaces itself."""
+    stamped = _typed(rows, table).withColumn(VERSION, F.lit(str(version)))
+    writer = stamped.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy(VERSION).parquet(f"{root.rstrip('/')}/{table.name}")
+
+
+def read_latest(spark: SparkSession, table: Table, root: str) -> DataFrame:
+    """The rows of the greatest version that is stored."""
+    versioned = T.StructType([*table.schema.fields, T.StructField(VERSION, T.StringType())])
+    stored = _stored(spark, f"{root.rstrip('/')}/{table.name}", versioned)
+    last = stored.agg(F.max(VERSION).alias("_last"))
+    newest = stored.join(F.broadcast(last), F.col(VERSION) == F.col("_last"))  # one row
+    return newest.select(*table.schema.names)
 
 
 def with_stamps(rows: DataFrame, table: Table, as_of: Column) -> DataFrame:

@@ -18,6 +18,7 @@ class Broker:
     bootstrap_servers: str
     starting_offsets: str = "latest"
     max_offsets_per_trigger: int = 1000
+    fail_on_data_loss: bool = True
 
     def stream(self, spark: SparkSession, topic: str) -> DataFrame:
         return (
@@ -26,7 +27,7 @@ class Broker:
             .option("subscribe", topic)
             .option("startingOffsets", self.starting_offsets)
             .option("maxOffsetsPerTrigger", self.max_offsets_per_trigger)
-            .option("failOnDataLoss", "false")
+            .option("failOnDataLoss", str(self.fail_on_data_loss).lower())
             .load()
             .select("key", "value", "timestamp")
         )

@@ -22,7 +22,7 @@ def run_popular_games(spark: SparkSession, counts: DataFrame, root: str) -> Data
     """Appends the latest snapshot to the history once; gives the current ranking."""
     history = read_table(spark, S.POPULAR_GAMES_HISTORICAL, root)
     new = marts.new_history_rows(history, marts.popular_games_snapshot(counts))
-    append(new, S.POPULAR_GAMES_HISTORICAL, root)
+    append(new, S.POPULAR_GAMES_HISTORICAL, root, date_of="fetched_at")
     return marts.popular_games(read_table(spark, S.POPULAR_GAMES_HISTORICAL, root))
 
 

@@ -1,14 +1,17 @@
 """The four topic pipelines and the sample pipeline.
 
-Every micro-batch is merged by key, and the table remembers the last epoch of each
-stream, so a batch that is repeated after a failure changes nothing. Messages without a
-complete key go to a reject folder, one per stream and epoch, which a repeat overwrites.
+Every micro-batch is written as its own partition (stream query, epoch) of a change table,
+so a batch that is repeated after a failure overwrites itself and a stream with a new
+checkpoint overwrites nothing. Messages without a complete key go to a reject folder by
+the same two numbers.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
+from datetime import datetime
+from functools import partial
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,7 +21,7 @@ from pyspark.sql.streaming import StreamingQuery
 from ludolytics.functions import ntz
 from ludolytics.plans import ingest
 from ludolytics.sources import schemas as S
-from ludolytics.sources.tables import KeyedTable, append, read_table, with_stamps
+from ludolytics.sources.tables import ChangeTable, append, read_dates, with_stamps
 from ludolytics.sources.topics import Broker, LandedFiles
 
 # Seconds between triggers, and what a drain run waits for.
@@ -88,26 +91,31 @@ def batch_writer(
     pipeline: Pipeline,
     root: str,
     as_of: Column | None = None,
-    buckets: int = 64,
 ) -> Callable[[DataFrame, int], None]:
     """The foreachBatch function of a pipeline."""
-    table = KeyedTable(spark, pipeline.table, root, buckets)
+    table = ChangeTable(spark, pipeline.table, root)
 
     def write(messages: DataFrame, epoch: int) -> None:
-        # The merge reads the rows twice: for the buckets they touch and for their values.
+        query = query_of(messages)
         received = messages.select("value").persist()
-        rows = pipeline.transform(received).persist()
         try:
-            table.upsert(rows, as_of if as_of is not None else _now(), (pipeline.name, epoch))
+            rows = pipeline.transform(received)
+            table.write(rows, as_of if as_of is not None else _now(), query, epoch)
             bad = _without_key(pipeline, received)
-            bad.write.mode("overwrite").json(f"{root}/rejected/{pipeline.name}/epoch={epoch}")
+            folder = f"{root}/rejected/{pipeline.name}/query={query}/epoch={epoch}"
+            bad.write.mode("overwrite").json(folder)
         finally:
-            rows.unpersist()
             received.unpersist()
 
     return write
 
 
+def query_of(batch: DataFrame) -> str:
+    """The id that a stream keeps in its checkpoint; `batch` outside of a stream."""
+    context = batch.sparkSession.sparkContext
+    return context.getLocalProperty("sql.streaming.queryId") or "batch"
+
+
 def _without_key(pipeline: Pipeline, messages: DataFrame) -> DataFrame:
     """The raw values whose rows lack a part of the key."""
     text = F.col("value").cast("string")
@@ -126,7 +134,6 @@ def start(
     once: bool = False,
     trigger: str = TRIGGER,
     as_of: Column | None = None,
-    buckets: int = 64,
 ) -> StreamingQuery:
     """Starts a pipeline; `once` drains what is there and stops."""
     _use_utc(spark)
@@ -135,7 +142,7 @@ def start(
         .writeStream.outputMode("append")
         .queryName(pipeline.name)
         .option("checkpointLocation", f"{root}/checkpoints/{pipeline.name}")
-        .foreachBatch(batch_writer(spark, pipeline, root, as_of, buckets))
+        .foreachBatch(batch_writer(spark, pipeline, root, as_of))
     )
     timed = writer.trigger(availableNow=True) if once else writer.trigger(processingTime=trigger)
     return timed.start()
@@ -144,10 +151,21 @@ def start(
 def start_drain(
     spark: SparkSession, pipeline: Pipeline, source: Broker | LandedFiles, root: str
 ) -> StreamingQuery:
-    """The periodic drain: a longer trigger, offsets kept by the checkpoint."""
+    """The periodic drain: a longer trigger, from the earliest message on; offsets are kept by the checkpoint."""
+    if isinstance(source, Broker):
+        source = replace(source, starting_offsets="earliest")
     return start(spark, pipeline, source, root, trigger=DRAIN_INTERVAL)
 
 
+def game_info_loader(as_of: datetime | str) -> Pipeline:
+    """The loader's form of the game info pipeline: `ingest.prepared_game_info`, under a name and checkpoint of its own."""
+    return replace(
+        PIPELINES["game_info"],
+        name="game_info_loader",
+        transform=partial(ingest.prepared_game_info, as_of=as_of),
+    )
+
+
 # ---- live count samples --------------------------------------------------------
 
 LATEST_COUNTS = S.Table(
@@ -171,9 +189,9 @@ def sample_writer(
     """foreachBatch function for live count documents (appid, value, fetched_at).
 
     Samples are appended after leaving out those already stored for the same times
-    (one cycle fills few files, so the time range skips nearly all others); the latest count of each game is kept by a merge that ignores older samples.
+    (in the partitions of their dates only); the latest count of each game is the newest change by its time.
     """
-    latest = KeyedTable(spark, LATEST_COUNTS, root)
+    latest = ChangeTable(spark, LATEST_COUNTS, root, newer_by="fetched_at")
 
     def write(documents: DataFrame, epoch: int) -> None:
         now = as_of if as_of is not None else _now()
@@ -182,14 +200,12 @@ def sample_writer(
             days = samples.agg(F.min("fetched_at"), F.max("fetched_at")).first()
             if days[0] is None:
                 return
-            stored = read_table(spark, S.GAME_PLAYER_COUNTS, root).filter(
-                F.col("fetched_at").between(ntz(days[0]), ntz(days[1]))
-            )
+            stored = read_dates(spark, S.GAME_PLAYER_COUNTS, root, days[0].date(), days[1].date())
+            stored = stored.filter(F.col("fetched_at").between(ntz(days[0]), ntz(days[1])))
             fresh = ingest.new_samples(stored, samples)
-            append(with_stamps(fresh, S.GAME_PLAYER_COUNTS, now), S.GAME_PLAYER_COUNTS, root)
-            latest.upsert(
-                samples.drop("record_id"), now, ("samples", epoch), newer_by="fetched_at"
-            )
+            stamped = with_stamps(fresh, S.GAME_PLAYER_COUNTS, now)
+            append(stamped, S.GAME_PLAYER_COUNTS, root, date_of="fetched_at")
+            latest.write(samples.drop("record_id"), now, query_of(documents), epoch)
         finally:
             samples.unpersist()
 

@@ -13,10 +13,10 @@ def db():
 
 
 def test_every_query_has_a_counterpart():
-    assert entry.queries().keys() == entry.oracle_sql().keys()
+    assert entry.QUERIES.keys() == entry.ORACLE.keys()
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
 def test_query_equals_sql(spark, db, name):
     assert differences(entry.queries()[name](spark, SF_DIR), db, entry.oracle_sql()[name]) is None
 

@@ -34,15 +34,6 @@ def test_map_side_limit_is_planned(spark):
         assert plan.count("Partial") == plan.count("Exchange") == (1 if slices == 1 else 2)
 
 
-def test_large_k_uses_slices(spark, monkeypatch):
-    from ludolytics.operators import ranking
-
-    monkeypatch.setattr(ranking, "MAX_MAP_SIDE_K", 3)
-    order = [F.col("v").desc_nulls_last(), F.col("id")]
-    got = top_k_per_group(skewed(spark), ["g"], order, 5, "rank")
-    assert got.groupBy("g").count().filter("count <> 5").count() == 0
-
-
 def test_ranks_have_no_gaps(spark):
     rows = ranked_top_k(skewed(spark), [F.col("v").desc_nulls_last(), F.col("id")], 17, "rank")
     assert sorted(r["rank"] for r in rows.collect()) == list(range(1, 18))

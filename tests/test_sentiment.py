@@ -60,13 +60,14 @@ def test_shares_add_up(spark, lexicon):
         assert abs(total - 1) < 0.002
 
 
-def test_a_large_lexicon_is_not_broadcast(spark, lexicon, monkeypatch):
-    from ludolytics.operators import lexicon as module
-
+def test_a_shuffled_lexicon_gives_the_same(spark, lexicon):
     texts = ["good day", "bad bad", "nothing here"]
     expected = scores(spark, lexicon, texts)
-    monkeypatch.setattr(module, "MAX_BROADCAST_WORDS", 1)
-    assert scores(spark, lexicon, texts) == expected
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert scores(spark, lexicon, texts) == expected
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
 def test_label_thresholds(spark):

@@ -8,7 +8,7 @@ from ludolytics.operators.publish import write_messages
 from ludolytics.plans import ingest
 from ludolytics.sources import documents as D
 from ludolytics.sources import schemas as S
-from ludolytics.sources.tables import KeyedTable, read_table
+from ludolytics.sources.tables import ChangeTable, read_table
 from ludolytics.sources.topics import LandedFiles
 from ludolytics.streaming import jobs
 from ludolytics.streaming.pipelines import (
@@ -31,11 +31,11 @@ def land(path, topic, messages, name):
 
 def drain(spark, name, path, root):
     query = start(
-        spark, PIPELINES[name], LandedFiles(str(path)), root, once=True, as_of=ntz(NOW), buckets=2
+        spark, PIPELINES[name], LandedFiles(str(path)), root, once=True, as_of=ntz(NOW)
     )
     query.awaitTermination()
     table = PIPELINES[name].table
-    return KeyedTable(spark, table, root, 2).read()
+    return ChangeTable(spark, table, root).read()
 
 
 def test_stream_equals_batch_and_a_second_run_changes_nothing(spark, sf_dir, tmp_path):
@@ -88,9 +88,9 @@ def test_later_messages_update_and_damaged_ones_are_set_aside(spark, tmp_path):
     assert rows[0].rtime_last_played is None
 
 
-def test_a_repeated_epoch_is_skipped(spark, tmp_path):
+def test_a_repeated_epoch_replaces_itself(spark, tmp_path):
     root = str(tmp_path)
-    write = batch_writer(spark, PIPELINES["players"], root, ntz(NOW), buckets=2)
+    write = batch_writer(spark, PIPELINES["players"], root, ntz(NOW))
 
     def batch(name):
         value = json.dumps({"steamid": "1", "personaname": name})
@@ -99,13 +99,36 @@ def test_a_repeated_epoch_is_skipped(spark, tmp_path):
         )
 
     write(batch("a"), 0)
-    write(batch("b"), 0)
-    table = KeyedTable(spark, S.PLAYERS, root, 2)
+    write(batch("a"), 0)
+    table = ChangeTable(spark, S.PLAYERS, root)
     assert [r.personaname for r in table.read().collect()] == ["a"]
+    assert table._all().count() == 1
     write(batch("b"), 1)
     assert [r.personaname for r in table.read().collect()] == ["b"]
 
 
+def test_a_new_checkpoint_over_existing_rows_loses_nothing(spark, tmp_path):
+    landed, root = tmp_path / "landed", str(tmp_path / "tables")
+    topic = S.TOPICS["players"]
+
+    def run(checkpoint, at):
+        query = (
+            LandedFiles(str(landed)).stream(spark, topic).writeStream.trigger(availableNow=True)
+            .option("checkpointLocation", str(tmp_path / checkpoint))
+            .foreachBatch(batch_writer(spark, PIPELINES["players"], root, ntz(at))).start()
+        )
+        query.awaitTermination()
+        return query.id
+
+    land(landed, topic, [{"key": "1", "value": json.dumps({"steamid": "1", "personaname": "a"})}], "a.json")
+    first = run("one", "2024-02-01 00:00:00")
+    land(landed, topic, [{"key": "2", "value": json.dumps({"steamid": "2", "personaname": "b"})}], "b.json")
+    second = run("two", "2024-02-02 00:00:00")
+    table = ChangeTable(spark, S.PLAYERS, root)
+    assert {r.steamid: r.personaname for r in table.read().collect()} == {"1": "a", "2": "b"}
+    assert {r["_query"] for r in table._all().collect()} == {first, second}
+
+
 def test_samples_are_stored_once_and_the_latest_wins(spark, tmp_path):
     root = str(tmp_path)
     names = spark.createDataFrame([(1, "One")], "appid int, name string")
@@ -128,7 +151,7 @@ def test_samples_are_stored_once_and_the_latest_wins(spark, tmp_path):
         (1, "One", 99),
         (2, "Game_2", 20),
     ]
-    latest = KeyedTable(spark, LATEST_COUNTS, root).read().collect()
+    latest = ChangeTable(spark, LATEST_COUNTS, root, newer_by="fetched_at").read().collect()
     assert sorted((r.appid, r.live_player_count) for r in latest) == [(1, 10), (2, 20)]
 
 

@@ -6,10 +6,13 @@ from pyspark.sql import functions as F
 from ludolytics.functions import ntz
 from ludolytics.sources import schemas as S
 from ludolytics.sources.tables import (
-    KeyedTable,
+    ChangeTable,
     append,
+    read_dates,
+    read_latest,
     read_table,
     replace_date,
+    replace_table,
     shared_root,
     upsert_date,
 )
@@ -30,51 +33,60 @@ def content(table):
     return {r["id"]: r["text"] for r in table.read().collect()}
 
 
-def test_keyed_table_merges_and_skips_repeated_batches(spark, tmp_path):
-    table = KeyedTable(spark, SMALL, str(tmp_path), buckets=4, keep_versions=2)
+LATER = "2024-02-02 00:00:00"
+
+
+def test_state_is_the_fold_of_all_changes(spark, tmp_path):
+    table = ChangeTable(spark, SMALL, str(tmp_path))
     assert content(table) == {}
-    table.upsert(rows(spark, [(i, "a", 1) for i in range(20)]), ntz(NOW), ("s", 0))
+    table.write(rows(spark, [(i, "a", 1) for i in range(20)]), ntz(NOW), "s", 0)
     assert content(table) == dict.fromkeys(range(20), "a")
-    table.upsert(rows(spark, [(3, "b", 2), (99, "c", 2), (None, "x", 2)]), ntz(NOW), ("s", 1))
-    expected = dict.fromkeys(range(20), "a") | {3: "b", 99: "c"}
-    assert content(table) == expected
-    table.upsert(rows(spark, [(3, "again", 9)]), ntz(NOW), ("s", 1))
-    assert content(table) == expected
-
-
-def test_only_touched_buckets_are_rewritten(spark, tmp_path):
-    table = KeyedTable(spark, SMALL, str(tmp_path), buckets=8)
-    table.upsert(rows(spark, [(i, "a", 1) for i in range(100)]), ntz(NOW))
-    before = table._latest()[1]["folders"]
-    table.upsert(rows(spark, [(7, "b", 2)]), ntz(NOW))
-    after = table._latest()[1]["folders"]
-    assert len(before) == 8
-    assert sum(before[b] != after[b] for b in before) == 1
-
-
-def test_a_reader_keeps_its_version_while_a_merge_runs(spark, tmp_path):
-    table = KeyedTable(spark, SMALL, str(tmp_path), buckets=2)
-    table.upsert(rows(spark, [(1, "a", 1)]), ntz(NOW))
+    table.write(rows(spark, [(3, "b", 2), (99, "c", 2), (None, "x", 2)]), ntz(LATER), "s", 1)
+    assert content(table) == dict.fromkeys(range(20), "a") | {3: "b", 99: "c"}
+    row = table.read().where("id = 3").first()
+    assert (str(row.inserted_at), str(row.updated_at)) == (NOW, LATER)
+
+
+def test_interleaved_writers_lose_nothing(spark, tmp_path):
+    one, two = (ChangeTable(spark, SMALL, str(tmp_path)) for _ in range(2))
+    one.write(rows(spark, [(1, "a", 1)]), ntz(NOW), "one", 0)
+    two.write(rows(spark, [(2, "b", 1)]), ntz(NOW), "two", 0)
+    one.write(rows(spark, [(1, "c", 2)]), ntz(LATER), "one", 1)
+    assert content(two) == {1: "c", 2: "b"}
+
+
+def test_a_batch_writes_its_own_rows_only(spark, tmp_path):
+    table = ChangeTable(spark, SMALL, str(tmp_path))
+    table.write(spark.range(100_000).selectExpr("cast(id AS int) AS id", "'a' AS text", "1 AS fetched_at"), ntz(NOW), "s", 0)
+    before = {p: p.stat().st_mtime_ns for p in tmp_path.rglob("*.parquet")}
+    table.write(spark.range(1000).selectExpr("cast(id AS int) AS id", "'b' AS text", "2 AS fetched_at"), ntz(LATER), "s", 1)
+    after = {p: p.stat().st_mtime_ns for p in tmp_path.rglob("*.parquet")}
+    assert before.items() <= after.items()
+    assert spark.read.parquet(*[str(p) for p in after if p not in before]).count() == 1000
+    assert table.read().where("text = 'b'").count() == 1000 and table.read().count() == 100_000
+
+
+def test_a_snapshot_changes_nothing_for_readers(spark, tmp_path):
+    table = ChangeTable(spark, SMALL, str(tmp_path))
+    table.write(rows(spark, [(1, "a", 1), (2, "a", 1)]), ntz(NOW), "s", 0)
     reader = table.read()
-    table.upsert(rows(spark, [(1, "b", 2)]), ntz(NOW))
-    assert [r["text"] for r in reader.collect()] == ["a"]
-    assert content(table) == {1: "b"}
-
-
-def test_two_writers_cannot_publish_the_same_version(spark, tmp_path):
-    table = KeyedTable(spark, SMALL, str(tmp_path), buckets=2)
-    table.upsert(rows(spark, [(1, "a", 1)]), ntz(NOW))
-    with pytest.raises(Exception, match="published"):
-        table._manifests.create("1.json", "{}")
+    table.compact(LATER)
+    table.write(rows(spark, [(2, "b", 2)]), ntz(LATER), "s", 1)
+    assert content(table) == {1: "a", 2: "b"}
+    assert table._all().count() == 3
+    assert {r["id"]: r["text"] for r in reader.collect()} == {1: "a", 2: "a"}
+    table.compact("2024-02-03 00:00:00")
+    assert content(table) == {1: "a", 2: "b"} and table._all().count() == 2
 
 
-def test_old_versions_go(spark, tmp_path):
-    table = KeyedTable(spark, SMALL, str(tmp_path), buckets=1, keep_versions=2)
-    for n in range(6):
-        table.upsert(rows(spark, [(n, "a", n)]), ntz(NOW))
-    assert table._versions() == [5, 6]
-    assert sorted(p.name for p in (tmp_path / "SMALL").glob("v=*")) == ["v=5", "v=6"]
-    assert len(content(table)) == 6
+def test_marts_are_replaced_as_a_whole(spark, tmp_path):
+    root = str(tmp_path)
+    made = lambda text: rows(spark, [(1, text, 1)]).withColumns({s: ntz(NOW) for s in ("inserted_at", "updated_at")})
+    assert read_latest(spark, SMALL, root).count() == 0
+    replace_table(made("a"), SMALL, root, "2024-01-01")
+    replace_table(made("b"), SMALL, root, "2024-01-02")
+    replace_table(made("c"), SMALL, root, "2024-01-02")
+    assert [r["text"] for r in read_latest(spark, SMALL, root).collect()] == ["c"]
 
 
 def test_dates_are_replaced_or_merged_alone(spark, tmp_path):
@@ -138,6 +150,18 @@ def test_append_and_empty_table(spark, tmp_path):
     assert read_table(spark, table, root).collect()[0].appid == 1
 
 
-def test_shared_root_prefers_the_session(spark):
+def test_rows_appended_by_date_are_read_by_date(spark, tmp_path):
+    root, table = str(tmp_path), S.POPULAR_GAMES_HISTORICAL
+    data = [(datetime(2024, 1, d), 1, "g", 5, 1) for d in (1, 2)]
+    append(spark.createDataFrame(data, table.schema), table, root, date_of="fetched_at")
+    assert read_dates(spark, table, root, "2024-01-02", "2024-01-03").count() == 1
+    assert read_table(spark, table, root).count() == 2
+
+
+def test_shared_root_is_the_session_s(spark):
     named = spark.conf.get("spark.checkpoint.dir", None)
-    assert shared_root(spark, "/x/") == (named or "/x").rstrip("/")
+    if named is None:
+        with pytest.raises(ValueError):
+            shared_root(spark)
+    else:
+        assert shared_root(spark) == named.rstrip("/")
