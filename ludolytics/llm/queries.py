@@ -83,3 +83,97 @@ def op8_chat_format(spark, sf):
 @query
 def op10_quality_rules(spark, sf):
     return quality.apply_rules(table(spark, sf, "documents"))
+
+
+# ---- the same in SQL for DuckDB ---------------------------------------------------
+
+ORACLE["op6_mix_sources"] = r"""
+WITH d AS (
+  SELECT doc_id, source, coalesce(text, '') AS t FROM documents
+), sized AS (
+  SELECT doc_id, source, len(regexp_extract_all(t, '[^\x20\x09-\x0D]+')) AS size,
+         greatest(0.1, len(regexp_extract_all(t, '[\p{L} ]')) / greatest(length(t), 1)) AS weight,
+         (CAST('0x' || substr(md5(concat_ws(':', '0', doc_id)), 1, 13) AS BIGINT) + 0.5) / 4503599627370496.0 AS u
+  FROM d
+), keyed AS (
+  SELECT *, -ln(u) / weight AS key FROM sized
+), sums AS (
+  SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM sized GROUP BY source
+), ranked AS (
+  SELECT *, CASE (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 WHEN 0 THEN 5.0 WHEN 1 THEN 2.0 ELSE 1.0 END AS w,
+         3 * source_size AS cap FROM sums
+), level AS (  -- the one level at which all targets add up to the total
+  SELECT min(x) AS x FROM (
+    SELECT r.cap / r.w AS bound,
+           ((SELECT sum(source_size) FROM sums) - (SELECT coalesce(sum(b.cap), 0) FROM ranked b WHERE b.cap / b.w < r.cap / r.w))
+           / (SELECT sum(b.w) FROM ranked b WHERE b.cap / b.w >= r.cap / r.w) AS x FROM ranked r)
+  WHERE x <= bound AND bound = (
+    SELECT min(r.cap / r.w) FROM ranked r WHERE
+           ((SELECT sum(source_size) FROM sums) - (SELECT coalesce(sum(b.cap), 0) FROM ranked b WHERE b.cap / b.w < r.cap / r.w))
+           / (SELECT sum(b.w) FROM ranked b WHERE b.cap / b.w >= r.cap / r.w) <= r.cap / r.w)
+), goals AS (
+  SELECT source, source_size, least(CAST(cap AS DOUBLE), w * (SELECT x FROM level)) AS target, cap FROM ranked
+), budgets AS (
+  SELECT source, source_size, target, least(cap, CAST(round(target) AS BIGINT)) AS budget FROM goals
+)
+SELECT k.doc_id, CAST(k.size AS BIGINT) AS size, b.source_size, b.target,
+       CAST(CASE WHEN b.source_size = 0 THEN 0 ELSE (b.budget // b.source_size) * k.size
+         + greatest(0, least(k.size, b.budget % b.source_size
+             - (sum(k.size) OVER (PARTITION BY k.source ORDER BY k.key, k.doc_id) - k.size))) END AS BIGINT) AS taken
+FROM keyed k JOIN budgets b ON k.source IS NOT DISTINCT FROM b.source
+"""
+
+ORACLE["op8_chat_format"] = r"""
+WITH rows AS (
+  SELECT conv_id, turn, role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]'
+  UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'
+), whole AS (
+  SELECT conv_id, count(*) AS n_turns,
+         string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn) AS turns,
+         coalesce(string_agg(text, '' ORDER BY turn) FILTER (WHERE role = 'assistant'), '') AS loss,
+         sum(length(role) + length(text) + 8 + 8 + 7 + 1
+             + len(regexp_extract_all(text, '[<\[]\\*(\||/?s>|/?INST\])'))) AS chars
+  FROM rows GROUP BY conv_id
+)
+SELECT conv_id, n_turns, sha256(turns) AS turns_sha256, length(loss) AS loss_chars, sha256(loss) AS loss_sha256,
+       CAST(chars AS BIGINT) AS formatted_chars FROM whole
+"""
+
+ORACLE["op10_quality_rules"] = r"""
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS t FROM documents
+), split AS (
+  SELECT doc_id, t, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS w,
+         [x FOR x IN string_split(t, chr(10)) IF regexp_matches(x, '[^\x20\x09-\x0D]')] AS lines FROM d
+), windows AS (
+  SELECT doc_id, i, array_to_string(w[i:i + 4], ' ') AS gram
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 3)) AS i FROM split)
+), covered AS (
+  SELECT doc_id, count(DISTINCT i + k) AS n FROM (
+    SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, gram) AS c FROM windows), (SELECT unnest(range(0, 5)) AS k)
+  WHERE c > 1 GROUP BY doc_id
+), counted AS (
+  SELECT s.doc_id, CAST(len(w) AS BIGINT) AS n_words, length(regexp_replace(t, '[\x20\x09-\x0D]+', '', 'g')) AS word_chars,
+         CAST(len(regexp_extract_all(t, '[#*$%&|<>]')) AS BIGINT) AS n_symbols,
+         CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines, coalesce(c.n, 0) AS n_repeat_words,
+         len(lines) AS n_lines,
+         len([x FOR x IN w IF lower(x) IN (
+           'a','an','and','are','as','at','be','by','for','from','in','is','it','of','on','or','that','the','this','to','was','with',
+           'als','auf','das','dem','den','der','des','die','ein','eine','für','im','ist','mit','nicht','sich','und','von','zu',
+           'au','aux','avec','ce','dans','de','du','elle','en','est','et','il','la','le','les','par','pas','pour','que','qui','sur','un','une',
+           'al','como','con','del','el','es','las','lo','los','no','para','por','se','su','una','y')]) AS n_stop
+  FROM split s LEFT JOIN covered c USING (doc_id)
+), judged AS (
+  SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,
+         100 * n_symbols > 10 * n_words AS r1, 100 * word_chars < 200 * n_words OR 100 * word_chars > 1500 * n_words AS r2,
+         100 * n_stop < 2 * n_words AS r3, 100 * n_dup_lines > 30 * n_lines AS r4 FROM counted
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT (base_failed OR r1 OR r2 OR r3 OR r4) AS kept,
+       concat_ws(', ', CASE WHEN n_words < 10 THEN 'enough words' END,
+         CASE WHEN 100 * n_repeat_words > 20 * n_words THEN 'repeated windows' END,
+         CASE WHEN r1 THEN 'symbols for each word' END, CASE WHEN r2 THEN 'characters for each word' END,
+         CASE WHEN r3 THEN 'stop words' END, CASE WHEN r4 THEN 'repeated lines' END) AS broken
+FROM judged
+"""
