@@ -67,8 +67,7 @@ def op6_mix_sources(spark, sf):
 
 @query
 def op7_masked_pseudo_likelihood(spark, sf):
-    docs = table(spark, sf, "documents")
-    return lm.scores(docs, lm.train(docs))
+    return lm.train_and_score(table(spark, sf, "documents"))
 
 
 @query

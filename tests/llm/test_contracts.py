@@ -397,6 +397,9 @@ def test_scores_equal_a_plain_network(docs, none):
         for row in found[doc_id]:
             assert row["n_tokens"] == len(ids) and row["log_likelihood"] == pytest.approx(total, abs=1e-2, rel=1e-4)
             assert (row["mean_log_likelihood"] is None) == (not ids)
+    together = rows_of(lm.train_and_score(docs, settings=lm.Settings(words=20, rounds=1, share=1.0)))
+    assert {k: sorted(map(tuple, v)) for k, v in together.items()} == {k: sorted(map(tuple, v)) for k, v in found.items()}
+    assert lm.train_and_score(none).count() == 0
     empty = lm.train(none)
     assert lm.scores(none, empty).count() == 0 and sum(map(len, found.values())) == len(HARD)
 
