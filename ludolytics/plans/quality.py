@@ -55,16 +55,10 @@ def quality_report(facts: DataFrame, as_of: datetime | str) -> DataFrame:
 
 def quality_alerts(facts: DataFrame, as_of: datetime | str) -> DataFrame:
     """One line per failed freshness or row count check; none if all is well."""
-    hours = F.coalesce(F.format_string("%.2f", "hours_since_update"), F.lit("N/A"))
-    stale = F.concat(
-        F.lit("STALE DATA: "), "table_name", F.lit(" - last updated "),
-        F.when(F.col("hours_since_update").isNull(), "N/A").otherwise(hours), F.lit(" hours ago"),
-    )
-    small = F.concat(
-        F.lit("LOW ROW COUNT: "), "table_name", F.lit(" - "),
-        F.coalesce("row_count", F.lit(0)).cast("string"), F.lit(" rows (min: "),
-        F.col("min_expected").cast("string"), F.lit(")"),
-    )
+    hours = F.when(F.col("hours_since_update").isNotNull(), F.format_string("%.2f", "hours_since_update"))
+    stale = F.concat("table_name", F.lit(" is out of date: hours without a new row "), F.coalesce(hours, F.lit("unknown")))
+    rows = F.coalesce("row_count", F.lit(0))
+    small = F.format_string("%s is too small: it has %s of at least %s rows", "table_name", rows, "min_expected")
     checks = F.array(
         F.struct(
             F.lit("freshness").alias("check_name"),

@@ -46,8 +46,8 @@ def test_report_and_alerts(spark):
     report = quality.quality_report(found, AS_OF).first()
     assert tuple(report) == (1, 4, 2, 4, "DEGRADED")
     messages = [r.message for r in quality.quality_alerts(found, AS_OF).collect()]
-    assert "STALE DATA: EMPTY - last updated N/A hours ago" in messages
-    assert "LOW ROW COUNT: EMPTY - 0 rows (min: 3)" in messages
+    assert "EMPTY is out of date: hours without a new row unknown" in messages
+    assert "EMPTY is too small: it has 0 of at least 3 rows" in messages
     good = found.filter(F.col("table_name") == "GOOD")
     assert quality.quality_report(good, AS_OF).first().overall_status == "HEALTHY"
     assert quality.quality_alerts(good, AS_OF).count() == 0
