@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ludolytics.functions import half_up, words
@@ -18,24 +18,27 @@ ALPHA = 15.0
 POSITIVE_FROM = 0.05
 NEGATIVE_FROM = -0.05
 
-# What the three words before a scored word do to it.
+# What the three words before a scored word do to it, and the words that a run
+# without a table of its own takes for such words.
 INTENSITY = 0.293
 DAMPING = (1.0, 0.95, 0.9)
 NEGATION = -0.74
 STRENGTHENING = (
-    "absolutely", "amazingly", "completely", "deeply", "enormously", "entirely",
-    "especially", "exceptionally", "extremely", "fully", "greatly", "highly",
-    "hugely", "incredibly", "intensely", "more", "most", "particularly", "purely",
-    "quite", "really", "remarkably", "so", "thoroughly", "totally", "tremendously",
-    "unbelievably", "unusually", "utterly", "very",
+    "absolutely", "amazingly", "completely", "considerably", "decidedly", "deeply",
+    "enormously", "entirely", "especially", "exceptionally", "extremely", "fully",
+    "greatly", "highly", "hugely", "incredibly", "intensely", "majorly", "more", "most",
+    "particularly", "purely", "quite", "really", "remarkably", "so", "substantially",
+    "thoroughly", "totally", "tremendously", "unbelievably", "unusually", "utterly", "very",
 )
 WEAKENING = (
     "almost", "barely", "hardly", "kinda", "less", "little", "marginally",
     "occasionally", "partly", "scarcely", "slightly", "somewhat", "sorta",
 )
 NEGATING = (
-    "aint", "cannot", "cant", "despite", "dont", "neither", "never", "none", "nope",
-    "nor", "not", "nothing", "nowhere", "rarely", "seldom", "without", "wont",
+    "aint", "arent", "cannot", "cant", "couldnt", "despite", "didnt", "doesnt", "dont",
+    "hadnt", "hasnt", "havent", "isnt", "mightnt", "mustnt", "neednt", "neither", "never",
+    "none", "nope", "nor", "not", "nothing", "nowhere", "rarely", "seldom", "shouldnt",
+    "wasnt", "werent", "without", "wont", "wouldnt",
 )
 
 # Valences are summed as whole numbers of this unit, so the order of the sum is free.
@@ -47,14 +50,34 @@ _MARK = "a text "
 _MARKS = 512
 
 
-def _intensity(word: Column) -> Column:
-    return F.when(word.isin(*STRENGTHENING), F.lit(INTENSITY)).when(
-        word.isin(*WEAKENING), F.lit(-INTENSITY)
-    ).otherwise(F.lit(0.0))
+def published_modifiers(spark: SparkSession) -> DataFrame:
+    """(token, intensity, negates) of the words above."""
+    rows = [
+        *((word, INTENSITY, False) for word in STRENGTHENING),
+        *((word, -INTENSITY, False) for word in WEAKENING),
+        *((word, 0.0, True) for word in NEGATING),
+    ]
+    return spark.createDataFrame(rows, "token string, intensity double, negates boolean")
 
 
-def _negates(word: Column) -> Column:
-    return F.coalesce(word.isin(*NEGATING) | word.endswith("n't"), F.lit(False))
+def _rules(modifiers: DataFrame) -> Column:
+    """The modifiers by word, as one value computed once; a word listed twice takes its greatest intensity."""
+    by_word = (
+        modifiers.filter(F.col("token").isNotNull())
+        .groupBy("token")
+        .agg(F.max("intensity").alias("intensity"), F.bool_or("negates").alias("negates"))
+    )
+    entry = F.struct("token", F.struct("intensity", "negates"))
+    return by_word.agg(F.map_from_entries(F.collect_list(entry))).scalar()
+
+
+def _intensity(rules: Column, word: Column) -> Column:
+    return F.coalesce(F.element_at(rules, word)["intensity"], F.lit(0.0))
+
+
+def _negates(rules: Column, word: Column) -> Column:
+    listed = F.coalesce(F.element_at(rules, word)["negates"], F.lit(False))
+    return listed | F.coalesce(word.endswith("n't"), F.lit(False))
 
 
 def score_texts(
@@ -63,6 +86,7 @@ def score_texts(
     text_col: str,
     lexicon: DataFrame,
     in_context: bool = True,
+    modifiers: DataFrame | None = None,
 ) -> DataFrame:
     """compound, positive, negative and neutral share of each text, with its label.
 
@@ -73,8 +97,10 @@ def score_texts(
     shrinks a text to one row before the only shuffle.
     Texts of length 0 are dropped, at the end: as a condition on the text the filter
     would be pushed down to the scan and clean every text twice.
-    With in_context, the three preceding words intensify or negate a word. They come
-    from shifted copies of the word array, which needs no window over the words.
+    With in_context, the three preceding words intensify or negate a word, by a table of
+    modifiers (token, intensity, negates; the published words without one), a list of words
+    of a language. They come from shifted copies of the word array, which needs no window
+    over the words.
     """
     listed = texts.select(
         *id_cols, F.length(text_col).alias("text_length"), words(F.col(text_col)).alias("w")
@@ -106,11 +132,12 @@ def score_texts(
 
     value = F.col("valence")
     if in_context:
+        rules = _rules(published_modifiers(lexicon.sparkSession) if modifiers is None else modifiers)
         boost = F.lit(0.0)
         negated = F.lit(False)
         for word, damping in zip(("p1", "p2", "p3"), DAMPING, strict=True):
-            boost = boost + _intensity(F.col(word)) * damping
-            negated = negated | _negates(F.col(word))
+            boost = boost + _intensity(rules, F.col(word)) * damping
+            negated = negated | _negates(rules, F.col(word))
         raised = value + F.signum(value) * boost
         value = raised * F.when(negated, F.lit(NEGATION)).otherwise(F.lit(1.0))
     units = F.round(value * _UNIT).cast("bigint")

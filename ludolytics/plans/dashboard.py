@@ -235,13 +235,11 @@ def review_samples(reviews: DataFrame, appid: int, limit: int = 10) -> DataFrame
 
 
 def review_samples_per_game(reviews: DataFrame, limit: int = 10) -> DataFrame:
-    """The same for every game at once."""
-    needed = reviews.select(
-        "review_id", "appid", "game_name", "review_text", "voted_up", "playtime_at_review",
-        "timestamp_created",
-    )
-    newest = top_k_per_group(needed, ["appid"], _newest(), limit, "position")
-    return _review_columns(newest, "appid", "position")
+    """The same for every game at once; texts are fetched for the ranked ids only."""
+    narrow = reviews.select("review_id", "appid", "timestamp_created")
+    newest = top_k_per_group(narrow, ["appid"], _newest(), limit, "position")
+    chosen = reviews.join(newest.select("review_id", "position"), "review_id")
+    return _review_columns(chosen, "appid", "position")
 
 
 def catalogue_size(game_info: DataFrame) -> DataFrame:

@@ -39,6 +39,7 @@ def review_sentiments(
     lexicon: DataFrame,
     in_context: bool = True,
     max_chars: int | None = None,
+    modifiers: DataFrame | None = None,
 ) -> DataFrame:
     """Polarity and label of each review; reviews without any text left are dropped."""
     cleaned = reviews.select(
@@ -47,7 +48,8 @@ def review_sentiments(
         "game_name",
         clean_text(F.col("review_text"), max_chars).alias("clean"),
     )
-    scored = score_texts(cleaned, ["review_id", "appid", "game_name"], "clean", lexicon, in_context)
+    ids = ["review_id", "appid", "game_name"]
+    scored = score_texts(cleaned, ids, "clean", lexicon, in_context, modifiers)
     return scored.withColumnRenamed("text_length", "review_length").select(
         "review_id",
         "appid",

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ludolytics.functions import clean_text, ntz
 from ludolytics.operators import checks
-from ludolytics.operators.publish import key_of, publishable, to_messages
+from ludolytics.operators.publish import id_batches, key_of, publishable, to_messages
 from ludolytics.operators.upsert import upsert
 from ludolytics.plans import dashboard, ingest, marts, quality, recommend, sentiment, views
 from ludolytics.sources import bindings as B
@@ -111,6 +111,7 @@ def _sentiments(spark, sf, in_context=True):
         B.game_reviews(spark, sf).filter(F.length("review_text") > sentiment.MIN_TEXT_LENGTH),
         B.lexicon(spark, sf),
         in_context,
+        modifiers=B.modifiers(spark, sf),
     )
 
 
@@ -453,6 +454,86 @@ def q54_games_with_tag(spark, sf):
     return marts.games_with_tag(B.game_info(spark, sf), TAG)
 
 
+@query
+def q50_ingest_player_counts_with_failures(spark, sf):
+    return ingest.count_samples(D.failing_count_documents(spark, sf), B.game_info(spark, sf))
+
+
+@query
+def q53_review_summary_with_failures(spark, sf):
+    return ingest.review_summaries(D.failing_summary_documents(spark, sf))
+
+
+@query
+def q55_ranking_rows(spark, sf):
+    rows = ingest.ranking_rows(D.ranking_documents(spark, sf), AS_OF)
+    return rows.select("list_name", "position", "appid", "name", "ccu", "price", "fetched_at", "source")
+
+
+@query
+def q56_player_summaries(spark, sf):
+    rows = ingest.player_summaries(D.player_documents(spark, sf), AS_OF)
+    return rows.select("steamid", "personaname", "loccityid", "fetched_at", "source")
+
+
+@query
+def q57_owned_games(spark, sf):
+    rows = ingest.owned_games(D.played_documents(spark, sf), AS_OF)
+    return rows.select("steamid", "appid", "name", "playtime_forever", "fetched_at", "source")
+
+
+@query
+def q57_recent_games(spark, sf):
+    rows = ingest.recent_games(D.played_documents(spark, sf, recent=True), AS_OF)
+    return rows.select("steamid", "appid", "name", "playtime_2weeks", "data_type", "source")
+
+
+@query
+def q58_id_batches(spark, sf):
+    ids = F.split("ids", ",")
+    lists = id_batches(B.players(spark, sf), "steamid")
+    return lists.select((F.size(ids) <= 100).alias("fits"), F.explode(ids).alias("steamid"))
+
+
+@query
+def q59_catalogue(spark, sf):
+    return marts.catalogue_up_to(D.catalogue_pages(spark, sf), TRACKED)
+
+
+@query
+def q60_reviews_in_language(spark, sf):
+    rows = ingest.normalised_reviews(D.review_pages(spark, sf), B.game_info(spark, sf), language="en")
+    return rows.select("review_id", "appid", "game_name", "language", "review_text")
+
+
+@query
+def q61_new_history_rows(spark, sf):
+    history = marts.popular_games_history(B.count_snapshots(spark, sf))
+    return marts.new_history_rows(history.filter("ranking % 2 = 0"), history)
+
+
+@query
+def q62_new_samples(spark, sf):
+    samples = ingest.count_samples(D.count_documents(spark, sf), B.game_info(spark, sf))
+    return ingest.new_samples(samples.filter("appid % 2 = 0"), samples)
+
+
+@query
+def q63_upsert_game_sentiments(spark, sf):
+    games = _games(spark, sf)
+    old = games.filter("appid % 2 = 0").withColumn("total_reviews_analyzed", F.lit(0).cast("long"))
+    yesterday = old.withColumn("analysis_date", F.date_sub("analysis_date", 1))
+    keys = S.GAME_SENTIMENT_ANALYSIS.keys
+    return upsert(old.unionByName(yesterday), games, keys, ntz(AS_OF), order=["analysis_date"])
+
+
+@query
+def q64_publish_given_games(spark, sf):
+    info = B.game_info(spark, sf).drop("tags", "fetched_at", "updated_at")
+    rows = publishable(info, appids=info.filter("appid % 3 = 0"))
+    return to_messages(rows, key_of("appid"), S.TOPICS["game_info"])
+
+
 # ---- text -------------------------------------------------------------------------
 
 

@@ -159,6 +159,24 @@ def game_details(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def modifiers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of the test texts that change the words after them. Real runs load a table."""
+    return spark.createDataFrame(
+        [
+            ("the", 0.293, False),
+            ("and", 0.293, False),
+            ("of", -0.293, False),
+            ("to", -0.293, False),
+            ("by", 0.0, True),
+            ("is", 0.0, True),
+            ("der", 0.293, False),
+            ("que", -0.293, False),
+            ("les", 0.0, True),
+        ],
+        "token string, intensity double, negates boolean",
+    )
+
+
 def lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of the test texts with a valence. Real runs load a table."""
     return spark.createDataFrame(

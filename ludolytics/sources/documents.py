@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ludolytics.operators.publish import key_of, to_messages
+from ludolytics.operators.ranking import top_k_per_group
 from ludolytics.sources import bindings as B
 from ludolytics.sources import schemas as S
 
@@ -143,6 +144,68 @@ def stored_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _as_table(rows, S.GAME_REVIEWS)
 
 
+def ranking_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ranking lists (list_name, value): the first 100 games of each developer, keyed by appid, in order."""
+    played = (
+        B.game_info(spark, sf_dir)
+        .filter(F.col("ccu").isNotNull())
+        .select("appid", "name", "developer", "ccu", "price")
+    )
+    order = [F.col("ccu").desc(), F.col("appid")]
+    first = top_k_per_group(played, ["developer"], order, 100, "position")
+    game = F.struct("appid", "name", "developer", "ccu", "price")
+    entry = F.struct("position", F.col("appid").cast("string").alias("key"), game.alias("game"))
+    listed = first.groupBy(F.col("developer").alias("list_name")).agg(
+        F.sort_array(F.collect_list(entry)).alias("games")
+    )
+    keyed = F.map_from_entries(F.transform("games", lambda g: F.struct(g["key"], g["game"])))
+    return listed.select("list_name", F.to_json(keyed).alias("value"))
+
+
+def player_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Player summaries, 100 players to a document."""
+    players = B.players(spark, sf_dir).select("steamid", "personaname", "loccityid")
+    number = F.floor(F.col("steamid").cast("bigint") / 100).alias("page")
+    listed = players.groupBy(number).agg(F.collect_list(F.struct("*")).alias("players"))
+    return listed.select(F.to_json(F.struct(F.struct("players").alias("response"))).alias("value"))
+
+
+def played_documents(spark: SparkSession, sf_dir: str, recent: bool = False) -> DataFrame:
+    """The games of each player (steamid, value): all of them, or those played in two weeks."""
+    played = B.player_stats(spark, sf_dir)
+    if recent:
+        played = played.filter(F.col("playtime_2weeks") > 0)
+    game = F.struct("appid", "name", "playtime_forever", "playtime_2weeks")
+    listed = played.groupBy("steamid").agg(F.collect_list(game).alias("games"))
+    response = F.struct(F.size("games").alias("game_count"), "games")
+    return listed.select("steamid", F.to_json(F.struct(response.alias("response"))).alias("value"))
+
+
+def catalogue_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The catalogue as pages of a thousand ids."""
+    return B.game_info(spark, sf_dir).selectExpr(
+        "appid div 1000 AS page", "appid % 1000 AS position", "appid", "name"
+    )
+
+
+def failing_count_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Live count documents of which some report a failure and some hold no number."""
+    response = F.struct(
+        F.when(F.col("appid") % 5 == 0, 42).otherwise(1).alias("result"),
+        F.when(F.col("appid") % 7 != 0, F.col("live_player_count")).alias("player_count"),
+    )
+    return B.count_snapshots(spark, sf_dir).select(
+        "appid", F.to_json(F.struct(response.alias("response"))).alias("value"), "fetched_at"
+    )
+
+
+def failing_summary_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Review summaries of which every third game's is unsuccessful."""
+    failed = F.regexp_replace("value", '"success":1', '"success":0')
+    value = F.when(F.col("appid") % 3 == 0, failed).otherwise(F.col("value"))
+    return summary_documents(spark, sf_dir).withColumn("value", value)
+
+
 def summary_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Review summaries (appid, value) of all games."""
     totals = (

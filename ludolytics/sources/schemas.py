@@ -407,6 +407,27 @@ POPULAR_GAMES_HISTORICAL = Table(
     ("fetched_at", "appid"),
 )
 
+POPULAR_GAMES = Table("POPULAR_GAMES", POPULAR_GAMES_HISTORICAL.schema, ("appid",))
+
+RECENT_REVIEWS = Table(
+    "RECENT_REVIEWS",
+    struct(
+        appid=INT,
+        game_name=TEXT,
+        steamid=TEXT,
+        playtime_forever=INT,
+        playtime_at_review=INT,
+        voted_up=FLAG,
+        votes_up=INT,
+        votes_funny=INT,
+        weighted_vote_score=REAL,
+        review_text=TEXT,
+        timestamp_updated=TIME,
+        position=INT,
+    ),
+    ("appid", "position"),
+)
+
 TABLES = {
     table.name: table
     for table in (
@@ -421,6 +442,8 @@ TABLES = {
         GAME_SENTIMENT_ANALYSIS,
         SENTIMENT_TRENDS,
         POPULAR_GAMES_HISTORICAL,
+        POPULAR_GAMES,
+        RECENT_REVIEWS,
     )
 }
 

@@ -53,6 +53,16 @@ def test_report_and_alerts(spark):
     assert quality.quality_alerts(good, AS_OF).count() == 0
 
 
+def test_review_texts_are_not_ranked(spark, sf_dir):
+    from ludolytics.registry import QUERIES
+
+    for name in ("q10_recent_reviews", "q31_review_samples_per_game"):
+        df = QUERIES[name](spark, sf_dir)
+        plan = df._sc._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")
+        limits = [part for part in plan.split("\n\n") if "WindowGroupLimit" in part.split("\n")[0]]
+        assert limits and not any("text" in part for part in limits), name
+
+
 def test_one_scan_per_table(spark, sf_dir):
     events = spark.read.parquet(f"{sf_dir}/events.parquet")
     expected = checks.Expectation(1, 1, ("event_id", "user_id", "value"))

@@ -53,6 +53,27 @@ def test_context(spark, lexicon):
         assert got[n].sentiment_compound == compound(s), text
 
 
+def test_a_table_of_modifiers(spark, lexicon):
+    rows = [("molto", 0.2, False), ("molto", 0.1, False), ("mai", 0.0, True), (None, 1.0, True)]
+    table = spark.createDataFrame(rows, "token string, intensity double, negates boolean")
+    cases = {"molto good": 2.2, "mai good": -1.48, "very good": 2.0, "mai a b c good": 2.0, "isn't good": -1.48}
+    df = spark.createDataFrame(list(enumerate(cases)), "id int, t string")
+    got = {r.id: r.sentiment_compound for r in score_texts(df, ["id"], "t", lexicon, modifiers=table).collect()}
+    assert got == {n: compound(s) for n, s in enumerate(cases.values())}
+    none = score_texts(df, ["id"], "t", lexicon, modifiers=table.filter("false")).collect()
+    assert {r.sentiment_compound for r in none if r.id < 4} == {compound(2.0)}
+
+
+def test_context_changes_the_registered_scores(spark, sf_dir):
+    from ludolytics.registry import QUERIES
+
+    scored = QUERIES["q12_review_sentiments"](spark, sf_dir).select("review_id", "sentiment_compound")
+    plain = QUERIES["z1_lexicon_sentiment"](spark, sf_dir).select("review_id", F.col("sentiment_compound").alias("plain"))
+    both = scored.join(plain, "review_id")
+    changed = both.filter("sentiment_compound <> plain").count()
+    assert changed > both.count() / 4
+
+
 def test_shares_add_up(spark, lexicon):
     texts = ["good bad flat word", "good good good", "word", "bad word word word word word word"]
     for r in scores(spark, lexicon, texts).values():

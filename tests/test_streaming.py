@@ -168,6 +168,40 @@ def test_sample_stream(spark, tmp_path):
     assert read_table(spark, S.GAME_PLAYER_COUNTS, root).first().live_player_count == 7
 
 
+def test_marts_reviews_and_details_are_stored_and_can_run_again(spark, sf_dir, tmp_path):
+    from ludolytics.sources import bindings as B
+
+    root, names = str(tmp_path), B.game_info(spark, sf_dir)
+
+    def flat(df):
+        return sorted(r.row for r in df.select(F.to_json(F.struct("*")).alias("row")).collect())
+
+    pages = D.review_pages(spark, sf_dir)
+    one = flat(jobs.run_reviews(spark, pages, names, root, "monday", NOW))
+    assert len(one) == B.game_reviews(spark, sf_dir).count()
+    assert flat(jobs.run_reviews(spark, pages, names, root, "monday", NOW)) == one
+    english = flat(jobs.run_reviews(spark, pages, names, f"{root}/en", "monday", NOW, language="en"))
+    assert 0 < len(english) < len(one)
+
+    documents = D.detail_documents(spark, sf_dir)
+    one = flat(jobs.run_details(spark, documents, root, "monday", NOW))
+    assert len(one) == ingest.normalised_details(documents).count() > 0
+    assert flat(jobs.run_details(spark, documents, root, "monday", NOW)) == one
+
+    counts = B.count_snapshots(spark, sf_dir)
+    ranking = flat(jobs.run_popular_games(spark, counts, root, version="2024-01-30"))
+    assert ranking == flat(jobs.run_popular_games(spark, counts, root, version="2024-01-30"))
+    assert ranking == flat(jobs.run_popular_games(spark, counts, root)) and ranking
+
+    reviews = B.game_reviews(spark, sf_dir)
+    first = flat(jobs.run_recent_reviews(spark, reviews, root, "2024-01-29"))
+    again = flat(jobs.run_recent_reviews(spark, reviews, root, "2024-01-29"))
+    some = reviews.filter("appid < 5")
+    assert first == again and flat(jobs.run_recent_reviews(spark, some, root, "2024-01-30")) == [
+        row for row in first if json.loads(row)["appid"] < 5
+    ]
+
+
 def test_daily_jobs_can_run_again(spark, sf_dir, tmp_path):
     from ludolytics.sources import bindings as B
 
