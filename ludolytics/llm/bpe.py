@@ -87,6 +87,11 @@ class Transducer:
         self._numbers = {self._states[0]: 0}
         self._moves: dict[int, tuple[int, tuple[int, ...]]] = {}
 
+    def release(self) -> None:
+        """Forgets all states and pairs; they are built up again when needed."""
+        self._pairs.clear()
+        self._clear()
+
     def _may_follow(self, left: int, right: int) -> bool:
         if left == START:
             return True
@@ -200,6 +205,11 @@ class Encoder:
             words.clear()
         return packed
 
+    def release(self) -> None:
+        """Forgets what texts have taught it, so that a worker between tasks holds the vocabulary alone."""
+        self._words.clear()
+        self.machine.release()
+
 
 #: The UTF-8 state machine: from each state, the state after a byte range. State 0 is
 #: between characters, 1 to 3 wait for that many plain continuation bytes, the others for
@@ -275,9 +285,13 @@ def encoder_for(vocabulary: str, pattern: str) -> Encoder:
     return once(("bpe", vocabulary, pattern), lambda: Encoder(read_ranks(vocabulary), pattern))
 
 
-def encode_batches(batches: Batches, encoder: Encoder) -> Iterator[tuple[pa.Array, list[bytes]]]:
-    for batch in batches:
-        yield batch.column(0), [encoder(text or "") for text in batch.column(1).to_pylist()]
+def encode_batches(batches: Batches, encoder: Encoder) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
+    """Each batch with the packed tokens of its second column; what the encoder remembers is given back at the end of the task."""
+    try:
+        for batch in batches:
+            yield batch, [encoder(text or "") for text in batch.column(1).to_pylist()]
+    finally:
+        encoder.release()
 
 
 def _id_lists(packed: list[bytes]) -> pa.Array:
@@ -297,8 +311,8 @@ def encode(docs: DataFrame, vocabulary: str, pattern: str, id_col: str = "doc_id
 
     def run(batches: Batches) -> Batches:
         encoder = encoder_for(vocabulary, pattern)
-        for ids, packed in encode_batches(batches, encoder):
-            yield pa.RecordBatch.from_arrays([ids, _id_lists(packed)], ["doc_id", "ids"])
+        for batch, packed in encode_batches(batches, encoder):
+            yield pa.RecordBatch.from_arrays([batch.column(0), _id_lists(packed)], ["doc_id", "ids"])
 
     chosen = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     return chosen.mapInArrow(run, "doc_id long, ids array<int>")
@@ -329,8 +343,7 @@ def round_trip(docs: DataFrame, vocabulary: str, pattern: str, id_col: str = "do
     def run(batches: Batches) -> Batches:
         encoder = encoder_for(vocabulary, pattern)
         token = encoder.machine.token
-        for batch in batches:
-            texts = [encoder(text or "") for text in batch.column(1).to_pylist()]
+        for batch, texts in encode_batches(batches, encoder):
             decoded = []
             for data in texts:
                 digest = hashlib.sha256()
