@@ -26,9 +26,8 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of least id of each near-duplicate group; documents without an id stay."""
-    found = simhash.near_duplicates(docs).where("doc_id = component_id").select(F.col("doc_id").alias("_kept")).distinct()
-    return docs.join(found, docs["doc_id"] == found["_kept"], "left").where(F.col("_kept").isNotNull() | F.col("doc_id").isNull()).drop("_kept").select(*docs.columns)
+    """One row of each near-duplicate group: fingerprints within two bits, or five-word shingles alike by 0.8 or more."""
+    return simhash.first_rows(docs)
 
 
 def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

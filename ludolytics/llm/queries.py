@@ -30,7 +30,7 @@ def query(function: Query) -> Query:
 
 @query
 def op3_simhash_near_duplicates(spark, sf):
-    return simhash.near_duplicates(table(spark, sf, "documents"))
+    return simhash.near_duplicates(table(spark, sf, "documents"), jaccard=False)
 
 
 @query

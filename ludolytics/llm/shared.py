@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import tempfile
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 #: Bytes that end a word, and the class of all others: `[^\x20\x09-\x0D]+`.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -25,6 +27,17 @@ def keep(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def with_rows(df: DataFrame, name: str = "_row") -> DataFrame:
+    """The rows with a unique key that stays: the place in its file, or where the plan is more than a Parquet table a number written once."""
+    if df._jdf.queryExecution().analyzed().getClass().getSimpleName() == "LogicalRelation":
+        try:
+            place = F.concat_ws(":", F.hex(F.xxhash64("_metadata.file_path")), "_metadata.row_index")
+            return df.select("*", place.alias(name))
+        except AnalysisException:  # no Parquet
+            pass
+    return keep(df.withColumn(name, F.monotonically_increasing_id().cast("string")))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -19,8 +19,9 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ludolytics.llm import alike
 from ludolytics.llm.components import components
-from ludolytics.llm.shared import keep
+from ludolytics.llm.shared import keep, with_rows
 
 BITS = 64
 SEED = 42
@@ -219,21 +220,54 @@ def cover(fps: DataFrame, distance: int = 2) -> DataFrame:
     return star.where((F.col("u") < F.col("v")) & (F.bit_count(F.col("u").bitwiseXOR(F.col("v"))) <= distance)).distinct()
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 3, distance: int = 2, bucket: int = 8) -> DataFrame:
+def _grouped(docs: DataFrame, id_col: str, text_col: str, width: int, distance: int, bucket: int, jaccard: bool, row_col: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """(row, doc_id, fp) of each row, and (fp, root, low): each fingerprint's group, and the least doc_id in it."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = batch.column(2).cast(pa.binary()).to_pylist()
+            found = np.array([fingerprint(text, width) for text in texts], np.uint64).view(np.int64)
+            sigs = [alike.signature(alike.words_of(text)) if jaccard else None for text in texts]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(found), pa.array(sigs, pa.int64())], ["row", "doc_id", "fp", "sig"])
+
+    row = F.col(row_col) if row_col else F.lit(None)
+    chosen = docs.select(row.cast("string").alias("row"), F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    base = keep(chosen.mapInArrow(run, "row string, doc_id long, fp long, sig long"))
+    distinct = keep(base.groupBy("fp").agg(F.min("doc_id").alias("rep")))
+    plan = make_plan(*bit_counts(distinct), distance)
+    edges = links(distinct, plan, distance, bucket)
+    if jaccard:
+        prints = base.select("sig", "fp").distinct()
+        more = alike.links(chosen.select("text"))
+        more = more.join(prints.select(F.col("sig").alias("u"), F.col("fp").alias("a")), "u").join(prints.select(F.col("sig").alias("v"), F.col("fp").alias("b")), "v")
+        edges = edges.unionByName(more.where("a != b").select(F.col("a").alias("u"), F.col("b").alias("v")))
+    linked = components(keep(edges))
+    rooted = keep(linked.join(distinct, linked["node"] == distinct["fp"]).select("fp", "root", "rep"))
+    named = rooted.join(rooted.groupBy("root").agg(F.min("rep").alias("low")), "root").select("fp", "root", "low")
+    owner = distinct.join(named, "fp", "left").select("fp", F.coalesce("root", "fp").alias("root"), F.coalesce("low", "rep").alias("low"))
+    return base, keep(owner)
+
+
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 3, distance: int = 2, bucket: int = 8, jaccard: bool = True) -> DataFrame:
     """doc_id, fingerprint (16 hex digits), component_id: the smallest doc_id reachable over links.
 
-    Fingerprints of `distance` (even) or fewer differing bits are linked. Links are sought
+    Fingerprints of `distance` (even) or fewer differing bits are linked; with `jaccard`, texts
+    whose five-word shingles are alike by 0.8 or more as well. Links are sought
     between distinct fingerprints only, so copies cost nothing. Null texts count as empty;
     texts without words all have fingerprint zero and are linked like others. A null
     doc_id never names a component, unless no document of it has an id (then null).
     Repeated rows come back as often; an empty table gives no rows; other columns are
     neither read nor returned.
     """
-    base = keep(fingerprints(docs, id_col, text_col, width))
-    distinct = keep(base.groupBy("fp").agg(F.min("doc_id").alias("rep")))
-    plan = make_plan(*bit_counts(distinct), distance)
-    linked = components(keep(links(distinct, plan, distance, bucket)))
-    rooted = keep(linked.join(distinct, linked["node"] == distinct["fp"]).select("fp", "root", "rep"))
-    named = rooted.join(rooted.groupBy("root").agg(F.min("rep").alias("low")), "root").select("fp", "low")
-    owner = keep(distinct.join(named, "fp", "left").select("fp", F.coalesce("low", "rep").alias("component_id")))
-    return base.join(owner, "fp").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+    base, owner = _grouped(docs, id_col, text_col, width, distance, bucket, jaccard)
+    return base.join(owner, "fp").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), F.col("low").alias("component_id"))
+
+
+def first_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 3, distance: int = 2, bucket: int = 8, jaccard: bool = True) -> DataFrame:
+    """One row of each group of `near_duplicates`, with all its columns: that of the least doc_id, one without an id only if all are."""
+    keyed = with_rows(docs)
+    base, owner = _grouped(keyed, id_col, text_col, width, distance, bucket, jaccard, "_row")
+    placed = base.join(owner, "fp")
+    first = placed.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row")).alias("first"))
+    others = keep(placed.join(first, "root").where(F.col("row") != F.col("first.row")).select(F.col("row").alias("_row")))
+    return keyed.join(others, "_row", "left_anti").select(*docs.columns)
