@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ludolytics.llm import bpe, mixing, pii, simhash, toxicity
-from ludolytics.llm.shared import table
+from ludolytics.llm.shared import table, with_rows
 
 ORACLE_SQL = None
 
@@ -37,7 +37,8 @@ def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The mix itself: a row for each copy of a document that it takes."""
-    mixed = mixing.apply_mix(docs, mixing.mix(docs))
+    keyed = with_rows(docs)
+    mixed = mixing.apply_mix(keyed, mixing.mix(keyed, row_col="_row"), row_col="_row")
     return mixed.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
 
 

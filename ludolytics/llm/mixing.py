@@ -25,13 +25,15 @@ def quality_weight(text: Column) -> Column:
     return F.greatest(F.lit(0.1), plain / F.greatest(F.length(text), F.lit(1)))
 
 
-def sized(docs: DataFrame, id_col: str, text_col: str, source_col: str, seed: int) -> DataFrame:
-    """(doc_id, source, size, key, tie): the narrow table on which the mix is decided."""
+def sized(docs: DataFrame, id_col: str, text_col: str, source_col: str, seed: int, row_col: str | None = None) -> DataFrame:
+    """(row, doc_id, source, size, key, tie): the narrow table on which the mix is decided."""
     text = F.coalesce(F.col(text_col), F.lit(""))
-    chosen = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(source_col).alias("source"), text.alias("text"))
+    row = F.col(row_col) if row_col else F.lit(None)
+    chosen = docs.select(row.cast("string").alias("row"), F.col(id_col).cast("long").alias("doc_id"), F.col(source_col).alias("source"), text.alias("text"))
     digits = F.substring(F.md5(F.concat_ws(":", F.lit(str(seed)), "doc_id").cast("binary")), 1, 13)
     u = (F.conv(digits, 16, 10).cast("double") + 0.5) / F.lit(float(1 << 52))
     return chosen.select(
+        "row",
         "doc_id",
         "source",
         F.regexp_count("text", F.lit(WORD)).cast("long").alias("size"),
@@ -67,26 +69,27 @@ def targets(narrow: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = M
     return chosen.withColumn("budget", F.least("cap", F.round("target").cast("long"))).drop("cap")
 
 
-def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", seed: int = 0) -> DataFrame:
+def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", seed: int = 0, row_col: str | None = None) -> DataFrame:
     """doc_id, size (words), source_size, target, taken (words the mix takes), a row for each row.
 
     A source takes its budget exactly: each document once in every whole epoch, and for the
     rest of the budget documents in key order, of the last one only as many words as are
     left. Repeated rows are documents of their own; ties of the key go by doc_id, size and
     text, so reruns agree. Null texts have size 0 and take nothing; null is a source; an
-    empty table gives no rows; other columns are neither read nor returned.
+    empty table gives no rows; other columns are neither read nor returned. With `row_col`, a
+    unique text of each row, that column is returned as well.
 
     Documents are put into ranges of keys that hold about RANGE_ROWS of their source, whose
     sizes are summed first. Only the range in which the budget ends is sorted, so that a
     source with a third of all rows is no large task.
     """
-    narrow = keep(sized(docs, id_col, text_col, source_col, seed))
+    narrow = keep(sized(docs, id_col, text_col, source_col, seed, row_col))
     per_source = targets(narrow).withColumn("sid", F.row_number().over(Window.orderBy(F.asc_nulls_last("source"))))
     per_source = keep(per_source.withColumn("epochs", F.when(F.col("source_size") > 0, F.expr("budget div source_size")).otherwise(F.lit(0))).withColumn("rest", F.col("budget") - F.col("epochs") * F.col("source_size")))
     ranges = F.ceil(F.col("n") / RANGE_ROWS)
     slot = F.floor((F.lit(1.0) - F.exp(-F.col("key"))) * ranges).cast("long")
     base = narrow.join(per_source, narrow["source"].eqNullSafe(per_source["source"])).select(
-        "doc_id", "size", "key", "tie", "sid", "source_size", "target", "epochs", "rest", slot.alias("slot")
+        "row", "doc_id", "size", "key", "tie", "sid", "source_size", "target", "epochs", "rest", slot.alias("slot")
     )
     sums = base.groupBy("sid", "slot", "rest").agg(F.sum("size").alias("inside"))
     upto = F.sum("inside").over(Window.partitionBy("sid").orderBy("slot"))
@@ -94,12 +97,13 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     marked = base.join(ends, "sid", "left")
     whole = F.when(F.col("end").isNull() | (F.col("slot") < F.col("end")), F.col("size")).otherwise(F.lit(0))
     clear = marked.where(F.col("end").isNull() | (F.col("slot") != F.col("end"))).withColumn("part", whole)
-    order = Window.partitionBy("sid").orderBy("key", F.asc_nulls_first("doc_id"), "size", "tie").rowsBetween(Window.unboundedPreceding, -1)
+    order = Window.partitionBy("sid").orderBy("key", F.asc_nulls_first("doc_id"), "size", "tie", "row").rowsBetween(Window.unboundedPreceding, -1)
     ahead = F.col("before") + F.coalesce(F.sum("size").over(order), F.lit(0))
     share = F.greatest(F.lit(0), F.least(F.col("size"), F.col("rest") - ahead))
     border = marked.where(F.col("slot") == F.col("end")).withColumn("part", share)
     both = clear.unionByName(border)
-    return both.select("doc_id", "size", "source_size", "target", (F.col("epochs") * F.col("size") + F.col("part")).cast("long").alias("taken"))
+    row = [F.col("row").alias(row_col)] if row_col else []
+    return both.select(*row, "doc_id", "size", "source_size", "target", (F.col("epochs") * F.col("size") + F.col("part")).cast("long").alias("taken"))
 
 
 def first_words(text: Column, count: Column) -> Column:
@@ -109,13 +113,13 @@ def first_words(text: Column, count: Column) -> Column:
     return F.array_join(F.slice(pieces, F.lit(1), (count + lead).cast("int")), "")
 
 
-def apply_mix(docs: DataFrame, decided: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def apply_mix(docs: DataFrame, decided: DataFrame, id_col: str = "doc_id", text_col: str = "text", row_col: str | None = None) -> DataFrame:
     """The rows of the mix, with the columns of `docs`: a document's copy for each epoch, and a cut copy for a part of one.
 
-    `docs` has each id once. Documents that the mix takes nothing of go.
+    Each row meets its own decision by `row_col`; without one, `docs` has each id once and none is null. Documents that the mix takes nothing of go.
     """
-    plan = decided.where("taken > 0").select(F.col("doc_id").alias("_id"), F.col("size").alias("_size"), F.col("taken").alias("_taken"))
-    joined = docs.join(plan, F.col(id_col).cast("long") == F.col("_id"))
+    plan = decided.where("taken > 0").select(F.col(row_col or "doc_id").alias("_id"), F.col("size").alias("_size"), F.col("taken").alias("_taken"))
+    joined = docs.join(plan, (F.col(row_col) if row_col else F.col(id_col).cast("long")) == F.col("_id"))
     copies = F.ceil(F.col("_taken") / F.col("_size")).cast("int")
     shown = joined.withColumn("_copy", F.explode(F.sequence(F.lit(1), copies)))
     left = F.col("_taken") - (F.col("_copy") - 1) * F.col("_size")
