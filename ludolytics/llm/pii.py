@@ -307,20 +307,30 @@ def train(count: int = 300, epochs: int = 8, rate: float = 0.4, seed: int = 7) -
 def find(text: str, field: Field) -> list[tuple[str, int, int, bool]]:
     """All spans (kind, start, end, base) by kind, then start; spans that the field adds touch no base span."""
     base = base_spans(text)
-    taken = sorted((a, b) for _, a, b in base)
+    taken: list[list[int]] = []  # what base spans cover, without overlaps
+    for a, b in sorted((a, b) for _, a, b in base):
+        if taken and a < taken[-1][1]:
+            taken[-1][1] = max(b, taken[-1][1])
+        else:
+            taken.append([a, b])
     places: list[list[int]] = []
     k = 0
     for match in _PLACE.finditer(text):
-        while k < len(taken) and taken[k][1] <= match.start():
+        start, end = match.span()
+        while k < len(taken) and taken[k][1] <= start:
             k += 1
-        if k < len(taken) and taken[k][0] < match.end():
-            continue
-        low = max(match.start() - _AROUND, taken[k - 1][1] if k else 0)
-        high = min(match.end() + _AROUND, taken[k][0] if k < len(taken) else len(text))
-        if places and low < places[-1][1]:
-            places[-1][1] = max(high, places[-1][1])
-        else:
-            places.append([low, high])
+        j = k
+        while start < end:  # each stretch of the place that base spans leave
+            stop = taken[j][0] if j < len(taken) else len(text)
+            if start < stop:
+                low = max(start - _AROUND, taken[j - 1][1] if j else 0)
+                high = min(min(end, stop) + _AROUND, stop)
+                if places and low < places[-1][1]:
+                    places[-1][1] = max(high, places[-1][1])
+                else:
+                    places.append([low, high])
+            start = taken[j][1] if j < len(taken) else end
+            j += 1
     added = [span for low, high in places for span in field.decode(text, low, high)]
     both = [(*span, True) for span in base] + [(*span, False) for span in added]
     return sorted(both, key=lambda s: (KINDS.index(s[0]), s[1], s[2]))
