@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ludolytics.llm import bpe, chat, lm, lzhash, mixing, pii, quality, simhash, tokencount, toxicity
+from ludolytics.llm import bpe, chat, lm, lzhash, manifest, mixing, pii, quality, simhash, tokencount, toxicity
 from ludolytics.llm.shared import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -84,6 +84,11 @@ def op10_quality_rules(spark, sf):
     return quality.apply_rules(table(spark, sf, "documents"))
 
 
+@query
+def op12_merkle_manifest(spark, sf):
+    return manifest.with_tampered_lengths(table(spark, sf, "documents"))
+
+
 # ---- the same in SQL for DuckDB ---------------------------------------------------
 
 ORACLE["op6_mix_sources"] = r"""
@@ -176,3 +181,47 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
          CASE WHEN r3 THEN 'stop words' END, CASE WHEN r4 THEN 'repeated lines' END) AS broken
 FROM judged
 """
+
+ORACLE["op12_merkle_manifest"] = r"""
+WITH RECURSIVE d AS (
+  SELECT *, coalesce(strlen(CAST(doc_id AS VARCHAR)) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-')
+         || coalesce(strlen(lang) || ':' || lang, '-') AS before, coalesce(strlen(text) || ':' || text, '-') AS after,
+         list_reduce(flatten([[4294967295]] || [[ord(x), 256, 256, 256, 256, 256, 256, 256, 256] FOR x IN string_split(CAST(doc_id AS VARCHAR), '')]),
+           lambda c, x: CASE WHEN x < 256 THEN xor(c, x) ELSE xor(c >> 1, 3988292384 * (c & 1)) END) AS crc
+  FROM documents
+), hashed AS (
+  SELECT doc_id, coalesce('=' || lang, '') AS tree,
+         sha256(before || coalesce(strlen(CAST(n_chars AS VARCHAR)) || ':' || n_chars, '-') || after) AS leaf,
+         sha256(before || coalesce(strlen(CAST(n_chars + hit AS VARCHAR)) || ':' || (n_chars + hit), '-') || after) AS seen
+  FROM (SELECT *, CASE WHEN xor(crc, 4294967295) % 7 = 0 THEN 1 ELSE 0 END AS hit FROM d)
+), leaves AS (
+  SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos, count(*) OVER (PARTITION BY tree) AS n FROM hashed
+), nodes AS (
+  SELECT tree, 0 AS height, pos, leaf AS digest, n FROM leaves
+  UNION ALL
+  SELECT tree, height + 1, pos // 2, sha256(string_agg(digest, '' ORDER BY pos)), (n + 1) // 2 FROM nodes WHERE n > 1 GROUP BY tree, height, pos // 2, n
+), subroots AS (
+  SELECT tree, digest, row_number() OVER (ORDER BY tree) - 1 AS pos, count(*) OVER () AS n FROM nodes WHERE n = 1
+), over_all AS (
+  SELECT 0 AS height, pos, digest, n FROM subroots
+  UNION ALL
+  SELECT height + 1, pos // 2, sha256(string_agg(digest, '' ORDER BY pos)), (n + 1) // 2 FROM over_all WHERE n > 1 GROUP BY height, pos // 2, n
+), climb AS (
+  SELECT doc_id, leaf, tree, pos, 0 AS height, seen AS folded, '' AS proof, n FROM leaves
+  UNION ALL
+  SELECT c.doc_id, c.leaf, c.tree, c.pos // 2, c.height + 1,
+         sha256(CASE WHEN c.pos % 2 = 0 THEN c.folded || coalesce(s.digest, '') ELSE s.digest || c.folded END),
+         c.proof || coalesce(s.digest, ''), (c.n + 1) // 2
+  FROM climb c LEFT JOIN nodes s ON s.tree = c.tree AND s.height = c.height AND s.pos = xor(c.pos, 1) WHERE c.n > 1
+), higher AS (
+  SELECT c.doc_id, c.leaf, r.digest AS subroot, r.pos, 0 AS height, c.folded, c.proof, r.n FROM climb c JOIN subroots r ON c.tree = r.tree WHERE c.n = 1
+  UNION ALL
+  SELECT c.doc_id, c.leaf, c.subroot, c.pos // 2, c.height + 1,
+         sha256(CASE WHEN c.pos % 2 = 0 THEN c.folded || coalesce(s.digest, '') ELSE s.digest || c.folded END),
+         c.proof || coalesce(s.digest, ''), (c.n + 1) // 2
+  FROM higher c LEFT JOIN over_all s ON s.height = c.height AND s.pos = xor(c.pos, 1) WHERE c.n > 1
+)
+SELECT doc_id, leaf, subroot, (SELECT digest FROM over_all WHERE n = 1) AS root, sha256(proof) AS proof_sha256,
+       folded AS folded_root, folded = (SELECT digest FROM over_all WHERE n = 1) AS verified
+FROM higher WHERE n = 1
+"""
