@@ -47,22 +47,35 @@ def fold(digests: list[bytes], whole: bool) -> list[bytes]:
     return [b"".join(h) for h in heights]
 
 
-def placed(rows: DataFrame, tree: str, order: list[str]) -> DataFrame:
-    """The rows with `pos`, their place from 0 in their tree, and `n`, the rows of the tree.
+def _few(df: DataFrame, rows: int, each: int = 10_000) -> DataFrame:
+    """A table of about so many rows, in no more partitions than these fill."""
+    return df.coalesce(rows // each + 1)
 
-    Rows are sorted by ranges; the places where a range goes on in a tree come from one count for each range and tree.
+
+def placed(rows: DataFrame, order: list[str]) -> DataFrame:
+    """The rows with `t`, the place of their `tree` among all trees, `pos`, their place in it, and `n`, the tree's rows.
+
+    Rows are sorted by ranges. The places at which a range goes on come from one count for each range and tree it
+    holds; the windows see these counts alone.
     """
-    keys = [F.col(c).asc_nulls_first() for c in (tree, *order)]
+    keys = [F.col(c).asc_nulls_first() for c in ("tree", *order)]
     ranged = keep(rows.repartitionByRange(*keys).sortWithinPartitions(*keys).withColumn("at", F.monotonically_increasing_id()))
     part = F.shiftright("at", 33)
-    spans = ranged.groupBy(tree, part.alias("part")).agg(F.min("at").alias("first"), F.count("*").alias("rows"))
-    earlier = Window.partitionBy(tree).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    spans = spans.select(tree, "part", (F.coalesce(F.sum("rows").over(earlier), F.lit(0)) - F.col("first")).alias("shift"), F.sum("rows").over(Window.partitionBy(tree)).alias("n"))
-    return ranged.withColumn("part", part).join(spans, [tree, "part"]).withColumn("pos", F.col("at") + F.col("shift")).drop("at", "part", "shift")
-
-
-def node_rows(leaves: DataFrame) -> DataFrame:
-    """(t, height, pos, n, leaves, levels) of trees whose leaves are (t, pos, n, digest); n counts the nodes at that height."""
+    spans = ranged.groupBy("tree", part.alias("part")).agg(F.min("at").alias("first"), F.count("*").alias("rows"))
+    spans = keep(_few(spans, ranged.rdd.getNumPartitions()))
+    earlier = Window.partitionBy("tree").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    shifts = spans.select("tree", "part", (F.coalesce(F.sum("rows").over(earlier), F.lit(0)) - F.col("first")).alias("shift"))
+    trees = spans.groupBy("tree").agg(F.min("part").alias("begins"), F.sum("rows").alias("n"))
+    begun = trees.groupBy("begins").agg(F.count("*").alias("trees"))  # a row for each range at most
+    begun = begun.select("begins", (F.sum("trees").over(Window.orderBy("begins")) - F.col("trees")).alias("before"))
+    rank = F.row_number().over(Window.partitionBy("begins").orderBy("tree")) - 1
+    trees = trees.join(begun, "begins").select("tree", "n", (F.col("before") + rank).alias("t"))
+    known = shifts.join(trees, "tree")
+    return ranged.withColumn("part", part).join(known, ["tree", "part"]).withColumn("pos", F.col("at") + F.col("shift")).drop("tree", "at", "part", "shift")
+
+
+def node_rows(leaves: DataFrame, count: int, trees: int) -> DataFrame:
+    """`count` leaves make (t, height, pos, n, leaves, levels) of `trees` trees, of leaves (t, pos, n, digest); n is the nodes of the tree at that height."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -74,9 +87,11 @@ def node_rows(leaves: DataFrame) -> DataFrame:
     level, found = leaves.select("t", "pos", "n", F.col("n").alias("leaves"), "digest"), []
     most = leaves.agg(F.max("n")).first()[0] or 0
     while most:
+        count = (count >> SPAN) + trees
         grouped = level.groupBy("t", F.shiftright("pos", SPAN).alias("pos")).agg(F.first("n").alias("n"), F.first("leaves").alias("leaves"), F.array_sort(F.collect_list(F.struct(level["pos"], "digest"))).alias("kids"))
         ready = grouped.select("t", F.lit(len(found)).alias("height"), "pos", "n", "leaves", "kids")
-        found.append(keep(ready.mapInArrow(run, "t long, height int, pos long, n long, leaves long, levels array<binary>")))
+        ready = _few(ready, count, 2_000).mapInArrow(run, "t long, height int, pos long, n long, leaves long, levels array<binary>")
+        found.append(keep(ready))
         level = found[-1].where(F.col("n") > 1 << SPAN).select("t", "pos", F.ceil(F.col("n") / (1 << SPAN)).alias("n"), "leaves", F.element_at("levels", -1).alias("digest"))
         most = -(-most >> SPAN) if most > 1 << SPAN else 0
     rows = found[0] if found else leaves.limit(0).selectExpr("t", "0 AS height", "pos", "n", "n AS leaves", "array(digest) AS levels")
@@ -148,13 +163,14 @@ def manifest(docs: DataFrame, tampered: dict[str, F.Column] | None = None) -> Da
     other = leaf_digest(**given | tampered) if tampered else leaf
     tree = F.coalesce(F.concat(F.lit("="), F.col("lang")), F.lit(""))  # nulls first, then by bytes
     rows = keep(docs.select(F.col("doc_id").cast("long").alias("doc_id"), tree.alias("tree"), leaf.alias("leaf"), other.alias("seen"), F.monotonically_increasing_id().alias("row")))
-    leaves = placed(rows, "tree", ["doc_id", "leaf", "row"])
-    names = keep(placed(rows.select("tree").distinct().withColumn("all", F.lit(0)), "all", ["tree"]))
-    leaves = keep(leaves.join(names.select("tree", F.col("pos").alias("t")), "tree").select("doc_id", "leaf", "seen", "t", "pos", "n"))
-    trees = keep(node_rows(leaves.select("t", "pos", "n", F.col("leaf").alias("digest"))))
-    subroots = trees.where(F.col("n") <= 1 << SPAN).select(F.col("t").alias("pos"), F.element_at("levels", -1).alias("digest"))
-    over = keep(node_rows(subroots.join(names.select("pos", "n"), "pos").select(F.lit(-1).cast("long").alias("t"), "pos", "n", "digest")))
-    nodes = keep(linked(trees, over))
+    count = rows.count()
+    leaves = keep(_few(placed(rows, ["doc_id", "leaf", "row"]).drop("row"), count))
+    n_trees = (leaves.agg(F.max("t")).first()[0] or 0) + 1
+    trees = node_rows(leaves.select("t", "pos", "n", F.col("leaf").alias("digest")), count, n_trees)
+    subroots = trees.where(F.col("n") <= 1 << SPAN).select(F.lit(-1).cast("long").alias("t"), F.col("t").alias("pos"), F.lit(n_trees).cast("long").alias("n"), F.element_at("levels", -1).alias("digest"))
+    over = node_rows(subroots, n_trees, 1)
+    copies = (count >> SPAN) + n_trees + SPAN * ((count >> STRETCH) + n_trees)
+    nodes = keep(_few(linked(trees, over), copies, 2_000))
     session = docs.sparkSession
     session.conf.set("spark.sql.cteRecursionRowLimit", "-1")
     return session.sql(CLIMB, leaves=leaves, nodes=nodes)

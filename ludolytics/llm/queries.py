@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ludolytics.llm import bpe, chat, lm, lzhash, manifest, mixing, pii, quality, simhash, tokencount, toxicity
+from ludolytics.llm import alignment, bpe, chat, lm, lzhash, manifest, mixing, pii, quality, simhash, tokencount, toxicity
 from ludolytics.llm.shared import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -89,6 +89,11 @@ def op12_merkle_manifest(spark, sf):
     return manifest.with_tampered_lengths(table(spark, sf, "documents"))
 
 
+@query
+def op13_token_alignment(spark, sf):
+    return alignment.align(table(spark, sf, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 # ---- the same in SQL for DuckDB ---------------------------------------------------
 
 ORACLE["op6_mix_sources"] = r"""
