@@ -38,7 +38,7 @@ BUCKETS = 64
 CONTAINER, ENTRIES, STORE, STORED_LINKS = 8192, 3_000_000, 250_000, 3_000_000
 #: Pairs that one long stretch is expanded to at once.
 SLICE = 4_000_000
-#: Containers whose planes of one bucket share a copy of that bucket's counts.
+#: Containers, about, whose planes of one bucket share a copy of that bucket's counts.
 SHARED = 64
 _CUT = re.compile(r"(?<=\S) (?=\S)")
 _BYTE = re.compile(r"<0x([0-9A-F]{2})>")
@@ -335,10 +335,10 @@ def pair_counts(planes: DataFrame) -> DataFrame:
     return found.groupBy("a", "b").agg(F.sum("docs").alias("docs"), F.sum("links").alias("links"))
 
 
-def _returned(planes: DataFrame, counts: DataFrame) -> DataFrame:
-    """(container, best, sum): for the documents of each container, what one bucket adds to their scores.
+def _returned(planes: DataFrame, counts: DataFrame, shares: int) -> DataFrame:
+    """(container, best, total): for the documents of each container, what one bucket adds to their scores.
 
-    Counts travel as a row of arrays for each bucket, of which each group of SHARED containers gets a copy.
+    Counts travel as a row of arrays for each bucket, of which each of the `shares` of containers gets a copy.
     """
     best = counts.groupBy("a").agg(F.max("docs").alias("most"))
     rows = counts.join(best, "a").select((F.col("a") % BUCKETS).alias("bucket"), "a", "b", "docs", (F.col("docs") == F.col("most")).alias("is_best"))
@@ -366,9 +366,8 @@ def _returned(planes: DataFrame, counts: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in out], pa.int64()), *[pa.array([r[k] for r in out], pa.binary()) for k in (1, 2)]], ["container", "best", "total"])
 
     held = rows.groupBy("bucket").applyInArrow(sorted_arrays, "bucket int, known binary, docs binary, is_best binary")
-    shares = planes.select("bucket", F.expr(f"container % 16777216 div {SHARED} + container div 16777216").alias("share"))
-    copies = shares.distinct().join(held, "bucket")
-    keyed = planes.drop("docs").withColumn("share", F.expr(f"container % 16777216 div {SHARED} + container div 16777216"))
+    copies = held.withColumn("share", F.explode(F.sequence(F.lit(0), F.lit(shares - 1))))
+    keyed = planes.withColumn("share", F.pmod(F.xxhash64("container"), F.lit(shares)).cast("int"))
     return keyed.join(copies, ["bucket", "share"]).drop("bucket", "share").mapInArrow(run, "container long, best binary, total binary")
 
 
@@ -384,7 +383,8 @@ def align(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
     """
     rows = keep(containers(docs, path_a, path_b))
     planes = rows.where("bucket >= 0").select("container", "width", "bucket", *_TYPES)
-    scores = _returned(planes, keep(pair_counts(planes)))
+    base = rows.where("bucket < 0").select("container", "docs")
+    scores = _returned(planes, keep(pair_counts(planes)), base.count() // SHARED + 1)
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         if not left.num_rows:
@@ -394,7 +394,6 @@ def align(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
         columns = {c: [row[c] for row in found] for c in _DOC_NAMES} | {"n_best": sums["best"], "count_sum": sums["total"]}
         return pa.table({c: pa.array(columns[c], kind) for c, kind in OUT})
 
-    base = rows.where("bucket < 0").select("container", "docs")
     return base.groupBy("container").cogroup(scores.groupBy("container")).applyInArrow(run, ", ".join(f"{c} {'string' if c == 'groups_sha256' else 'long'}" for c, _ in OUT))
 
 
