@@ -35,7 +35,7 @@ from ludolytics.llm.shared import keep, once
 
 BUCKETS = 64
 #: Documents of a container and stretches (distinct in a text) that end it; stretches and links that empty the store.
-CONTAINER, ENTRIES, STORE, STORED_LINKS = 8192, 3_000_000, 250_000, 3_000_000
+CONTAINER, ENTRIES, STORE, STORED_LINKS = 8192, 750_000, 100_000, 1_500_000
 #: Pairs that one long stretch is expanded to at once.
 SLICE = 4_000_000
 #: Containers, about, whose planes of one bucket share a copy of that bucket's counts.
@@ -282,8 +282,8 @@ def containers(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
                         store.empty()
                 stretches = _CUT.split(text) if text else []
                 new = [s for s in dict.fromkeys(stretches) if s not in store.places]
-                for k in range(0, len(new), 10_000):
-                    store.learn(new[k : k + 10_000])
+                for k in range(0, len(new), 5_000):
+                    store.learn(new[k : k + 5_000])
                 places = list(map(store.places.__getitem__, stretches))
                 groups = list(map(store.groups.__getitem__, places))
                 if not places or None in groups:
@@ -301,8 +301,7 @@ def containers(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
                     row |= dict(zip(("n_a", "n_b", "n_groups", "n_links"), sums.tolist(), strict=True))
         if base:
             yield from close()
-        if store.full():
-            store.empty()
+        store.empty()  # an idle worker holds nothing
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, WRITTEN)
 

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ludolytics.llm import alignment, bpe, chat, lm, lzhash, manifest, mixing, pii, quality, simhash, tokencount, toxicity
+from ludolytics.llm import alignment, bpe, chat, lm, lzhash, manifest, mixing, neighbours, pii, quality, simhash, tokencount, toxicity
 from ludolytics.llm.shared import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -84,6 +84,11 @@ def op10_quality_rules(spark, sf):
     return quality.apply_rules(table(spark, sf, "documents"))
 
 
+@query
+def op11_multiprobe_search(spark, sf):
+    return neighbours.search(table(spark, sf, "embeddings"))
+
+
 @query
 def op12_merkle_manifest(spark, sf):
     return manifest.with_tampered_lengths(table(spark, sf, "documents"))
