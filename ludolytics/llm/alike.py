@@ -1,10 +1,15 @@
 """All pairs of texts whose sets of five-word shingles are alike by Jaccard: an exact prefix search.
 
 With all shingles in one common order, two sets that share 4 in 5 must meet in the first
-n - ceil(4 n / 5) + 1 shingles of each. Any order gives the same pairs; rare shingles first (as a
-sample of the texts has them) keeps common passages out of these prefixes. The members
-of a prefix shingle are compared with its least one first, and what that joins is one
-group; then all members of different groups are compared, so no pair that matters is left out.
+n - ceil(4 n / 5) + 1 shingles of each. Any order gives the same pairs. The order here is that of a count
+of the shingles of all texts, kept in a table of SLOTS sums (a shingle counts as its slot): rare ones
+come first, so passages that many texts share stay out of these prefixes unless a text is little else.
+Where two sets meet first, what they can share is bounded by what each has from there on (`rest`), so
+most pairs of one shingle are ruled out by two numbers before they exist.
+
+The members of a prefix shingle are compared with its least one first, and what that joins is one
+group; then members of different groups are compared, so no pair that matters is left out. Whole
+sets travel only for pairs that may be alike, once for each least member.
 """
 
 from __future__ import annotations
@@ -14,17 +19,17 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ludolytics.llm.components import components
 from ludolytics.llm.shared import keep
 
 WIDTH = 5
-#: Texts that the order of shingles is taken from, and shingles counted as common; neither changes a result.
-SAMPLE, COMMON = 2_000, 200_000
-MARKS = 1 << 18
-PLACES = 2048
+#: Sums that the order of shingles comes from, and the slices they travel in; bits that tell wanted texts. None changes a result.
+SLOTS, SLICES, MARKS = 1 << 22, 64, 1 << 20
+#: Sets that meet their common partner in one task.
+MEMBERS = 500
 _PRIME = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -54,14 +59,14 @@ def shingles(words: list[bytes], known: dict[bytes, int]) -> np.ndarray:
     return np.unique(found)
 
 
-def prefix(found: np.ndarray, common: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    """The shingles of which a set as alike has one in its own prefix."""
+def slots(found: np.ndarray) -> np.ndarray:
+    return (found >> np.uint64(64 - SLOTS.bit_length() + 1)).astype(np.int64)
+
+
+def prefix(found: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """The shingles of which a set as alike has one in its own prefix, the rarest by the sums of the slots first."""
     n = len(found)
-    rank = np.zeros(n, np.int64)
-    if len(common):
-        at = np.minimum(np.searchsorted(common, found), len(common) - 1)
-        rank = np.where(common[at] == found, counts[at], 0)
-    return found[np.lexsort((found, rank))[: n - (4 * n + 4) // 5 + 1]] if n else found
+    return found[np.lexsort((found, counts[slots(found)]))[: n - (4 * n + 4) // 5 + 1]] if n else found
 
 
 def alike(a: np.ndarray, b: np.ndarray) -> bool:
@@ -69,122 +74,131 @@ def alike(a: np.ndarray, b: np.ndarray) -> bool:
     return 9 * len(np.intersect1d(a, b, assume_unique=True)) >= 4 * (len(a) + len(b))
 
 
-def sketch(found: np.ndarray) -> np.ndarray:
-    """By remainder of the shingles, whether an odd number has it: two sketches differ in no more places than their sets have shingles apart."""
-    odd = np.bincount((found % np.uint64(PLACES)).astype(np.int64), minlength=PLACES) & 1
-    return np.packbits(odd.astype(np.bool_))
+def may_be_alike(n, m, rest_n, rest_m):
+    """Whether sets of n and m shingles can share 4 in 5, if what they have from their first common one on is rest_n and rest_m.
 
+    Works on numbers and on columns.
+    """
+    least = F.least if isinstance(n, F.Column) else min
+    return (9 * least(rest_n, rest_m) >= 4 * (n + m)) & (5 * n >= 4 * m) & (5 * m >= 4 * n)
 
-def may_be_alike(a: bytes, b: bytes, sizes: int) -> bool:
-    """Alike sets of `sizes` shingles together have at most a ninth of these apart."""
-    apart = np.bitwise_count(np.frombuffer(a, np.uint64) ^ np.frombuffer(b, np.uint64)).sum()
-    return 9 * int(apart) <= sizes
 
+def slot_sums(texts: DataFrame) -> np.ndarray:
+    """How many shingles of all texts fall in each slot, up to 65,535 (uint16). A task counts a slot up to 255."""
 
-def _common(texts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[bytes, int] = {}
+        sums = np.zeros(SLOTS, np.uint8)
         for batch in batches:
-            for text in batch.column(0).cast(pa.binary()).to_pylist():
-                yield pa.RecordBatch.from_arrays([pa.array(shingles(words_of(text), known).view(np.int64))], ["h"])
-
-    every = max(1, texts.count() // SAMPLE)
-    counted = texts.where(F.pmod(F.xxhash64("text"), F.lit(every)) == 0).mapInArrow(run, "h long").groupBy("h").agg(F.count("*").alias("n"))
-    rows = counted.where("n > 2").orderBy(F.desc("n"), "h").limit(COMMON).collect()
-    common, counts = np.array([r["h"] for r in rows], np.int64).view(np.uint64), np.array([r["n"] for r in rows], np.int64)
-    order = np.argsort(common)
-    return common[order], counts[order]
-
-
-def _heads(texts: DataFrame) -> DataFrame:
-    """(sig, n, prefix) of each distinct text that has words."""
-    common, counts = _common(texts)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            met = [slots(shingles(words_of(t), known)) for t in batch.column(0).cast(pa.binary()).to_pylist()]
+            if met:
+                each, times = np.unique(np.concatenate(met), return_counts=True)
+                sums[each] = np.minimum(255, sums[each] + times)
+        used = np.flatnonzero(sums)
+        size, rows = SLOTS // SLICES, []
+        bounds = np.searchsorted(used, np.arange(SLICES + 1) * size)
+        for k in range(SLICES):
+            places = used[bounds[k] : bounds[k + 1]]
+            if 5 * len(places) < size:  # few: their places and counts, else all counts
+                rows.append((k, (places - k * size).astype(np.uint32).tobytes(), sums[places].tobytes()))
+            else:
+                rows.append((k, None, sums[k * size : (k + 1) * size].tobytes()))
+        yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), *[pa.array([r[i] for r in rows], pa.binary()) for i in (1, 2)]], ["slice", "places", "counts"])
+
+    def add(table: pa.Table) -> pa.Table:
+        total = np.zeros(SLOTS // SLICES, np.int64)
+        for places, counts in zip(table.column("places").to_pylist(), table.column("counts").to_pylist(), strict=True):
+            values = np.frombuffer(counts, np.uint8)
+            total[np.frombuffer(places, np.uint32) if places is not None else slice(None)] += values
+        return pa.table({"slice": table.column("slice")[:1], "total": pa.array([np.minimum(65535, total).astype(np.uint16).tobytes()], pa.binary())})
+
+    summed = texts.mapInArrow(count, "slice int, places binary, counts binary").groupBy("slice").applyInArrow(add, "slice int, total binary")
+    sums = np.zeros((SLICES, SLOTS // SLICES), np.uint16)
+    for row in summed.collect():  # SLICES rows of equal size
+        sums[row["slice"]] = np.frombuffer(row["total"], np.uint16)
+    return sums.ravel()
+
+
+def _met(texts: DataFrame) -> DataFrame:
+    """(key, sig, n, rest, first) of the prefix shingles that two texts or more have; first is the least member (sig, n, rest)."""
+    counts = slot_sums(texts)
+
+    def heads(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[bytes, int] = {}
+        seen: set[int] = set()  # copies of a text are one in each task
         for batch in batches:
-            sigs, sizes, heads = [], [], []
+            found: list[tuple[int, int, np.ndarray]] = []
             for text in batch.column(0).cast(pa.binary()).to_pylist():
                 words = words_of(text)
-                if words:
-                    found = shingles(words, known)
-                    sigs.append(signature(words))
-                    sizes.append(len(found))
-                    heads.append(prefix(found, common, counts).view(np.int64))
-            yield pa.RecordBatch.from_arrays([pa.array(sigs, pa.int64()), pa.array(sizes, pa.int64()), pa.array(heads, pa.list_(pa.int64()))], ["sig", "n", "prefix"])
-
-    return texts.mapInArrow(run, "sig long, n long, prefix array<long>").dropDuplicates(["sig"])
-
-
-def _sets(texts: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(sig, n, sketch, found): the whole sets of the wanted texts. A bit for each remainder of their signatures keeps most others out of the shuffle."""
+                if words and (sig := signature(words)) not in seen:
+                    seen.add(sig)
+                    held = shingles(words, known)
+                    found.append((sig, len(held), prefix(held, counts)))
+            sizes = [len(p) for _, _, p in found]
+            rest = [np.arange(n, n - len(p), -1) for _, n, p in found]
+            none = np.zeros(0, np.int64)
+            keys = np.concatenate([none.view(np.uint64), *[p for _, _, p in found]]).view(np.int64)
+            columns = [keys, *[np.repeat(np.array([f[k] for f in found], np.int64), sizes) for k in (0, 1)], np.concatenate([none, *rest])]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["key", "sig", "n", "rest"])
+
+    index = texts.mapInArrow(heads, "key long, sig long, n long, rest long")
+    of_key = Window.partitionBy("key")
+    first = F.min(F.struct("sig", "n", "rest")).over(of_key)
+    return keep(index.select("*", first.alias("first"), F.max("sig").over(of_key).alias("last")).where("first.sig != last").drop("last"))
+
+
+def _verified(texts: DataFrame, pairs: DataFrame) -> DataFrame:
+    """The pairs (u, v) that are alike, by their whole sets. A u with many partners meets them in several tasks, MEMBERS in each."""
+    times = pairs.groupBy("u").agg(F.ceil(F.count("*") / MEMBERS).alias("tasks"))
+    dealt = keep(pairs.join(times, "u").select("u", F.pmod(F.xxhash64("v"), "tasks").alias("task"), "v"))
+    members = keep(dealt.select("u", "task", F.col("v").alias("sig")).unionByName(dealt.select("u", "task", F.col("u").alias("sig")).distinct()))
     bits = np.zeros(MARKS, np.bool_)
-    for row in wanted.select(F.pmod("sig", F.lit(MARKS)).cast("int").alias("k")).distinct().toLocalIterator():  # MARKS rows at most
+    for row in members.select(F.pmod("sig", F.lit(MARKS)).cast("int").alias("k")).distinct().toLocalIterator():  # MARKS rows at most
         bits[row["k"]] = True
     marks = np.packbits(bits)
 
-    def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = np.unpackbits(marks)
-        for batch in batches:
-            column = batch.column(0).cast(pa.binary())
-            sigs = np.array([signature(words_of(t)) for t in column.to_pylist()], np.int64)
-            found = pa.RecordBatch.from_arrays([pa.array(sigs), column], ["sig", "text"])
-            yield found.filter(pa.array(held[sigs % MARKS] == 1))
-
-    def reduce_text(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        wanted = np.unpackbits(marks)
         known: dict[bytes, int] = {}
+        seen: set[int] = set()
         for batch in batches:
-            sets = [shingles(words_of(t), known) for t in batch.column(1).to_pylist()]
-            sizes, drawn = pa.array([len(s) for s in sets], pa.int64()), pa.array([sketch(s).tobytes() for s in sets], pa.binary())
-            yield pa.RecordBatch.from_arrays([batch.column(0), sizes, drawn, pa.array([s.tobytes() for s in sets], pa.binary())], ["sig", "n", "sketch", "found"])
-
-    signed = texts.mapInArrow(sign, "sig long, text binary").join(wanted, "sig", "left_semi").dropDuplicates(["sig"])
-    return keep(signed.mapInArrow(reduce_text, "sig long, n long, sketch binary, found binary"))
-
-
-def _verified(sets: DataFrame, pairs: DataFrame) -> DataFrame:
-    """The pairs (u, v) that are alike, by their whole sets; those that the sketches rule out don't come so far."""
-
-    def rule_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            good = [may_be_alike(*both) for both in zip(*(batch.column(k).to_pylist() for k in (2, 3, 4)))]
-            yield pa.RecordBatch.from_arrays(batch.columns[:2], ["u", "v"]).filter(pa.array(good, pa.bool_()))
+            sigs, found = [], []
+            for text in batch.column(0).cast(pa.binary()).to_pylist():
+                words = words_of(text)
+                sig = signature(words)
+                if wanted[sig % MARKS] and sig not in seen:
+                    seen.add(sig)
+                    sigs.append(sig)
+                    found.append(shingles(words, known).tobytes())
+            yield pa.RecordBatch.from_arrays([pa.array(sigs, pa.int64()), pa.array(found, pa.binary())], ["sig", "found"])
 
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            both = zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())
-            good = [alike(np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)) for a, b in both]
-            yield pa.RecordBatch.from_arrays(batch.columns[:2], ["u", "v"]).filter(pa.array(good, pa.bool_()))
+    def compare(table: pa.Table) -> pa.Table:
+        u = table.column("u")[0].as_py()
+        held = {s: np.frombuffer(f, np.uint64) for s, f in zip(table.column("sig").to_pylist(), table.column("found").to_pylist(), strict=True)}
+        good = [s for s, found in held.items() if s != u and alike(held[u], found)]
+        return pa.table({"u": pa.array([u] * len(good), pa.int64()), "v": pa.array(good, pa.int64())})
 
-    left = sets.select(F.col("sig").alias("u"), F.col("sketch").alias("a"), F.col("n").alias("c"))
-    right = sets.select(F.col("sig").alias("v"), F.col("sketch").alias("b"), F.col("n").alias("d"))
-    drawn = pairs.join(left, "u").join(right, "v").select("u", "v", "a", "b", F.col("c") + F.col("d"))
-    pairs = keep(drawn.mapInArrow(rule_out, "u long, v long"))
-    left = sets.select(F.col("sig").alias("u"), F.col("found").alias("a"))
-    right = sets.select(F.col("sig").alias("v"), F.col("found").alias("b"))
-    return keep(pairs.join(left, "u").join(right, "v").select("u", "v", "a", "b").mapInArrow(compare, "u long, v long"))
+    met = members.join(texts.mapInArrow(sets, "sig long, found binary"), "sig")
+    return keep(met.groupBy("u", "task").applyInArrow(compare, "u long, v long"))
 
 
 def links(texts: DataFrame) -> DataFrame:
     """(u, v), signatures: enough links of alike texts to connect all that are alike. `texts` has one column, text."""
-    index = _heads(texts).select("sig", "n", F.explode("prefix").alias("key")).repartition("key")  # one shuffle for both readers
-    buckets = index.groupBy("key").agg(F.min(F.struct("sig", "n")).alias("first"), F.count("*").alias("members")).where("members > 1")
-    shared = keep(index.join(buckets, "key").select("key", "sig", "n", "first"))
-    near = lambda a, b: (5 * F.least(a, b) >= 4 * F.greatest(a, b))  # noqa: E731  (else the sizes alone differ too much)
-    star = shared.where((F.col("sig") != F.col("first.sig")) & near(F.col("n"), F.col("first.n")))
-    star = keep(star.select(F.col("first.sig").alias("u"), F.col("sig").alias("v")).distinct())
-    sets = _sets(texts, keep(shared.select("sig").distinct()))
-    joined = _verified(sets, star)
+    met = _met(texts)
+    close = may_be_alike(F.col("n"), F.col("first.n"), F.col("rest"), F.col("first.rest"))
+    star = keep(met.where((F.col("sig") != F.col("first.sig")) & close).select(F.col("first.sig").alias("u"), F.col("sig").alias("v")).distinct())
+    joined = _verified(texts, star)
     groups = components(joined)
-    rows = shared.join(groups, shared["sig"] == groups["node"], "left").select("key", "sig", "n", F.coalesce("root", "sig").alias("group"))
-    spread = rows.groupBy("key").agg(F.min("group").alias("low"), F.max("group").alias("high")).where("low != high").select("key")
-    rows = keep(rows.join(spread, "key", "left_semi"))
-    held = keep(rows.groupBy("key", "group").agg(F.min("n").alias("least"), F.max("n").alias("most")))
-    one = held.select("key", F.col("group").alias("g"), F.col("least").alias("a"), F.col("most").alias("b"))
-    two = held.select("key", F.col("group").alias("h"), F.col("least").alias("c"), F.col("most").alias("d"))
-    met = one.join(two, "key").where("g < h AND 5 * b >= 4 * c AND 5 * d >= 4 * a").select("key", "g", "h")
-    left = rows.select("key", F.col("group").alias("g"), F.col("sig").alias("u"), F.col("n").alias("nu"))
-    right = rows.select("key", F.col("group").alias("h"), F.col("sig").alias("v"), F.col("n").alias("nv"))
-    across = met.join(left, ["key", "g"]).join(right, ["key", "h"]).where(near(F.col("nu"), F.col("nv")))
+    rows = met.join(groups, met["sig"] == groups["node"], "left").select("key", "sig", "n", "rest", F.coalesce("root", "sig").alias("group"))
+    held = rows.groupBy("key", "group").agg(F.min("n").alias("least"), F.max("n").alias("most"), F.max("rest").alias("rest"))
+    held = keep(held.withColumn("groups", F.count("*").over(Window.partitionBy("key"))).where("groups > 1").drop("groups"))
+    rows = keep(rows.join(held.select("key", "group"), ["key", "group"], "left_semi"))
+    one = held.select("key", F.col("group").alias("g"), F.col("least").alias("a"), F.col("most").alias("b"), F.col("rest").alias("r"))
+    two = held.select("key", F.col("group").alias("h"), F.col("least").alias("c"), F.col("most").alias("d"), F.col("rest").alias("s"))
+    may_meet = (F.col("g") < F.col("h")) & (9 * F.least("r", "s") >= 4 * (F.col("a") + F.col("c"))) & (5 * F.col("b") >= 4 * F.col("c")) & (5 * F.col("d") >= 4 * F.col("a"))
+    pairs = one.join(two, "key").where(may_meet).select("key", "g", "h")
+    left = rows.select("key", F.col("group").alias("g"), F.col("sig").alias("u"), F.col("n").alias("nu"), F.col("rest").alias("ru"))
+    right = rows.select("key", F.col("group").alias("h"), F.col("sig").alias("v"), F.col("n").alias("nv"), F.col("rest").alias("rv"))
+    across = pairs.join(left, ["key", "g"]).join(right, ["key", "h"]).where(may_be_alike(F.col("nu"), F.col("nv"), F.col("ru"), F.col("rv")))
     across = across.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct().join(star, ["u", "v"], "left_anti")
-    return joined.unionByName(_verified(sets, keep(across)))
+    return joined.unionByName(_verified(texts, keep(across)))

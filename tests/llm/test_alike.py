@@ -2,10 +2,13 @@
 
 import itertools
 import random
+from collections import Counter, defaultdict
 
 import corpus_pipeline
+import numpy as np
 
 from ludolytics.llm import alike, simhash
+from ludolytics.llm.shared import table
 
 COLUMNS = "doc_id long, text string, lang string, source string, n_chars long"
 
@@ -44,11 +47,44 @@ def test_stage_drops_alike_texts_that_fingerprints_miss(spark):
 
 def test_prefixes_of_alike_sets_meet():
     rng = random.Random(9)
-    for _ in range(300):
+    counts = np.random.default_rng(9).integers(0, 4, alike.SLOTS).astype(np.uint16)
+    near = 0
+    for _ in range(600):
         words = [b"%d" % rng.randrange(60) for _ in range(rng.randint(1, 80))]
         other = list(words)
-        other[rng.randrange(len(other))] = b"x"
+        for _ in range(rng.choice([1, 1, 2])):
+            other[rng.randrange(len(other))] = b"x"
         a, b = alike.shingles(words, {}), alike.shingles(other, {})
-        order = [alike.prefix(s, a[:7], a[:7].astype("int64") % 5 + 3) for s in (a, b)]
-        assert not alike.alike(a, b) or set(order[0]) & set(order[1])
-        assert not alike.alike(a, b) or alike.may_be_alike(alike.sketch(a).tobytes(), alike.sketch(b).tobytes(), len(a) + len(b))
+        one, two = (alike.prefix(s, counts).tolist() for s in (a, b))
+        if alike.alike(a, b):
+            near += 1
+            i = next(i for i, s in enumerate(one) if s in two)  # where they meet first
+            assert alike.may_be_alike(len(a), len(b), len(a) - i, len(b) - two.index(one[i]))
+    assert near > 100
+
+
+def test_slots_count_the_shingles_of_all_texts(spark):
+    texts = [f"a{k % 7} b c d e f{k % 3}" if k % 4 else None for k in range(200)]
+    sums = alike.slot_sums(spark.createDataFrame([(t,) for t in texts], "text string").repartition(3))
+    counts = Counter(int(s) for t in texts for s in alike.slots(alike.shingles(alike.words_of((t or "").encode()), {})))
+    assert {int(k): int(sums[k]) for k in np.flatnonzero(sums)} == dict(counts)
+
+
+def test_given_documents_have_48_more_pairs_linked(spark):
+    """All rows of the larger given table: 48 pairs of texts of different words are alike by 0.8, and all are linked."""
+    docs = table(spark, "/root/testdata/sf0.1", "documents")
+    texts = {alike.signature(words): words for words in (alike.words_of(r.text.encode()) for r in docs.select("text").distinct().collect()) if words}
+    known: dict[bytes, int] = {}
+    sets = {s: set(alike.shingles(w, known).tolist()) for s, w in texts.items()}
+    holders = defaultdict(list)
+    for s, found in sets.items():
+        for h in sorted(found)[: len(found) - (4 * len(found) + 4) // 5 + 1]:
+            holders[h].append(s)
+    pairs = {(u, v) for group in holders.values() for u, v in itertools.combinations(sorted(group), 2)}
+    pairs = {(u, v) for u, v in pairs if 5 * len(sets[u] & sets[v]) >= 4 * len(sets[u] | sets[v])}
+    group = {s: s for s in sets}
+    for r in alike.links(docs.select("text")).collect():
+        assert (min(r.u, r.v), max(r.u, r.v)) in pairs
+        low, high = sorted((group[r.u], group[r.v]))
+        group = {s: low if g == high else g for s, g in group.items()} if low != high else group
+    assert len(pairs) == 48 and all(group[u] == group[v] for u, v in pairs)
