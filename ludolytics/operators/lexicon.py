@@ -60,24 +60,13 @@ def published_modifiers(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(rows, "token string, intensity double, negates boolean")
 
 
-def _rules(modifiers: DataFrame) -> Column:
-    """The modifiers by word, as one value computed once; a word listed twice takes its greatest intensity."""
-    by_word = (
+def _known(modifiers: DataFrame) -> DataFrame:
+    """The modifiers, each word once: one that is listed twice takes its greatest intensity."""
+    return (
         modifiers.filter(F.col("token").isNotNull())
         .groupBy("token")
         .agg(F.max("intensity").alias("intensity"), F.bool_or("negates").alias("negates"))
     )
-    entry = F.struct("token", F.struct("intensity", "negates"))
-    return by_word.agg(F.map_from_entries(F.collect_list(entry))).scalar()
-
-
-def _intensity(rules: Column, word: Column) -> Column:
-    return F.coalesce(F.element_at(rules, word)["intensity"], F.lit(0.0))
-
-
-def _negates(rules: Column, word: Column) -> Column:
-    listed = F.coalesce(F.element_at(rules, word)["negates"], F.lit(False))
-    return listed | F.coalesce(word.endswith("n't"), F.lit(False))
 
 
 def score_texts(
@@ -98,9 +87,9 @@ def score_texts(
     Texts of length 0 are dropped, at the end: as a condition on the text the filter
     would be pushed down to the scan and clean every text twice.
     With in_context, the three preceding words intensify or negate a word, by a table of
-    modifiers (token, intensity, negates; the published words without one), a list of words
-    of a language. They come from shifted copies of the word array, which needs no window
-    over the words.
+    modifiers (token, intensity, negates; the published words without one). They come from shifted
+    copies of the word array, which needs no window over the words, and meet the modifiers in
+    equi-joins, only in rows that have met the lexicon.
     """
     listed = texts.select(
         *id_cols, F.length(text_col).alias("text_length"), words(F.col(text_col)).alias("w")
@@ -132,12 +121,19 @@ def score_texts(
 
     value = F.col("valence")
     if in_context:
-        rules = _rules(published_modifiers(lexicon.sparkSession) if modifiers is None else modifiers)
+        known = _known(published_modifiers(lexicon.sparkSession) if modifiers is None else modifiers)
         boost = F.lit(0.0)
         negated = F.lit(False)
-        for word, damping in zip(("p1", "p2", "p3"), DAMPING, strict=True):
-            boost = boost + _intensity(rules, F.col(word)) * damping
-            negated = negated | _negates(rules, F.col(word))
+        for k, damping in enumerate(DAMPING, 1):
+            before = known.select(
+                F.col("token").alias(f"p{k}"),
+                F.col("intensity").alias(f"b{k}"),
+                F.col("negates").alias(f"n{k}"),
+            )
+            matched = matched.join(before, f"p{k}", "left")
+            boost = boost + F.coalesce(f"b{k}", F.lit(0.0)) * damping
+            short = F.coalesce(F.col(f"p{k}").endswith("n't"), F.lit(False))
+            negated = negated | F.coalesce(f"n{k}", F.lit(False)) | short
         raised = value + F.signum(value) * boost
         value = raised * F.when(negated, F.lit(NEGATION)).otherwise(F.lit(1.0))
     units = F.round(value * _UNIT).cast("bigint")

@@ -18,9 +18,12 @@ def _by_players() -> list:
 
 def leaderboard(counts: DataFrame, as_of: datetime | str, limit: int = 50) -> DataFrame:
     """The games with the most players now."""
-    live = player_counts_live(counts, as_of).filter(
-        F.col("game_name").isNotNull() & F.col("current_players").isNotNull()
-    )
+    return leaderboard_of(player_counts_live(counts, as_of), limit)
+
+
+def leaderboard_of(live: DataFrame, limit: int = 50) -> DataFrame:
+    """The same of a live view, however it was made."""
+    live = live.filter(F.col("game_name").isNotNull() & F.col("current_players").isNotNull())
     return top_k(live, _by_players(), limit).select(
         "game_id",
         "game_name",

@@ -285,24 +285,43 @@ def normalised_details(documents: DataFrame, cut: bool = False) -> DataFrame:
     )
 
 
-def count_samples(documents: DataFrame, names: DataFrame) -> DataFrame:
-    """Live count documents (appid, value, fetched_at) to samples, one per game and minute.
-
-    All documents of one collection cycle carry the cycle's fetched_at.
-    """
+def _counted(documents: DataFrame) -> DataFrame:
+    """(record_id, appid, fetched_at, live_player_count) of the documents with an answer; the id is one for a game and minute."""
     answer = F.from_json(F.col("value").cast("string"), S.LIVE_COUNT)["response"]
     counted = documents.select("appid", "fetched_at", answer.alias("a")).filter(
         (F.col("a.result") == 1) & F.col("a.player_count").isNotNull()
     )
     minute = F.date_format("fetched_at", "yyyyMMddHHmm")
+    return counted.select(
+        md5_key(F.col("appid"), minute).alias("record_id"),
+        "appid",
+        "fetched_at",
+        F.col("a.player_count").alias("live_player_count"),
+    )
+
+
+def count_samples(documents: DataFrame, names: DataFrame) -> DataFrame:
+    """Live count documents (appid, value, fetched_at) to samples, one per game and minute.
+
+    All documents of one collection cycle carry the cycle's fetched_at.
+    """
     samples = (
-        counted.withColumn("record_id", md5_key(F.col("appid"), minute))
+        _counted(documents)
         .groupBy("record_id", "appid")
         .agg(
             F.max("fetched_at").alias("fetched_at"),
-            F.max(F.col("a.player_count")).alias("live_player_count"),
+            F.max("live_player_count").alias("live_player_count"),
         )
     )
+    return _named_samples(samples, names)
+
+
+def sample_documents(documents: DataFrame, names: DataFrame) -> DataFrame:
+    """A sample of each document, also on a stream, which drops those of a repeated record_id itself."""
+    return _named_samples(_counted(documents), names)
+
+
+def _named_samples(samples: DataFrame, names: DataFrame) -> DataFrame:
     known = names.select("appid", F.col("name").alias("_name"))
     default = F.concat(F.lit("Game_"), F.col("appid").cast("string"))
     return samples.join(known, "appid", "left").select(

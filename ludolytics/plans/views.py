@@ -144,6 +144,11 @@ def player_counts_live(counts: DataFrame, as_of: datetime | str) -> DataFrame:
         F.avg(count).alias("avg_all"),
         F.avg(F.when(recent, count)).alias("avg_24h"),
     )
+    return live_view(per_game)
+
+
+def live_view(per_game: DataFrame) -> DataFrame:
+    """The live view of (appid, latest, peak_players, data_points, avg_all, avg_24h)."""
     current, average = F.col("latest.live_player_count"), F.col("avg_24h")
     trend = (
         F.when(average.isNull(), "N/A")

@@ -74,6 +74,10 @@ class ChangeTable:
             .parquet(self.changes)
         )
 
+    def changes_in(self) -> DataFrame:
+        """All changes that were written, in the table's columns."""
+        return _stored(self.spark, self.changes, self._change_schema).select(*self.table.schema.names)
+
     def _all(self) -> DataFrame:
         changes = _stored(self.spark, self.changes, self._change_schema)
         kept = T.StructType([*self._change_schema.fields[:-2], T.StructField(UPTO, T.TimestampNTZType())])
@@ -168,29 +172,61 @@ def replace_date(
     writer.partitionBy(date_col).parquet(path)
 
 
-def append(rows: DataFrame, table: Table, root: str, date_of: str | None = None) -> None:
-    """Adds rows; date_of names a time by whose date the files are partitioned."""
+def append(
+    rows: DataFrame, table: Table, root: str, date_of: str | None = None, replace: bool = False
+) -> None:
+    """Adds rows; date_of names a time by whose date the files are partitioned.
+
+    With `replace`, the rows take the place of all stored ones of their dates; new files are
+    staged before the old ones go, so the rows may come from these dates.
+    """
     typed = _typed(rows, table)
     by: Sequence[str] = ()
     if date_of is not None:
         typed, by = typed.withColumn(DAY, F.to_date(date_of)), (DAY,)
-    typed.write.mode("append").partitionBy(*by).parquet(f"{root.rstrip('/')}/{table.name}")
+    writer = typed.write.mode("append")
+    if replace:
+        writer = typed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy(*by).parquet(f"{root.rstrip('/')}/{table.name}")
+
+
+_VERSIONS = T.StructType([T.StructField(VERSION, T.StringType()), T.StructField("rows", T.LongType())])
 
 
-def replace_table(rows: DataFrame, table: Table, root: str, version: date | str) -> None:
-    """Stores a whole mart as a version of its own; a repeated version replaces itself."""
-    stamped = _typed(rows, table).withColumn(VERSION, F.lit(str(version)))
-    writer = stamped.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    writer.partitionBy(VERSION).parquet(f"{root.rstrip('/')}/{table.name}")
+def _version_text(version: date | datetime | str) -> str:
+    """A date or time as text that sorts by it; anything else is refused."""
+    if isinstance(version, date) and not isinstance(version, datetime):
+        version = datetime(version.year, version.month, version.day)
+    if not isinstance(version, (datetime, str)):
+        raise ValueError(f"a version is a date or a time, not {version!r}")
+    return datetime.fromisoformat(str(version)).strftime("%Y-%m-%dT%H-%M-%S.%f")
+
+
+def replace_table(rows: DataFrame, table: Table, root: str, version: date | datetime | str) -> None:
+    """Stores a whole mart as a version of its own (a date or time); a repeated version replaces itself.
+
+    Readers go by a table of versions, whose row is written last, also for a mart without rows. A
+    version that becomes empty when it is repeated is cleared before that.
+    """
+    text, path = _version_text(version), f"{root.rstrip('/')}/{table.name}"
+    stamped = _typed(rows, table).withColumn(VERSION, F.lit(text))
+    if stamped.isEmpty():
+        stamped.drop(VERSION).write.mode("overwrite").parquet(f"{path}/{VERSION}={text}")
+    else:
+        writer = stamped.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        writer.partitionBy(VERSION).parquet(path)
+    done = rows.sparkSession.range(1).select(F.col("id").alias("rows"), F.lit(text).alias(VERSION))
+    writer = done.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy(VERSION).parquet(f"{path}_VERSIONS")
 
 
 def read_latest(spark: SparkSession, table: Table, root: str) -> DataFrame:
-    """The rows of the greatest version that is stored."""
+    """The rows of the latest version; none where that one has none, or nothing was written yet."""
+    path = f"{root.rstrip('/')}/{table.name}"
+    last = _stored(spark, f"{path}_VERSIONS", _VERSIONS).agg(F.max(VERSION)).first()[0]  # reads folder names alone
     versioned = T.StructType([*table.schema.fields, T.StructField(VERSION, T.StringType())])
-    stored = _stored(spark, f"{root.rstrip('/')}/{table.name}", versioned)
-    last = stored.agg(F.max(VERSION).alias("_last"))
-    newest = stored.join(F.broadcast(last), F.col(VERSION) == F.col("_last"))  # one row
-    return newest.select(*table.schema.names)
+    stored = _stored(spark, path, versioned)
+    return stored.where(F.col(VERSION) == F.lit(last)).select(*table.schema.names)
 
 
 def with_stamps(rows: DataFrame, table: Table, as_of: Column) -> DataFrame:

@@ -8,6 +8,7 @@ the same two numbers.
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
 from dataclasses import dataclass, replace
 from datetime import datetime
@@ -126,6 +127,51 @@ def _without_key(pipeline: Pipeline, messages: DataFrame) -> DataFrame:
     return read.filter(ingest.rejected(parts)).select("value")
 
 
+def without_repeats(
+    messages: DataFrame, pipeline: Pipeline, within: str, arrived: Column | None = None
+) -> DataFrame:
+    """Leaves out messages that came before: equal in key and fetched_at, or in their whole text where one is missing.
+
+    The watermark is on the time of arrival (`arrived`, the trigger's time by default), so it bounds
+    the state by `within` and no message is ever too late: one repeated after its state is
+    gone comes through, and the fold of the changes by key makes it one again.
+    """
+    parts = T.StructType([T.StructField(c, T.StringType()) for c in (*pipeline.key_parts, "fetched_at")])
+    text = F.col("value").cast("string")
+    read = F.from_json(text, parts)
+    whole = F.lit(True)
+    for part in parts.names:
+        whole = whole & read[part].isNotNull()
+    known = messages.withColumns(
+        {
+            "_message": F.when(whole, F.to_json(read)).otherwise(text),
+            "_arrived": F.current_timestamp() if arrived is None else arrived,
+        }
+    )
+    once = known.withWatermark("_arrived", within).dropDuplicatesWithinWatermark(["_message"])
+    return once.drop("_message", "_arrived")
+
+
+def stop_when_idle(query: StreamingQuery, seconds: float = 30, poll: float = 1) -> int:
+    """Waits until a query has read no row for so many seconds, stops it, and gives the rows that it read.
+
+    A failed query raises its error here.
+    """
+    last, rows, seen = time.monotonic(), 0, None
+    while time.monotonic() - last < seconds:
+        if query.awaitTermination(poll):
+            break
+        for progress in query.recentProgress:
+            if seen is None or progress.batchId > seen:
+                seen = progress.batchId
+                if progress.numInputRows:
+                    last, rows = time.monotonic(), rows + progress.numInputRows
+        if query.status["isTriggerActive"]:  # a long batch is no idle time
+            last = time.monotonic()
+    query.stop()
+    return rows
+
+
 def start(
     spark: SparkSession,
     pipeline: Pipeline,
@@ -134,12 +180,16 @@ def start(
     once: bool = False,
     trigger: str = TRIGGER,
     as_of: Column | None = None,
+    repeats_within: str | None = None,
+    arrived: Column | None = None,
 ) -> StreamingQuery:
-    """Starts a pipeline; `once` drains what is there and stops."""
+    """Starts a pipeline; `once` drains what is there and stops, `repeats_within` leaves out repeated messages."""
     _use_utc(spark)
+    messages = source.stream(spark, pipeline.topic)
+    if repeats_within is not None:
+        messages = without_repeats(messages, pipeline, repeats_within, arrived)
     writer = (
-        source.stream(spark, pipeline.topic)
-        .writeStream.outputMode("append")
+        messages.writeStream.outputMode("append")
         .queryName(pipeline.name)
         .option("checkpointLocation", f"{root}/checkpoints/{pipeline.name}")
         .foreachBatch(batch_writer(spark, pipeline, root, as_of))
@@ -151,7 +201,10 @@ def start(
 def start_drain(
     spark: SparkSession, pipeline: Pipeline, source: Broker | LandedFiles, root: str
 ) -> StreamingQuery:
-    """The periodic drain: a longer trigger, from the earliest message on; offsets are kept by the checkpoint."""
+    """The periodic drain: a longer trigger, from the earliest message on; offsets are kept by the checkpoint.
+
+    `stop_when_idle` ends it when nothing has come for a while.
+    """
     if isinstance(source, Broker):
         source = replace(source, starting_offsets="earliest")
     return start(spark, pipeline, source, root, trigger=DRAIN_INTERVAL)
