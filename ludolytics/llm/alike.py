@@ -8,13 +8,15 @@ Where two sets meet first, what they can share is bounded by what each has from
 most pairs of one shingle are ruled out by two numbers before they exist.
 
 The members of a prefix shingle are compared with its least one first, and what that joins is one
-group; then members of different groups are compared, so no pair that matters is left out. Whole
-sets travel only for pairs that may be alike, once for each least member.
+group; then members of different groups are compared, so no pair that matters is left out. These carry
+a sketch of PARITIES bits: sets differ in no fewer shingles than their sketches in bits, which rules out
+most pairs that share a prefix without being alike. Whole sets travel only for pairs that may be alike, once for
+each partner that several have.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -28,8 +30,8 @@ from ludolytics.llm.shared import keep
 WIDTH = 5
 #: Sums that the order of shingles comes from, and the slices they travel in; bits that tell wanted texts. None changes a result.
 SLOTS, SLICES, MARKS = 1 << 22, 64, 1 << 20
-#: Sets that meet their common partner in one task.
-MEMBERS = 500
+#: Sets that meet their common partner in one task; bits of a sketch.
+MEMBERS, PARITIES = 500, 1024
 _PRIME = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -45,7 +47,7 @@ def signature(words: list[bytes]) -> int:
 
 def shingles(words: list[bytes], known: dict[bytes, int]) -> np.ndarray:
     """The distinct shingles as sorted numbers; fewer than five words are one, no words none."""
-    if len(known) > 500_000:
+    if len(known) > 150_000:
         known.clear()
     for word in set(words).difference(known):
         known[word] = xxhash.xxh64_intdigest(word, seed=7)
@@ -83,6 +85,12 @@ def may_be_alike(n, m, rest_n, rest_m):
     return (9 * least(rest_n, rest_m) >= 4 * (n + m)) & (5 * n >= 4 * m) & (5 * m >= 4 * n)
 
 
+def sketch(found: np.ndarray) -> np.ndarray:
+    """By remainder of the shingles, whether an odd number has it, as longs."""
+    odd = np.bincount((found % np.uint64(PARITIES)).astype(np.int64), minlength=PARITIES) & 1
+    return np.packbits(odd.astype(np.bool_)).view(np.int64)
+
+
 def slot_sums(texts: DataFrame) -> np.ndarray:
     """How many shingles of all texts fall in each slot, up to 65,535 (uint16). A task counts a slot up to 255."""
 
@@ -147,18 +155,15 @@ def _met(texts: DataFrame) -> DataFrame:
     return keep(index.select("*", first.alias("first"), F.max("sig").over(of_key).alias("last")).where("first.sig != last").drop("last"))
 
 
-def _verified(texts: DataFrame, pairs: DataFrame) -> DataFrame:
-    """The pairs (u, v) that are alike, by their whole sets. A u with many partners meets them in several tasks, MEMBERS in each."""
-    times = pairs.groupBy("u").agg(F.ceil(F.count("*") / MEMBERS).alias("tasks"))
-    dealt = keep(pairs.join(times, "u").select("u", F.pmod(F.xxhash64("v"), "tasks").alias("task"), "v"))
-    members = keep(dealt.select("u", "task", F.col("v").alias("sig")).unionByName(dealt.select("u", "task", F.col("u").alias("sig")).distinct()))
+def _of_wanted(texts: DataFrame, wanted: DataFrame, make: Callable[[np.ndarray], bytes]) -> DataFrame:
+    """(sig, found): what `make` gives of the shingles of each wanted text, once a task. A bit for each remainder of the signatures keeps most others out."""
     bits = np.zeros(MARKS, np.bool_)
-    for row in members.select(F.pmod("sig", F.lit(MARKS)).cast("int").alias("k")).distinct().toLocalIterator():  # MARKS rows at most
+    for row in wanted.select(F.pmod("sig", F.lit(MARKS)).cast("int").alias("k")).distinct().toLocalIterator():  # MARKS rows at most
         bits[row["k"]] = True
     marks = np.packbits(bits)
 
-    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        wanted = np.unpackbits(marks)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = np.unpackbits(marks)
         known: dict[bytes, int] = {}
         seen: set[int] = set()
         for batch in batches:
@@ -166,19 +171,37 @@ def _verified(texts: DataFrame, pairs: DataFrame) -> DataFrame:
             for text in batch.column(0).cast(pa.binary()).to_pylist():
                 words = words_of(text)
                 sig = signature(words)
-                if wanted[sig % MARKS] and sig not in seen:
+                if held[sig % MARKS] and sig not in seen:
                     seen.add(sig)
                     sigs.append(sig)
-                    found.append(shingles(words, known).tobytes())
+                    found.append(make(shingles(words, known)))
             yield pa.RecordBatch.from_arrays([pa.array(sigs, pa.int64()), pa.array(found, pa.binary())], ["sig", "found"])
 
+    return texts.mapInArrow(run, "sig long, found binary")
+
+
+def _sketched(texts: DataFrame, rows: DataFrame) -> DataFrame:
+    """The rows with the sketch of their text, as columns s0, s1, ..."""
+    parts = PARITIES // 64
+    wanted = rows.select("sig").distinct()
+    drawn = _of_wanted(texts, wanted, lambda found: sketch(found).byteswap().tobytes()).join(wanted, "sig", "left_semi").dropDuplicates(["sig"])
+    longs = [F.conv(F.hex(F.substring("found", 8 * k + 1, 8)), 16, -10).cast("long").alias(f"s{k}") for k in range(parts)]
+    return rows.join(drawn.select("sig", *longs), "sig")
+
+
+def _verified(texts: DataFrame, pairs: DataFrame) -> DataFrame:
+    """The pairs (u, v) that are alike, by their whole sets. A u with many partners meets them in several tasks, MEMBERS in each."""
+    times = pairs.groupBy("u").agg(F.ceil(F.count("*") / MEMBERS).alias("tasks"))
+    dealt = keep(pairs.join(times, "u").select("u", F.pmod(F.xxhash64("v"), "tasks").alias("task"), "v"))
+    members = keep(dealt.select("u", "task", F.col("v").alias("sig")).unionByName(dealt.select("u", "task", F.col("u").alias("sig")).distinct()))
+
     def compare(table: pa.Table) -> pa.Table:
         u = table.column("u")[0].as_py()
         held = {s: np.frombuffer(f, np.uint64) for s, f in zip(table.column("sig").to_pylist(), table.column("found").to_pylist(), strict=True)}
         good = [s for s, found in held.items() if s != u and alike(held[u], found)]
         return pa.table({"u": pa.array([u] * len(good), pa.int64()), "v": pa.array(good, pa.int64())})
 
-    met = members.join(texts.mapInArrow(sets, "sig long, found binary"), "sig")
+    met = members.join(_of_wanted(texts, members, np.ndarray.tobytes), "sig")
     return keep(met.groupBy("u", "task").applyInArrow(compare, "u long, v long"))
 
 
@@ -193,12 +216,16 @@ def links(texts: DataFrame) -> DataFrame:
     held = rows.groupBy("key", "group").agg(F.min("n").alias("least"), F.max("n").alias("most"), F.max("rest").alias("rest"))
     held = keep(held.withColumn("groups", F.count("*").over(Window.partitionBy("key"))).where("groups > 1").drop("groups"))
     rows = keep(rows.join(held.select("key", "group"), ["key", "group"], "left_semi"))
+    rows = keep(_sketched(texts, rows))
+    drawn = [f"s{k}" for k in range(PARITIES // 64)]
     one = held.select("key", F.col("group").alias("g"), F.col("least").alias("a"), F.col("most").alias("b"), F.col("rest").alias("r"))
     two = held.select("key", F.col("group").alias("h"), F.col("least").alias("c"), F.col("most").alias("d"), F.col("rest").alias("s"))
     may_meet = (F.col("g") < F.col("h")) & (9 * F.least("r", "s") >= 4 * (F.col("a") + F.col("c"))) & (5 * F.col("b") >= 4 * F.col("c")) & (5 * F.col("d") >= 4 * F.col("a"))
     pairs = one.join(two, "key").where(may_meet).select("key", "g", "h")
-    left = rows.select("key", F.col("group").alias("g"), F.col("sig").alias("u"), F.col("n").alias("nu"), F.col("rest").alias("ru"))
-    right = rows.select("key", F.col("group").alias("h"), F.col("sig").alias("v"), F.col("n").alias("nv"), F.col("rest").alias("rv"))
-    across = pairs.join(left, ["key", "g"]).join(right, ["key", "h"]).where(may_be_alike(F.col("nu"), F.col("nv"), F.col("ru"), F.col("rv")))
+    left = rows.select("key", F.col("group").alias("g"), F.col("sig").alias("u"), F.col("n").alias("nu"), F.col("rest").alias("ru"), *[F.col(c).alias(f"u{c}") for c in drawn])
+    right = rows.select("key", F.col("group").alias("h"), F.col("sig").alias("v"), F.col("n").alias("nv"), F.col("rest").alias("rv"), *[F.col(c).alias(f"v{c}") for c in drawn])
+    apart = sum((F.bit_count(F.col(f"u{c}").bitwiseXOR(F.col(f"v{c}"))) for c in drawn[1:]), F.bit_count(F.col("us0").bitwiseXOR(F.col("vs0"))))
+    close = may_be_alike(F.col("nu"), F.col("nv"), F.col("ru"), F.col("rv")) & (9 * apart <= F.col("nu") + F.col("nv"))
+    across = pairs.join(left, ["key", "g"]).join(right, ["key", "h"]).where(close)
     across = across.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct().join(star, ["u", "v"], "left_anti")
     return joined.unionByName(_verified(texts, keep(across)))

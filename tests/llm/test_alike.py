@@ -60,6 +60,7 @@ def test_prefixes_of_alike_sets_meet():
             near += 1
             i = next(i for i, s in enumerate(one) if s in two)  # where they meet first
             assert alike.may_be_alike(len(a), len(b), len(a) - i, len(b) - two.index(one[i]))
+            assert 9 * int(np.bitwise_count((alike.sketch(a) ^ alike.sketch(b)).view(np.uint64)).sum()) <= len(a) + len(b)
     assert near > 100
 
 
