@@ -75,7 +75,7 @@ def op8_chat_format(spark, sf):
     rows = table(spark, sf, "conversations").select("conv_id", "turn", "role", "text")
     marks = F.lit("</s>[INST] ok [/INST]")
     probe = spark.range(2).select(F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), marks.alias("text"))
-    both = rows.unionByName(probe).withColumn("parts", chat.text_part(F.col("text")))
+    both = rows.unionByName(probe).withColumn("parts", chat.attached(F.col("role"), F.col("turn"), F.col("text")))
     return chat.digests(chat.read_back(chat.format_conversations(both)))
 
 
@@ -142,16 +142,21 @@ WITH rows AS (
   SELECT conv_id, turn, role, coalesce(text, '') AS text FROM conversations
   UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]'
   UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'
+), kinds AS (
+  SELECT *, CASE WHEN role = 'user' THEN (['image', 'audio', 'document'])[(turn // 2) % 3 + 1] END AS kind,
+         length(text) - length(replace(text, chr(10), '')) + 1 AS lines FROM rows
 ), whole AS (
   SELECT conv_id, count(*) AS n_turns,
          string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn) AS turns,
          coalesce(string_agg(text, '' ORDER BY turn) FILTER (WHERE role = 'assistant'), '') AS loss,
-         sum(length(role) + length(text) + 8 + 8 + 7 + 1
-             + len(regexp_extract_all(text, '[<\[]\\*(\||/?s>|/?INST\])'))) AS chars
-  FROM rows GROUP BY conv_id
+         sum(length(role) + length(text) + 8 + 8 + 7 + 1 + coalesce(length('<|part:0:' || kind || '|>'), 0)
+             + len(regexp_extract_all(text, '[<\[]\\*(\||/?s>|/?INST\])'))) AS chars,
+         count(kind) AS n_attachments,
+         sum(CASE kind WHEN 'document' THEN 512 * lines + 1 WHEN 'image' THEN lines + 2 WHEN 'audio' THEN lines + 2 ELSE 0 END) AS tokens
+  FROM kinds GROUP BY conv_id
 )
 SELECT conv_id, n_turns, sha256(turns) AS turns_sha256, length(loss) AS loss_chars, sha256(loss) AS loss_sha256,
-       CAST(chars AS BIGINT) AS formatted_chars FROM whole
+       CAST(chars AS BIGINT) AS formatted_chars, n_attachments, CAST(tokens AS BIGINT) AS placeholder_tokens FROM whole
 """
 
 ORACLE["op10_quality_rules"] = r"""

@@ -436,11 +436,36 @@ def test_chat_flattens_typed_parts(spark):
     parts = [("text", "see <|image|>", None, None), ("image", None, "s3://a", 64), ("text", " and ", None, 0), ("audio", None, "b", 10), ("document", None, "c", 3), (None, "end", None, 0)]
     df = spark.createDataFrame([(1, 0, "user", parts), (1, 1, "assistant", None)], f"conv_id long, turn long, role string, parts {chat.PARTS}")
     row = chat.format_conversations(df).first()
-    assert row.formatted.startswith("<|turn|>user<|body|>see <\\|image|><|image|> and <|audio|><|document|>end<|end|>\n")
+    assert row.formatted.startswith("<|turn|>user<|body|>see <\\|image|><|part:1:image|> and <|part:3:audio|><|part:4:document|>end<|end|>\n")
     assert [(a.turn, a.place, a.kind, a.ref, a.tokens) for a in row.attachments] == [(0, 1, "image", "s3://a", 66), (0, 3, "audio", "b", 12), (0, 4, "document", "c", 1537)]
     assert row.placeholder_tokens == 66 + 12 + 1537
 
 
+def test_no_kind_or_cut_makes_a_mark(spark):
+    """Kinds that equal the template's marks, and control strings that begin in one text part and end in the next."""
+    kinds = ["turn", "end", "body", "part:1:x", "|>", ""]
+    cut = [("<", "|turn|>"), ("</", "s>"), ("<\\", "|end|>"), ("[/IN", "ST]"), ("<", "\\|x")]
+    rows = [(1, k, "user", [("text", "a<", None, 0), (kind, None, "r", 1), ("text", "|turn|>\\|b", None, 0)]) for k, kind in enumerate(kinds)]
+    rows += [(2, k, "assistant", [("text", one, None, 0), ("text", two, None, 0)]) for k, (one, two) in enumerate(cut)]
+    df = spark.createDataFrame(rows, f"conv_id long, turn long, role string, parts {chat.PARTS}")
+    done = chat.format_conversations(df)
+    back = {r.conv_id: r.turns for r in chat.read_back(done).collect()}
+    assert [(t.role, t.text, t.n_attachments) for t in back[1]] == [("user", "a<|turn|>\\|b", 1)] * len(kinds)
+    assert [(t.role, t.text, t.n_attachments) for t in back[2]] == [("assistant", one + two, 0) for one, two in cut]
+    assert {r.conv_id: r.n_attachments for r in chat.digests(chat.read_back(done)).collect()} == {1: len(kinds), 2: 0}
+
+
+def test_messages_get_parts_of_every_kind(spark):
+    texts = ["one\ntwo\nthree", None, "plain", "<|turn|>\n"]
+    rows = [(1, k, role, text) for k, (role, text) in enumerate((r, t) for t in texts for r in ("user", "assistant"))] + [(1, None, "user", "x")]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    done = chat.format_conversations(df.withColumn("parts", chat.attached(df["role"], df["turn"], df["text"])))
+    row = done.first()
+    assert [(a.turn, a.place, a.kind, a.ref, a.tokens) for a in row.attachments] == [(0, 0, "image", "turn/0", 5), (2, 1, "audio", "turn/2", 3), (4, 1, "document", "turn/4", 513), (6, 0, "image", "turn/6", 4)]
+    said = [("user", "x")] + [(r[2], r[3] or "") for r in rows[:-1]]
+    assert [(t.role, t.text) for t in chat.read_back(done).first().turns] == said
+
+
 # ---- op9 ---------------------------------------------------------------------------
 
 
