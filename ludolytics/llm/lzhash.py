@@ -9,6 +9,7 @@ an estimate of the phrase sets' Jaccard index, near 1 for texts that compress to
 from __future__ import annotations
 
 import hashlib
+from collections import Counter
 from collections.abc import Iterator
 from functools import partial
 
@@ -20,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 SIZE = 128
+PLACE = [("key", "<i8"), ("hash", "<i8")]
 hash_of = partial(xxhash.xxh32_intdigest, seed=0)
 
 
@@ -94,47 +96,64 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 # ---- each document beside its successor -----------------------------------------
 
 
-def cut_ids(ids: DataFrame, rows: int, most: int) -> list[int]:
-    """Ids that begin a part of about `rows` rows; at most `most` of them, so that the driver holds no more."""
-    parts = min(most, -(-ids.count() // rows))
+#: Stands for a null id, so that it comes before all others.
+NULL_ID = -(2**63)
+
+
+def cut_places(keys: DataFrame, rows: int, most: int) -> list[tuple[int, int]]:
+    """(id, hash) at which parts of about `rows` rows begin; at most `most` of them, so that the driver holds no more.
+
+    An id that takes up several parts is met by as many quantiles; its parts are equal
+    ranges of the hash of the text.
+    """
+    parts = min(most, -(-keys.count() // rows))
     if parts < 2:
         return []
-    cuts = ids.approxQuantile("doc_id", [k / parts for k in range(1, parts)], 1 / (4 * parts))
-    return sorted({int(cut) for cut in cuts})
+    cuts = keys.select(F.col("key").cast("double")).approxQuantile("key", [k / parts for k in range(1, parts)], 1 / (4 * parts))
+    return [(key, -(2**63) + k * (2**64 // n)) for key, n in sorted(Counter(map(int, cuts)).items()) for k in range(n)]
+
+
+def numbered(values: tuple[pd.Series, pd.Series], bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """How many bounds are below, and how many are not above, each (id, hash)."""
+    found = np.empty(len(values[0]), PLACE)
+    found["key"], found["hash"] = values[0].to_numpy(), values[1].to_numpy()
+    return np.searchsorted(bounds, found, "left"), np.searchsorted(bounds, found, "right")
 
 
 def beside_next(docs: DataFrame, id_col: str, text_col: str, rows: int = 500, most: int = 20_000) -> DataFrame:
-    """Rows (part, late, doc_id, text), sorted, in which each row's successor in id order stands next in its part.
+    """Rows (part, late, doc_id, text), sorted, in which each row's successor stands next in its part.
 
-    Parts are ranges of ids that begin at ids of the table. The first document of a part
-    stands at the end of the part before as well, with late = 1, and the first of all at the
-    end of the last, with late = 2. So each text is shuffled once, but for one in `rows`.
+    The order is by id, null first, then by the hash of the text, then by the text, so that
+    an id (or null) with very many rows spreads over parts as well; only rows alike in both
+    stay together. The first row of a part stands at the end of the part before as well, with
+    late = 1, and the first of all at the end of the last, with late = 2. So each text is
+    shuffled once, but for one in `rows`. Where parts begin is found from ids and hashes.
     """
     chosen = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    ids = chosen.select("doc_id")
-    cuts = np.array(cut_ids(ids.dropna(), rows, most), np.int64)
-    low = ids.agg(F.min("doc_id"), F.count(F.when(F.col("doc_id").isNull(), 1))).first()
-    first = F.col("doc_id").isNull() if low[1] else F.col("doc_id") == F.lit(low[0])
+    chosen = chosen.select("doc_id", "text", F.coalesce("doc_id", F.lit(NULL_ID)).alias("key"), F.xxhash64("text").alias("hash"))
+    cuts = np.array(cut_places(chosen.select("key"), rows, most), PLACE)
+
+    @F.pandas_udf("int")
+    def draft(key: pd.Series, hashed: pd.Series) -> pd.Series:
+        return pd.Series(numbered((key, hashed), cuts)[1])
+
+    first = chosen.select("key", "hash").withColumn("part", draft("key", "hash") if len(cuts) else F.lit(0)).groupBy("part").agg(F.min(F.struct("key", "hash")).alias("first"))
+    firsts = np.array(sorted((row["first"]["key"], row["first"]["hash"]) for row in first.collect()), PLACE)  # at most `most` and one
 
     @F.pandas_udf("int")
-    def place(found: pd.Series) -> pd.Series:
-        """Twice the number of the part, plus one for the first id of a part but the first."""
-        values = found.fillna(-(2**63)).astype(np.int64).to_numpy()
-        left, right = np.searchsorted(cuts, values, "left"), np.searchsorted(cuts, values, "right")
-        return pd.Series(2 * right + (left != right))
+    def place(key: pd.Series, hashed: pd.Series) -> pd.Series:
+        """Twice the number of the part, plus one for what stands first in it."""
+        left, right = numbered((key, hashed), firsts)
+        return pd.Series(2 * (right - 1) + (left != right))
 
     def at(part, late: int):
         return F.struct(part.cast("int").alias("part"), F.lit(late).alias("late"))
 
     part = F.shiftright("place", 1)
-    copies = F.array(
-        at(part, 0),
-        F.when(F.col("place") % 2 == 1, at(part - 1, 1)),
-        F.when(first, at(F.lit(len(cuts)), 2)),
-    )
-    placed = chosen.withColumn("place", place("doc_id") if len(cuts) else F.lit(0))
-    spread = placed.select(F.explode(F.array_compact(copies)).alias("at"), "doc_id", "text").select("at.part", "at.late", "doc_id", "text")
-    return spread.repartition("part").sortWithinPartitions("part", "late", F.asc_nulls_first("doc_id"), "text")
+    copies = F.array(at(part, 0), F.when(F.col("place") % 2 == 1, F.when(part > 0, at(part - 1, 1)).otherwise(at(F.lit(max(len(firsts) - 1, 0)), 2))))
+    placed = chosen.withColumn("place", place("key", "hash"))
+    spread = placed.select(F.explode(F.array_compact(copies)).alias("at"), "doc_id", "hash", "text").select("at.part", "at.late", "doc_id", "hash", "text")
+    return spread.repartition("part").sortWithinPartitions("part", "late", F.asc_nulls_first("doc_id"), "hash", "text").drop("hash")
 
 
 def compare_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SIZE) -> DataFrame:
@@ -143,7 +162,7 @@ def compare_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     Columns: doc_id, n_chars (code points), edited_sha256, fingerprint, edited_fingerprint,
     near_edited, near_next; a row for each row. The edited text ends in the beginning of the
     next document instead of its own last quarter. Order is by doc_id, null first, then by
-    text; the last is followed by the first, a lone document by itself. A null text is an
+    the text's hash and the text; the last is followed by the first, a lone document by itself. A null text is an
     empty one; an empty table gives no rows; other columns are neither read nor returned.
     A task holds two texts and one batch.
     """
