@@ -107,7 +107,7 @@ WITH d AS (
 ), sized AS (
   SELECT doc_id, source, len(regexp_extract_all(t, '[^\x20\x09-\x0D]+')) AS size,
          greatest(0.1, len(regexp_extract_all(t, '[\p{L} ]')) / greatest(length(t), 1)) AS weight,
-         (CAST('0x' || substr(md5(concat_ws(':', '0', doc_id)), 1, 13) AS BIGINT) + 0.5) / 4503599627370496.0 AS u
+         (CAST('0x' || substr(md5(concat_ws(':', '0', doc_id, md5(t))), 1, 13) AS BIGINT) + 0.5) / 4503599627370496.0 AS u
   FROM d
 ), keyed AS (
   SELECT *, -ln(u) / weight AS key FROM sized

@@ -17,16 +17,33 @@ def keep(df: DataFrame) -> DataFrame:
     """The same rows, read back from the folder that spark.checkpoint.dir names.
 
     This cuts the lineage and makes one computation serve several readers; the files are
-    on shared storage, so they outlive executors. Only where the cluster names no folder
-    (tests on one machine), a temporary one is set.
+    on shared storage, so they outlive executors.
     """
     context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
-        named = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        context.setCheckpointDir(named or tempfile.mkdtemp(prefix="checkpoint-"))
+        context.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint(eager=True)
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that spark.checkpoint.dir names. Unset, it is a temporary one where all runs in one process, and refused on a cluster."""
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if named:
+        return named
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    return tempfile.mkdtemp(prefix="checkpoint-")
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """The name, with as many `_` added as it takes to clash with no column, upper and lower case being one."""
+    taken = {column.lower() for column in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def with_rows(df: DataFrame, name: str = "_row") -> DataFrame:
     """The rows with a unique key that stays: the place in its file, or where the plan is more than a Parquet table a number written once."""
     if df._jdf.queryExecution().analyzed().getClass().getSimpleName() == "LogicalRelation":
