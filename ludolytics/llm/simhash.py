@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from ludolytics.llm import alike
 from ludolytics.llm.components import components
-from ludolytics.llm.shared import keep, with_rows
+from ludolytics.llm.shared import free_name, keep, with_rows
 
 BITS = 64
 SEED = 42
@@ -265,9 +265,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 def first_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 3, distance: int = 2, bucket: int = 8, jaccard: bool = True) -> DataFrame:
     """One row of each group of `near_duplicates`, with all its columns: that of the least doc_id, one without an id only if all are."""
-    keyed = with_rows(docs)
-    base, owner = _grouped(keyed, id_col, text_col, width, distance, bucket, jaccard, "_row")
+    name = free_name(docs, "_row")
+    keyed = with_rows(docs, name)
+    base, owner = _grouped(keyed, id_col, text_col, width, distance, bucket, jaccard, name)
     placed = base.join(owner, "fp")
     first = placed.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row")).alias("first"))
-    others = keep(placed.join(first, "root").where(F.col("row") != F.col("first.row")).select(F.col("row").alias("_row")))
-    return keyed.join(others, "_row", "left_anti").select(*docs.columns)
+    others = keep(placed.join(first, "root").where(F.col("row") != F.col("first.row")).select(F.col("row").alias(name)))
+    return keyed.join(others, name, "left_anti").select(*docs.columns)

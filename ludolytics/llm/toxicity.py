@@ -87,6 +87,17 @@ class Model:
         return float(1 / (1 + np.exp(-total)))
 
 
+def risk_slope(xp: np.ndarray, xu: np.ndarray, w: np.ndarray, prior: float) -> np.ndarray:
+    """Where to go from `w`: the slope of the risk, or away from the clean part of it where that is below nought."""
+    zp, zu = xp @ w, xu @ w
+    sp, su = 1 / (1 + np.exp(-zp)), 1 / (1 + np.exp(-zu))
+    clean_risk = np.logaddexp(0, zu).mean() - prior * np.logaddexp(0, zp).mean()
+    clean_slope = xu.T @ (su / len(xu)) - prior * (xp.T @ (sp / len(xp)))
+    if clean_risk >= 0:
+        return prior * (xp.T @ ((sp - 1) / len(xp))) + clean_slope
+    return -clean_slope  # undo the over-fit before going on
+
+
 def fit_nnpu(toxic: np.ndarray, unlabelled: np.ndarray, prior: float, settings: Settings = Settings()) -> tuple[np.ndarray, float]:
     """Weights and bias for rows of 0/1 features, by full steps of Adam on the logistic risk."""
     xp = np.hstack([toxic, np.ones((len(toxic), 1))]).astype(np.float32)
@@ -95,15 +106,7 @@ def fit_nnpu(toxic: np.ndarray, unlabelled: np.ndarray, prior: float, settings:
     weights[-1] = np.log(prior / (1 - prior))
     first, second = np.zeros_like(weights), np.zeros_like(weights)
     for step in range(1, settings.steps + 1):
-        w = weights.astype(np.float32)
-        zp, zu = xp @ w, xu @ w
-        sp, su = 1 / (1 + np.exp(-zp)), 1 / (1 + np.exp(-zu))
-        clean_risk = np.logaddexp(0, zu).mean() - prior * np.logaddexp(0, zp).mean()
-        clean_slope = xu.T @ (su / len(xu)) - prior * (xp.T @ (sp / len(xp)))
-        if clean_risk >= 0:
-            slope = prior * (xp.T @ ((sp - 1) / len(xp))) + clean_slope
-        else:
-            slope = -clean_slope  # undo the over-fit before going on
+        slope = risk_slope(xp, xu, weights.astype(np.float32), prior)
         slope = slope + settings.l2 * np.append(weights[:-1], 0)
         first = 0.9 * first + 0.1 * slope
         second = 0.999 * second + 0.001 * slope**2
@@ -121,7 +124,9 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 
     Ids are chosen by their hash, so the sample does not depend on order or partitions.
     The prior is the toxic share of all labels in training. The ids chosen are bounded by
-    the settings and so broadcast; their texts are reduced to words where they lie.
+    the settings and so broadcast; their texts are reduced to words where they lie. Of an id
+    with several rows, one text stands for it, by the hash of its words: so the rows that are
+    kept and collected are as few as the ids, however often one is repeated.
     """
     chosen = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).where(F.col("doc_id").isNotNull())
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic")).dropna().where(~is_held_out())
@@ -140,7 +145,9 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
             yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(found, pa.list_(pa.string()))], ["doc_id", "p", "u", "words"])
 
     sample = chosen.join(F.broadcast(ids), "doc_id").select("doc_id", "p", "u", "text")
-    sample = keep(sample.mapInArrow(reduce_text, "doc_id long, p int, u int, words array<string>"))
+    reduced = sample.mapInArrow(reduce_text, "doc_id long, p int, u int, words array<string>")
+    of_id = F.min(F.struct(F.xxhash64("words").alias("hash"), "words")).alias("least")
+    sample = keep(reduced.groupBy("doc_id", "p", "u").agg(of_id).select("doc_id", "p", "u", "least.words"))
     n_p, n_u = sample.agg(F.coalesce(F.sum("p"), F.lit(0)), F.coalesce(F.sum("u"), F.lit(0))).first()
     if not n_p:
         return None

@@ -15,6 +15,7 @@ from conftest import SF_DIR
 
 from ludolytics.llm import bpe, chat, components, lm, lzhash, mixing, pii, quality, simhash, tokencount, toxicity
 from ludolytics.llm.queries import ORACLE, QUERIES
+from ludolytics.llm.shared import free_name, with_rows
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 LONG = " ".join(f"w{k % 977} mail{k}@mail.example.com" for k in range(9000))
@@ -170,6 +171,37 @@ def test_negative_risk_is_not_followed():
     assert np.isfinite(weights).all() and np.isfinite(bias)
 
 
+def test_slope_equals_differences_of_the_plain_risk():
+    """Row by row, on both sides of the point where the corrected part of the risk falls below nought."""
+    rng = np.random.default_rng(1)
+    toxic, other = (rng.random((9, 4)) < 0.6).astype(float), (rng.random((14, 4)) < 0.4).astype(float)
+    undone = 0
+    for prior, scale in itertools.product((0.1, 0.4, 0.7), (0.1, 1.0, 3.0)):
+
+        def risks(w, prior=prior):
+            loss = lambda row, sign: np.log1p(np.exp(-sign * (row @ w)))
+            positive = prior * sum(loss(row, 1) for row in toxic) / len(toxic)
+            return positive, sum(loss(row, -1) for row in other) / len(other) - prior * sum(loss(row, -1) for row in toxic) / len(toxic)
+
+        for w in rng.normal(size=(20, 4)) * scale:
+            undone += risks(w)[1] < 0
+            aim = sum if risks(w)[1] >= 0 else (lambda r: -r[1])
+            plain = [(aim(risks(w + e)) - aim(risks(w - e))) / 2e-5 for e in 1e-5 * np.eye(4)]
+            assert np.allclose(toxicity.risk_slope(toxic, other, w, prior), plain, atol=1e-6)
+    assert 10 < undone < 170
+
+
+def test_an_id_of_many_rows_is_one_row_of_the_sample(spark, monkeypatch):
+    """A third of all rows under one id: what is kept and collected stays as small as the ids."""
+    sizes = []
+    monkeypatch.setattr(toxicity, "keep", lambda df, own=toxicity.keep: sizes.append((out := own(df)).count()) or out)
+    rows = [(7, f"vile {k}") for k in range(500)] + [(k, "vile slur" if k % 4 == 0 else "kind word") for k in range(100, 1100)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(k, int(k % 4 == 0)) for k in range(100, 1100)], "doc_id long, toxic int")
+    model = toxicity.train(docs, labels)
+    assert sizes[0] <= 1001 and model.score("vile slur") > 0.5 > model.score("kind word")
+
+
 def test_toxicity_on_hard_rows(docs, none, spark):
     model = toxicity.Model({"quick": 9.0}, -2.0)
     found = rows_of(toxicity.scores(docs, model))
@@ -217,6 +249,18 @@ def test_near_duplicates_on_hard_rows(docs, none):
     assert simhash.near_duplicates(none).count() == 0
 
 
+def test_fingerprint_links_alone_are_the_components(docs):
+    """The setting of the query: no link but those of the fingerprints."""
+    prints = [plain_fingerprint(t) for _, t, *_ in HARD]
+    root = plain_components(prints)
+    least = {}
+    for (doc_id, *_), value in zip(HARD, prints, strict=True):
+        if doc_id is not None:
+            least[root[value]] = min(doc_id, least.get(root[value], doc_id))
+    expected = sorted(str((d, f"{v:016x}", least.get(root[v]))) for (d, *_), v in zip(HARD, prints, strict=True))
+    assert sorted(str(tuple(r)) for r in simhash.near_duplicates(docs, jaccard=False).collect()) == expected
+
+
 @pytest.mark.parametrize("bucket", [2, 1000])
 @pytest.mark.parametrize("plan", ["own", "wide", "whole"])
 def test_search_loses_no_link(spark, bucket, plan):
@@ -377,6 +421,26 @@ def test_mix_takes_whole_epochs_and_cuts_one_document(spark):
     assert lengths == {k: n for k, n in took.items() if n} and mixed.columns == docs.columns
 
 
+def test_ranges_of_a_repeated_id_of_null_and_of_low_weights(spark, monkeypatch):
+    """Rows of one id have keys of their own, and no range of keys holds much more than its share."""
+    monkeypatch.setattr(mixing, "RANGE_ROWS", 50)
+    texts = [f"{k} words" if k % 2 else f"{k * 7919} # 12 34 56 78 ;; 90 =" for k in range(3000)]
+    ids = [7] * 1000 + [None] * 1000 + list(range(100, 1100))
+    docs = spark.createDataFrame([(d, t, "s") for d, t in zip(ids, texts, strict=True)], "doc_id long, text string, source string")
+    narrow = mixing.sized(docs, "doc_id", "text", "source", 0)
+    assert narrow.select("key").distinct().count() == 3000
+    slots = Counter(r.slot for r in mixing.ranged(narrow, mixing.targets(narrow)).collect())
+    assert len(slots) > 55 and max(slots.values()) <= 100
+    assert sum(r.taken for r in mixing.mix(docs).collect()) == sum(len(t.split()) for t in texts)
+
+
+def test_mix_beside_columns_of_the_same_names(spark):
+    docs = spark.createDataFrame([(1, "a b c", "s", 5, 6, 7, 8, "9")], "doc_id long, text string, source string, _id int, _size int, _taken int, _copy int, _row string")
+    assert [r.asDict() for r in mixing.apply_mix(docs, mixing.mix(docs)).collect()] == [r.asDict() for r in docs.collect()]
+    keyed = with_rows(docs, free_name(docs, "_row"))
+    assert keyed.columns == [*docs.columns, "_row_"]
+
+
 # ---- op7 ---------------------------------------------------------------------------
 
 
@@ -490,7 +554,8 @@ def plain_likeness(a, b):
 @pytest.mark.parametrize("rows", [1, 3, 500])
 def test_fingerprints_beside_the_next(docs, none, spark, monkeypatch, rows):
     monkeypatch.setattr(lzhash, "beside_next", lambda d, i, t, own=lzhash.beside_next: own(d, i, t, rows=rows))
-    order = sorted(((d if d is not None else -1, t or "") for d, t, *_ in HARD))
+    of = lambda text: np.uint64(xxhash.xxh64_intdigest(text, seed=42)).astype(np.int64)
+    order = sorted(((d if d is not None else -1, t or "") for d, t, *_ in HARD), key=lambda r: (r[0], of(r[1]), r[1]))
     expected = []
     for k, (doc_id, text) in enumerate(order):
         follower = order[(k + 1) % len(order)][1]
@@ -505,6 +570,16 @@ def test_fingerprints_beside_the_next(docs, none, spark, monkeypatch, rows):
     assert len(alone) == 1 and alone[0].near_next == 1.0
 
 
+def test_parts_of_a_repeated_id_and_of_null(spark):
+    ids = [7] * 1000 + [None] * 1000 + list(range(100, 1100))
+    docs = spark.createDataFrame([(d, f"text {k}") for k, d in enumerate(ids)], "doc_id long, text string")
+    placed = lzhash.beside_next(docs, "doc_id", "text", rows=50).collect()
+    sizes = Counter(r.part for r in placed)
+    assert sum(r.late == 0 for r in placed) == 3000 and max(sizes.values()) <= 100
+    assert len({r.part for r in placed if r.doc_id == 7}) > 15 and len({r.part for r in placed if r.doc_id is None}) > 15
+    assert len(placed) == 3000 + len(sizes)
+
+
 # ---- op10 --------------------------------------------------------------------------
 
 
