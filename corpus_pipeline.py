@@ -1,13 +1,16 @@
 """A corpus pipeline of five stages: each works on all that its predecessor kept.
 
 Every stage is a function (spark, docs, sf_dir) -> DataFrame; `run` writes each stage's rows
-to the folder that spark.checkpoint.dir names (or a temporary one where it is unset) and
-reads them again for the next. SQL cannot express these stages.
+to the folder that spark.checkpoint.dir names (where all runs in one process and it is unset,
+to a temporary one) and reads them again for the next. SQL cannot express these stages.
+
+Every stage takes any rows: a null text is an empty one, an empty table gives an empty
+table, repeated rows are rows of their own (of copies, one stays), and all columns but text
+and n_chars go through as they are, whatever their names.
 """
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 import public_tokenizers
@@ -15,35 +18,47 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ludolytics.llm import bpe, mixing, pii, simhash, toxicity
-from ludolytics.llm.shared import table, with_rows
+from ludolytics.llm.shared import free_name, shared_folder, table, with_rows
 
 ORACLE_SQL = None
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents that a model, trained on them and the labels, does not take for toxic."""
+    """The documents that a model, trained on them and the labels, does not take for toxic.
+
+    Null and empty texts stay unless texts without a known word are taken for toxic; without a
+    toxic label all stay.
+    """
     return toxicity.clean(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row of each near-duplicate group: fingerprints within two bits, or five-word shingles alike by 0.8 or more."""
+    """One row of each near-duplicate group: fingerprints within two bits, or five-word shingles alike by 0.8 or more.
+
+    Texts without words are one group. The row of the least id stays, a null one only if the
+    group has no other; ties go by the place of the row.
+    """
     return simhash.first_rows(docs)
 
 
 def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, with personal data replaced by its kind, and their new lengths."""
+    """All documents, with personal data replaced by its kind, and their new lengths; a null text stays null."""
     return pii.mask(docs).withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The mix itself: a row for each copy of a document that it takes."""
-    keyed = with_rows(docs)
-    mixed = mixing.apply_mix(keyed, mixing.mix(keyed, row_col="_row"), row_col="_row")
+    """The mix itself: a row for each copy of a document that it takes.
+
+    Texts without words have no size, so the mix takes nothing of them. Null is a source.
+    """
+    row = free_name(docs, "_row")
+    keyed = with_rows(docs, row)
+    mixed = mixing.apply_mix(keyed, mixing.mix(keyed, row_col=row), row_col=row)
     return mixed.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
 
 
 def encode_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id, source, n_tokens, ids_sha256, decoded_sha256 of each row of the mix."""
+    """doc_id, source, n_tokens, ids_sha256, decoded_sha256 of each row of the mix; a null text has no tokens."""
     done = bpe.round_trip(docs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN, carry=("source",))
     return done.select("doc_id", "source", "n_tokens", "ids_sha256", "decoded_sha256")
 
@@ -58,7 +73,7 @@ STAGES = [
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    root = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="corpus-")
+    root = shared_folder(spark)
     folder = f"{root.rstrip('/')}/corpus-{uuid.uuid4()}"
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
     docs = table(spark, sf_dir, "documents")
