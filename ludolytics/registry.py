@@ -506,22 +506,28 @@ def q60_reviews_in_language(spark, sf):
     return rows.select("review_id", "appid", "game_name", "language", "review_text")
 
 
+def _before_the_last(rows):
+    """What earlier cycles have stored: all rows but those of the latest one."""
+    return rows.filter(F.col("fetched_at") < rows.agg(F.max("fetched_at")).scalar())
+
+
 @query
 def q61_new_history_rows(spark, sf):
     history = marts.popular_games_history(B.count_snapshots(spark, sf))
-    return marts.new_history_rows(history.filter("ranking % 2 = 0"), history)
+    return marts.new_history_rows(_before_the_last(history), history)
 
 
 @query
 def q62_new_samples(spark, sf):
     samples = ingest.count_samples(D.count_documents(spark, sf), B.game_info(spark, sf))
-    return ingest.new_samples(samples.filter("appid % 2 = 0"), samples)
+    return ingest.new_samples(_before_the_last(samples), samples)
 
 
 @query
 def q63_upsert_game_sentiments(spark, sf):
     games = _games(spark, sf)
-    old = games.filter("appid % 2 = 0").withColumn("total_reviews_analyzed", F.lit(0).cast("long"))
+    counted = B.game_info(spark, sf).filter("ccu IS NOT NULL").select("appid")
+    old = games.join(counted, "appid", "left_semi").withColumn("total_reviews_analyzed", F.lit(0).cast("long"))
     yesterday = old.withColumn("analysis_date", F.date_sub("analysis_date", 1))
     keys = S.GAME_SENTIMENT_ANALYSIS.keys
     return upsert(old.unionByName(yesterday), games, keys, ntz(AS_OF), order=["analysis_date"])
@@ -530,7 +536,7 @@ def q63_upsert_game_sentiments(spark, sf):
 @query
 def q64_publish_given_games(spark, sf):
     info = B.game_info(spark, sf).drop("tags", "fetched_at", "updated_at")
-    rows = publishable(info, appids=info.filter("appid % 3 = 0"))
+    rows = publishable(info, appids=B.count_snapshots(spark, sf))
     return to_messages(rows, key_of("appid"), S.TOPICS["game_info"])
 
 
