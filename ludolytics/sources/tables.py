@@ -4,14 +4,15 @@ MERGE needs a row-level capable catalogue (`operators.upsert.merge_into`), which
 Parquet is not. A ChangeTable therefore only adds: every micro-batch becomes a partition
 (stream query, epoch) of a change table, and the state is the fold of all changes by key. A
 batch writes its own rows and no others; a repeated epoch overwrites its own partition; a
-new checkpoint is a new query and so overwrites nothing. A scheduled run folds old
-changes into a snapshot.
+new checkpoint is a new query and so overwrites nothing. A scheduled run stores the state
+as a mart; readers fold it with the files written since.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from datetime import date, datetime
+from dataclasses import replace
+from datetime import UTC, date, datetime, timedelta
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -21,7 +22,7 @@ from pyspark.sql import types as T
 from ludolytics.operators.upsert import STAMPS, upsert
 from ludolytics.sources.schemas import Table
 
-QUERY, EPOCH, UPTO = "_query", "_epoch", "_upto"
+QUERY, EPOCH = "_query", "_epoch"
 DAY, VERSION = "_day", "_version"
 
 
@@ -33,10 +34,17 @@ def shared_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
-def _stored(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """The Parquet rows below a path; none where nothing was written yet."""
+def _stored(
+    spark: SparkSession, path: str, schema: T.StructType, written_since: datetime | None = None
+) -> DataFrame:
+    """The Parquet rows below a path, or of its files written since; none where nothing was written yet."""
     try:
-        return spark.read.schema(schema).parquet(path)
+        found = spark.read.schema(schema).parquet(path)
+        if written_since is None:
+            return found
+        # A condition on the file alone: older files are left out of the scan.
+        since = F.timestamp_seconds(F.lit(written_since.replace(tzinfo=UTC).timestamp()))
+        return found.where(F.col("_metadata.file_modification_time") >= since)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
@@ -48,14 +56,24 @@ class ChangeTable:
 
     newer_by names a column by which a change is newer than another; without it the one
     that came later is. The first change of a key gives the columns that aren't updated.
+    overlap is longer than any batch takes: files may become visible that much later than they were written.
     """
 
-    def __init__(self, spark: SparkSession, table: Table, root: str, newer_by: str | None = None) -> None:
+    def __init__(
+        self,
+        spark: SparkSession,
+        table: Table,
+        root: str,
+        newer_by: str | None = None,
+        overlap: timedelta = timedelta(days=1),
+    ) -> None:
         self.spark = spark
         self.table = table
         self.newer_by = newer_by
-        self.changes = f"{root.rstrip('/')}/{table.name}/changes"
-        self.snapshots = f"{root.rstrip('/')}/{table.name}/snapshots"
+        self.root = root.rstrip("/")
+        self.overlap = overlap
+        self.changes = f"{self.root}/{table.name}/changes"
+        self._state = replace(table, name=f"{table.name}/state")
         extra = [T.StructField(QUERY, T.StringType()), T.StructField(EPOCH, T.LongType())]
         self._change_schema = T.StructType([*table.schema.fields, *extra])
 
@@ -78,19 +96,23 @@ class ChangeTable:
         """All changes that were written, in the table's columns."""
         return _stored(self.spark, self.changes, self._change_schema).select(*self.table.schema.names)
 
-    def _all(self) -> DataFrame:
-        changes = _stored(self.spark, self.changes, self._change_schema)
-        kept = T.StructType([*self._change_schema.fields[:-2], T.StructField(UPTO, T.TimestampNTZType())])
-        snapshots = _stored(self.spark, self.snapshots, kept)
-        last = snapshots.agg(F.max(UPTO).alias("last"))
-        newest = snapshots.join(F.broadcast(last), F.col(UPTO) == F.col("last")).drop(UPTO, "last")  # one row
-        newest = newest.withColumns({QUERY: F.lit(""), EPOCH: F.lit(-1).cast("long")})
-        open_changes = changes.join(F.broadcast(last), F.col("last").isNull() | (F.col("updated_at") >= F.col("last"))).drop("last")
-        return newest.unionByName(open_changes)
+    def _read_from(self) -> DataFrame:
+        """The stored state and the changes that it may lack."""
+        version = latest_version(self.spark, self._state, self.root)
+        if version is None:
+            return _stored(self.spark, self.changes, self._change_schema)
+        since = datetime.strptime(version, _VERSION_FORMAT) - self.overlap
+        changes = _stored(self.spark, self.changes, self._change_schema, since)
+        state = read_latest(self.spark, self._state, self.root)
+        return state.withColumns({QUERY: F.lit(""), EPOCH: F.lit(-1).cast("long")}).unionByName(changes)
 
     def read(self) -> DataFrame:
-        """The state as of now; an empty table where nothing was written yet."""
-        return self._folded(self._all())
+        """The state as of now; an empty table where nothing was written yet.
+
+        Changes count by when their file was written, not by their own times, so a late run, or an
+        earlier one repeated under its old time, is never missed.
+        """
+        return self._folded(self._read_from())
 
     def _folded(self, changes: DataFrame) -> DataFrame:
         names = self.table.schema.names
@@ -114,22 +136,16 @@ class ChangeTable:
 
         return folded.select(*[column(name) for name in names])
 
-    def compact(self, upto: datetime | str) -> None:
-        """Writes a snapshot of the changes before `upto`, which must be older than any batch that still runs.
+    def refresh(self, whole: bool = False) -> None:
+        """Stores the state as a mart, on a schedule; readers then leave older changes out.
 
-        Readers take the newest snapshot and the changes since. Nothing is deleted: retention
-        may drop older snapshots and changes when no reader is left on them.
+        Folding a change twice changes nothing, so refreshes and batches may overlap. Rows that a
+        repeated batch no longer has stay in a stored state; `whole` folds all changes anew.
+        Retention may drop changes older than the version before last less the overlap.
         """
-        text = str(upto).replace(" ", "T")
-        old = self._all().where(F.col("updated_at") < F.lit(text).cast("timestamp_ntz"))
-        (
-            self._folded(old)
-            .withColumn(UPTO, F.lit(text).cast("timestamp_ntz"))
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(UPTO)
-            .parquet(self.snapshots)
-        )
+        began = datetime.now(UTC).replace(tzinfo=None)
+        all_changes = _stored(self.spark, self.changes, self._change_schema)
+        replace_table(self._folded(all_changes if whole else self._read_from()), self._state, self.root, began)
 
 
 # ---- tables kept by date ------------------------------------------------------
@@ -190,6 +206,7 @@ def append(
     writer.partitionBy(*by).parquet(f"{root.rstrip('/')}/{table.name}")
 
 
+_VERSION_FORMAT = "%Y-%m-%dT%H-%M-%S.%f"
 _VERSIONS = T.StructType([T.StructField(VERSION, T.StringType()), T.StructField("rows", T.LongType())])
 
 
@@ -199,7 +216,7 @@ def _version_text(version: date | datetime | str) -> str:
         version = datetime(version.year, version.month, version.day)
     if not isinstance(version, (datetime, str)):
         raise ValueError(f"a version is a date or a time, not {version!r}")
-    return datetime.fromisoformat(str(version)).strftime("%Y-%m-%dT%H-%M-%S.%f")
+    return datetime.fromisoformat(str(version)).strftime(_VERSION_FORMAT)
 
 
 def replace_table(rows: DataFrame, table: Table, root: str, version: date | datetime | str) -> None:
@@ -220,10 +237,16 @@ def replace_table(rows: DataFrame, table: Table, root: str, version: date | date
     writer.partitionBy(VERSION).parquet(f"{path}_VERSIONS")
 
 
+def latest_version(spark: SparkSession, table: Table, root: str) -> str | None:
+    """The text of the latest version that was written to its end; reads folder names alone."""
+    versions = _stored(spark, f"{root.rstrip('/')}/{table.name}_VERSIONS", _VERSIONS)
+    return versions.agg(F.max(VERSION)).first()[0]
+
+
 def read_latest(spark: SparkSession, table: Table, root: str) -> DataFrame:
     """The rows of the latest version; none where that one has none, or nothing was written yet."""
     path = f"{root.rstrip('/')}/{table.name}"
-    last = _stored(spark, f"{path}_VERSIONS", _VERSIONS).agg(F.max(VERSION)).first()[0]  # reads folder names alone
+    last = latest_version(spark, table, root)
     versioned = T.StructType([*table.schema.fields, T.StructField(VERSION, T.StringType())])
     stored = _stored(spark, path, versioned)
     return stored.where(F.col(VERSION) == F.lit(last)).select(*table.schema.names)

@@ -102,7 +102,7 @@ def test_a_repeated_epoch_replaces_itself(spark, tmp_path):
     write(batch("a"), 0)
     table = ChangeTable(spark, S.PLAYERS, root)
     assert [r.personaname for r in table.read().collect()] == ["a"]
-    assert table._all().count() == 1
+    assert table.changes_in().count() == 1
     write(batch("b"), 1)
     assert [r.personaname for r in table.read().collect()] == ["b"]
 
@@ -126,7 +126,7 @@ def test_a_new_checkpoint_over_existing_rows_loses_nothing(spark, tmp_path):
     second = run("two", "2024-02-02 00:00:00")
     table = ChangeTable(spark, S.PLAYERS, root)
     assert {r.steamid: r.personaname for r in table.read().collect()} == {"1": "a", "2": "b"}
-    assert {r["_query"] for r in table._all().collect()} == {first, second}
+    assert {r["_query"] for r in table._read_from().collect()} == {first, second}
 
 
 def test_samples_are_stored_once_and_the_latest_wins(spark, tmp_path):

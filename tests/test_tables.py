@@ -1,3 +1,4 @@
+import os
 from datetime import date, datetime
 
 import pytest
@@ -66,17 +67,63 @@ def test_a_batch_writes_its_own_rows_only(spark, tmp_path):
     assert table.read().where("text = 'b'").count() == 1000 and table.read().count() == 100_000
 
 
-def test_a_snapshot_changes_nothing_for_readers(spark, tmp_path):
+def aged(folder, days):
+    """Makes all files below look written some days ago."""
+    for p in folder.rglob("*.parquet"):
+        then = p.stat().st_mtime - days * 86400
+        os.utime(p, (then, then))
+
+
+def test_a_stored_state_changes_nothing_for_readers(spark, tmp_path):
     table = ChangeTable(spark, SMALL, str(tmp_path))
+    table.refresh()
+    assert content(table) == {}
     table.write(rows(spark, [(1, "a", 1), (2, "a", 1)]), ntz(NOW), "s", 0)
     reader = table.read()
-    table.compact(LATER)
+    table.refresh()
     table.write(rows(spark, [(2, "b", 2)]), ntz(LATER), "s", 1)
     assert content(table) == {1: "a", 2: "b"}
-    assert table._all().count() == 3
     assert {r["id"]: r["text"] for r in reader.collect()} == {1: "a", 2: "a"}
-    table.compact("2024-02-03 00:00:00")
-    assert content(table) == {1: "a", 2: "b"} and table._all().count() == 2
+    table.refresh()
+    row = table.read().where("id = 2").first()
+    assert content(table) == {1: "a", 2: "b"}
+    assert (str(row.inserted_at), str(row.updated_at)) == (NOW, LATER)
+
+
+def test_old_changes_are_left_out_of_the_scan(spark, tmp_path):
+    table = ChangeTable(spark, SMALL, str(tmp_path))
+    table.write(rows(spark, [(i, "a", 1) for i in range(20)]), ntz(NOW), "s", 0)
+    aged(tmp_path / "SMALL" / "changes", 3)
+    table.refresh()
+    table.write(rows(spark, [(2, "b", 2)]), ntz(LATER), "s", 1)
+    assert content(table) == dict.fromkeys(range(20), "a") | {2: "b"}
+    assert table._read_from().where("_epoch >= 0").count() == 1
+    plan = spark._jvm.PythonSQLUtils.explainString(table.read()._jdf.queryExecution(), "formatted")
+    assert "file_modification_time" in plan
+
+
+def test_a_late_or_repeated_run_is_seen(spark, tmp_path):
+    table = ChangeTable(spark, SMALL, str(tmp_path))
+    table.write(rows(spark, [(1, "a", 1)]), ntz(NOW), "run", 0)
+    table.write(rows(spark, [(5, "new", 1)]), ntz(LATER), "other", 0)
+    aged(tmp_path / "SMALL" / "changes", 3)
+    table.refresh()
+    table.write(rows(spark, [(1, "c", 1), (5, "old", 1)]), ntz(NOW), "run", 0)
+    table.write(rows(spark, [(7, "x", 1)]), ntz("2024-01-05 00:00:00"), "earlier", 0)
+    assert content(table) == {1: "c", 5: "new", 7: "x"}
+    table.refresh()
+    assert content(table) == {1: "c", 5: "new", 7: "x"}
+
+
+def test_a_whole_refresh_forgets_what_a_repeated_run_no_longer_has(spark, tmp_path):
+    table = ChangeTable(spark, SMALL, str(tmp_path))
+    table.write(rows(spark, [(1, "a", 1), (2, "a", 1)]), ntz(NOW), "run", 0)
+    table.refresh()
+    table.write(rows(spark, [(1, "b", 1)]), ntz(NOW), "run", 0)
+    table.refresh()
+    assert content(table) == {1: "b", 2: "a"}
+    table.refresh(whole=True)
+    assert content(table) == {1: "b"}
 
 
 def test_marts_are_replaced_as_a_whole(spark, tmp_path):
