@@ -1,4 +1,4 @@
-"""Table checks: freshness, row count and missing values from one scan per table."""
+"""Table checks: freshness, row count and missing values from one scan per table, or from none: during its write."""
 
 from __future__ import annotations
 
@@ -7,8 +7,9 @@ from dataclasses import dataclass
 from datetime import datetime
 from functools import reduce
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import AnalysisException, PySparkException
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ludolytics.functions import hours_between, ntz
@@ -34,34 +35,30 @@ def _stated(name: str, expected: Expectation) -> list:
     ]
 
 
-def table_facts(
-    df: DataFrame,
-    name: str,
-    expected: Expectation,
-    time_columns: Sequence[str] = TIME_COLUMNS,
-) -> DataFrame:
-    """One row: row count, latest time and missing values of the critical columns.
-
-    Only the time columns that the table has are read. A critical column that it
-    lacks is an error of that column alone.
-    """
-    times = [F.col(c) for c in time_columns if c in df.columns]
+def _measures(columns: Sequence[str], expected: Expectation, time_columns: Sequence[str]) -> list[Column]:
+    """Row count, latest time and missing values; only columns that the table has are read."""
+    times = [F.col(c) for c in time_columns if c in columns]
     last = F.max(F.coalesce(*times)) if times else F.lit(None)
-    present = [c for c in expected.critical_columns if c in df.columns]
-    counts = df.agg(
+    return [
         F.count(F.lit(1)).alias("row_count"),
         last.cast("timestamp_ntz").alias("last_update"),
-        *[F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in present],
-    )
-    nulls = [
-        F.struct(
-            F.lit(c).alias("column_name"),
-            (F.col(f"null_{c}") if c in present else F.lit(None)).cast("bigint").alias("null_count"),
-            F.lit(None if c in present else f"no column {c}").cast("string").alias("error"),
-        )
-        for c in expected.critical_columns
+        *[F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in expected.critical_columns if c in columns],
     ]
-    return counts.select(
+
+
+def _facts(measured: DataFrame, name: str, expected: Expectation) -> DataFrame:
+    """The measures of a table as its facts; a critical column that it lacks is an error of that column alone."""
+    nulls = []
+    for c in expected.critical_columns:
+        present = f"null_{c}" in measured.columns
+        nulls.append(
+            F.struct(
+                F.lit(c).alias("column_name"),
+                (F.col(f"null_{c}") if present else F.lit(None)).cast("bigint").alias("null_count"),
+                F.lit(None if present else f"no column {c}").cast("string").alias("error"),
+            )
+        )
+    return measured.select(
         *_stated(name, expected),
         "row_count",
         "last_update",
@@ -70,6 +67,38 @@ def table_facts(
     )
 
 
+def table_facts(
+    df: DataFrame,
+    name: str,
+    expected: Expectation,
+    time_columns: Sequence[str] = TIME_COLUMNS,
+) -> DataFrame:
+    """One row: row count, latest time and missing values of the critical columns."""
+    return _facts(df.agg(*_measures(df.columns, expected, time_columns)), name, expected)
+
+
+def checked_write(
+    rows: DataFrame,
+    name: str,
+    expected: Expectation,
+    write: Callable[[DataFrame], None],
+    time_columns: Sequence[str] = TIME_COLUMNS,
+) -> DataFrame:
+    """Writes rows and gives the facts of what was written, counted by the write itself.
+
+    `write` must run one job on all rows (an append, say): the first job that ends gives the counts.
+    A task that is run again counts once. A failed write raises.
+    """
+    seen = Observation()
+    write(rows.observe(seen, *_measures(rows.columns, expected, time_columns)))
+    types = {"row_count": "bigint", "last_update": "timestamp_ntz"}
+    values = seen.get
+    measured = rows.sparkSession.createDataFrame(
+        [tuple(values.values())], ", ".join(f"`{c}` {types.get(c, 'bigint')}" for c in values)
+    )
+    return _facts(measured, name, expected)
+
+
 def _unreadable(spark: SparkSession, name: str, expected: Expectation, error: str) -> DataFrame:
     failed = [
         F.struct(F.lit(c), F.lit(None).cast("bigint"), F.lit(error))
@@ -88,19 +117,34 @@ def collect_facts(
     spark: SparkSession,
     tables: Mapping[str, DataFrame | Callable[[], DataFrame]],
     expectations: Mapping[str, Expectation],
+    alone: bool = False,
 ) -> DataFrame:
-    """The facts of all tables. A table that cannot be opened gives a row with the error."""
+    """The facts of all tables. A table that cannot be opened gives a row with the error.
+
+    With `alone`, each table is scanned by a job of its own, here and now, so that one whose
+    files cannot be read gives a row with the error too, and the others their facts.
+    """
     rows = []
     for name, expected in expectations.items():
+        failures = (PySparkException, Py4JJavaError, KeyError) if alone else (AnalysisException, KeyError)
         try:
             table = tables[name]
-            df = table() if callable(table) else table
-            rows.append(table_facts(df, name, expected))
-        except (AnalysisException, KeyError) as failure:
-            rows.append(_unreadable(spark, name, expected, type(failure).__name__))
+            facts = table_facts(table() if callable(table) else table, name, expected)
+            if alone:
+                facts = spark.createDataFrame(facts.collect(), facts.schema)  # one row
+            rows.append(facts)
+        except failures as failure:
+            rows.append(_unreadable(spark, name, expected, _cause(failure)))
     return reduce(DataFrame.unionByName, rows)
 
 
+def _cause(failure: Exception) -> str:
+    """What an error row names: the class of the failure, or of the job's on the side of the JVM."""
+    if isinstance(failure, Py4JJavaError):
+        return failure.java_exception.getClass().getSimpleName()
+    return type(failure).__name__
+
+
 def age_in_hours(as_of: datetime | str) -> Column:
     return hours_between(F.col("last_update"), ntz(as_of))
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ludolytics.functions import clean_text, ntz
 from ludolytics.operators import checks
 from ludolytics.operators.publish import id_batches, key_of, publishable, to_messages
+from ludolytics.operators.sketches import distinct_counts, relative_error, sketches
 from ludolytics.operators.upsert import upsert
 from ludolytics.plans import dashboard, ingest, marts, quality, recommend, sentiment, views
 from ludolytics.sources import bindings as B
@@ -540,6 +541,18 @@ def q64_publish_given_games(spark, sf):
     return to_messages(rows, key_of("appid"), S.TOPICS["game_info"])
 
 
+@query
+def q65_distinct_games_by_sketch(spark, sf):
+    """Exact numbers of games per source, and whether the estimate from daily sketches is as near as it says."""
+    counts = B.game_player_counts(spark, sf)
+    daily = sketches(counts, ["source", F.to_date("fetched_at").alias("day")], "appid")
+    exact = counts.groupBy("source").agg(F.countDistinct("appid").alias("n_games"))
+    off = F.abs(F.col("n_distinct") - F.col("n_games"))
+    return exact.join(distinct_counts(daily, ["source"]), "source").select(
+        "source", "n_games", (off <= F.col("n_games") * relative_error()).alias("near")
+    )
+
+
 # ---- text -------------------------------------------------------------------------
 
 

@@ -69,3 +69,49 @@ def test_one_scan_per_table(spark, sf_dir):
     df = checks.table_facts(events, "EVENTS", expected, ["ts"])
     plan = df._sc._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "simple")
     assert plan.count("FileScan") == 1
+
+
+def test_a_damaged_file_is_an_error_of_its_table_alone(spark, tmp_path):
+    good, bad = str(tmp_path / "good"), str(tmp_path / "bad")
+    new = datetime(2024, 1, 9, 23)
+    rows = table(spark, [(i, None, new) for i in range(4)])
+    rows.write.parquet(good)
+    rows.write.parquet(bad)
+    for part in (tmp_path / "bad").glob("*.parquet"):
+        part.write_bytes(b"PAR1 but nothing else")
+        (tmp_path / "bad" / f".{part.name}.crc").unlink()
+    read = spark.read.schema(rows.schema).parquet
+    tables = {"GOOD": read(good), "BAD": read(bad)}
+    expected = checks.Expectation(2, 3, ("a",))
+    found = checks.collect_facts(spark, tables, dict.fromkeys(tables, expected), alone=True)
+    fresh = {r.table_name: r for r in checks.freshness(found, AS_OF).collect()}
+    assert {k: v.status for k, v in fresh.items()} == {"GOOD": "PASS", "BAD": "ERROR"}
+    assert fresh["BAD"].error
+    assert {r.status for r in checks.null_percentages(found).collect()} == {"PASS", "ERROR"}
+    assert quality.quality_report(found, AS_OF).first().overall_status == "DEGRADED"
+
+
+def test_facts_of_a_write_equal_those_of_a_scan(spark, tmp_path):
+    new = datetime(2024, 1, 9, 23)
+    expected = checks.Expectation(2, 3, ("a", "b"))
+    for n, data in enumerate(([(i, None, new) for i in range(8)] + [(None, new, None)], [])):
+        rows = table(spark, data)
+        path = str(tmp_path / str(n))
+        facts_written = checks.checked_write(rows, "T", expected, lambda df, to=path: df.write.parquet(to))
+        stored = spark.read.parquet(path)
+        assert stored.count() == len(data)
+        assert facts_written.collect() == checks.table_facts(stored, "T", expected).collect()
+
+
+def test_sketches_of_days_add_up(spark):
+    from ludolytics.operators.sketches import distinct_counts, relative_error, sketches
+
+    rows = spark.range(60_000).selectExpr("id % 3 AS tag", "id % 7 AS day", "id % 20000 AS player")
+    stored = sketches(rows, ["tag", "day"], "player")
+    assert stored.count() == 21
+    for r in distinct_counts(stored, ["tag"]).collect():
+        assert abs(r.n_distinct - 20_000) <= 20_000 * relative_error()
+    few = distinct_counts(stored.where("day < 0"), ["tag"])
+    assert few.count() == 0
+    empty = sketches(rows.selectExpr("tag", "CAST(NULL AS bigint) AS player"), ["tag"], "player")
+    assert {r.n_distinct for r in distinct_counts(empty, ["tag"]).collect()} == {0}
