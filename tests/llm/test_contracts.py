@@ -2,6 +2,7 @@
 
 import hashlib
 import itertools
+import math
 import random
 import re
 from collections import Counter, defaultdict
@@ -468,6 +469,44 @@ def test_scores_equal_a_plain_network(docs, none):
     assert lm.scores(none, empty).count() == 0 and sum(map(len, found.values())) == len(HARD)
 
 
+@pytest.mark.parametrize("known", [0, 3, 1 << 17])
+def test_rare_tokens_are_scored_as_themselves(docs, none, monkeypatch, known):
+    """Class and share by plain counts, with the counts joined, known in part, and all known."""
+    monkeypatch.setattr(lm, "KNOWN", known)
+    settings = lm.Settings(words=20, rounds=1, share=1.0)
+    classes = {k: v[0] for k, v in rows_of(lm.train_and_score(docs, settings=settings)).items()}
+    found = rows_of(lm.token_scores(docs, settings=settings))
+    counted = Counter(t for _, text, *_ in HARD for t in lm.tokens_of(text or ""))
+    frequent = {t for t, _ in sorted(counted.items(), key=lambda c: (-c[1], c[0]))[:20]}
+    sums = Counter()
+    for token, n in counted.items():
+        if token not in frequent:
+            sums[lm.rare_place(token)] += n
+    assert sum(map(len, found.values())) == len(HARD)
+    changed = 0
+    for doc_id in {d for d, *_ in HARD}:
+        texts = [text for d, text, *_ in HARD if d == doc_id]
+        if len(texts) > 1:
+            continue
+        rare = [t for t in lm.tokens_of(texts[0] or "") if t not in frequent]
+        shares = sum(math.log(counted[t] / sums[lm.rare_place(t)]) for t in rare)
+        row = found[doc_id][0]
+        assert row["n_tokens"] == classes[doc_id]["n_tokens"]
+        assert row["log_likelihood"] == pytest.approx(classes[doc_id]["log_likelihood"] + shares, abs=1e-5, rel=1e-9)
+        assert (row["mean_log_likelihood"] is None) == (not row["n_tokens"])
+        changed += bool(shares)
+    assert changed > 3 and lm.token_scores(none).count() == 0
+
+
+def test_words_of_equal_length_are_told_apart(spark):
+    """A word the corpus has often against one of the same class that it has once, beyond the vocabulary; copies keep their rows."""
+    texts = ["the often the", "the often the", "the often the", "the qxzvw the"]
+    docs = spark.createDataFrame([*enumerate(texts), (3, texts[3]), (None, texts[0])], "doc_id long, text string")
+    found = rows_of(lm.token_scores(docs, settings=lm.Settings(words=1)))
+    assert found[0][0]["log_likelihood"] - found[3][0]["log_likelihood"] == pytest.approx(math.log(4 / 2), abs=1e-6)
+    assert len(found[3]) == 2 and found[None][0]["log_likelihood"] == found[0][0]["log_likelihood"]
+
+
 def test_both_sides_help(spark):
     from ludolytics.llm.shared import table
 
