@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ludolytics.llm.components import components
-from ludolytics.llm.shared import keep
+from ludolytics.llm.shared import giving_back, keep
 
 WIDTH = 5
 #: Sums that the order of shingles comes from, and the slices they travel in; bits that tell wanted texts. None changes a result.
@@ -94,6 +94,7 @@ def sketch(found: np.ndarray) -> np.ndarray:
 def slot_sums(texts: DataFrame) -> np.ndarray:
     """How many shingles of all texts fall in each slot, up to 65,535 (uint16). A task counts a slot up to 255."""
 
+    @giving_back
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[bytes, int] = {}
         sums = np.zeros(SLOTS, np.uint8)
@@ -131,6 +132,7 @@ def _met(texts: DataFrame) -> DataFrame:
     """(key, sig, n, rest, first) of the prefix shingles that two texts or more have; first is the least member (sig, n, rest)."""
     counts = slot_sums(texts)
 
+    @giving_back
     def heads(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[bytes, int] = {}
         seen: set[int] = set()  # copies of a text are one in each task
@@ -162,6 +164,7 @@ def _of_wanted(texts: DataFrame, wanted: DataFrame, make: Callable[[np.ndarray],
         bits[row["k"]] = True
     marks = np.packbits(bits)
 
+    @giving_back
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = np.unpackbits(marks)
         known: dict[bytes, int] = {}

@@ -24,7 +24,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ludolytics.llm.shared import once
+from ludolytics.llm.shared import giving_back, once
 
 #: Marks a configuration at the start of a text, where no token stands before.
 START = -1
@@ -340,6 +340,7 @@ def round_trip(docs: DataFrame, vocabulary: str, pattern: str, id_col: str = "do
     chosen = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), *carry)
     kinds = ["doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string", *(f"`{f.name}` {f.dataType.simpleString()}" for f in chosen.schema.fields[2:])]
 
+    @giving_back
     def run(batches: Batches) -> Batches:
         encoder = encoder_for(vocabulary, pattern)
         token = encoder.machine.token

@@ -21,6 +21,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ludolytics.llm.shared import giving_back
+
 KINDS = ("email", "ip", "card", "phone")
 MAX_TOKENS = 16
 
@@ -374,6 +376,7 @@ def mask(docs: DataFrame, text_col: str = "text", field: Field | None = None) ->
     field = field or train()
     at = docs.columns.index(text_col)
 
+    @giving_back
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             masked = [None if text is None else mask_text(text, find(text, field)) for text in batch.column(at).to_pylist()]

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from ludolytics.llm import alike
 from ludolytics.llm.components import components
-from ludolytics.llm.shared import free_name, keep, with_rows
+from ludolytics.llm.shared import free_name, giving_back, keep, with_rows
 
 BITS = 64
 SEED = 42
@@ -223,6 +223,7 @@ def cover(fps: DataFrame, distance: int = 2) -> DataFrame:
 def _grouped(docs: DataFrame, id_col: str, text_col: str, width: int, distance: int, bucket: int, jaccard: bool, row_col: str | None = None) -> tuple[DataFrame, DataFrame]:
     """(row, doc_id, fp) of each row, and (fp, root, low): each fingerprint's group, and the least doc_id in it."""
 
+    @giving_back
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column(2).cast(pa.binary()).to_pylist()

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ludolytics.llm.shared import keep
+from ludolytics.llm.shared import giving_back, keep
 
 WORDS = re.compile(r"[^\W\d_]+")
 
@@ -139,6 +139,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     other = chosen.where(~is_held_out()).select("doc_id").distinct().orderBy(*by_hash).limit(settings.max_unlabelled)
     ids = toxic.withColumn("p", F.lit(1)).unionByName(other.withColumn("p", F.lit(0))).groupBy("doc_id").agg(F.max("p").alias("p"), F.max(1 - F.col("p")).alias("u"))
 
+    @giving_back
     def reduce_text(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = [sorted(terms_of(text)) for text in batch.column(3).to_pylist()]
@@ -195,6 +196,7 @@ def clean(docs: DataFrame, model: Model | None, text_col: str = "text", threshol
         return docs
     names, at = docs.columns, docs.columns.index(text_col)
 
+    @giving_back
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             yield batch.filter(pa.array([model.score(text) < threshold for text in batch.column(at).to_pylist()], pa.bool_()))

@@ -1,8 +1,9 @@
 """What a task gives back when it ends."""
 
 import public_tokenizers
+import pyarrow as pa
 
-from ludolytics.llm import bpe
+from ludolytics.llm import bpe, pii, toxicity
 
 
 def test_an_encoder_gives_back_what_it_remembers():
@@ -13,3 +14,31 @@ def test_an_encoder_gives_back_what_it_remembers():
     encoder.release()
     assert not encoder._words and not encoder.machine._pairs and len(encoder.machine._states) == 1
     assert [encoder(text) for text in texts] == first
+
+
+class Rows:
+    """Stands for a table; its tasks' function is what comes back."""
+
+    columns, schema = ["doc_id", "text"], None
+
+    def select(self, names):
+        return self
+
+    def mapInArrow(self, run, schema):
+        return run
+
+
+def test_tasks_give_back_what_arrow_holds(monkeypatch):
+    class Pool:
+        released = 0
+
+        def release_unused(self):
+            Pool.released += 1
+
+    batch = pa.RecordBatch.from_pydict({"doc_id": [1, 2], "text": [None, None]}, pa.schema([("doc_id", pa.int64()), ("text", pa.string())]))
+    stages = [pii.mask(Rows(), field=object()), toxicity.clean(Rows(), toxicity.Model({}, -9.0))]
+    monkeypatch.setattr(pa, "default_memory_pool", Pool)
+    for k, run in enumerate(stages):
+        found = run(iter([batch, batch]))
+        assert next(found).equals(batch) and Pool.released == k
+        assert [b.equals(batch) for b in found] == [True] and Pool.released == k + 1
