@@ -7,11 +7,13 @@ come first, so passages that many texts share stay out of these prefixes unless
 Where two sets meet first, what they can share is bounded by what each has from there on (`rest`), so
 most pairs of one shingle are ruled out by two numbers before they exist.
 
-The members of a prefix shingle are compared with its least one first, and what that joins is one
-group; then members of different groups are compared, so no pair that matters is left out. These carry
-a sketch of PARITIES bits: sets differ in no fewer shingles than their sketches in bits, which rules out
-most pairs that share a prefix without being alike. Whole sets travel only for pairs that may be alike, once for
-each partner that several have.
+The members of a prefix shingle are compared with its first one first, the one with fewest rarer shingles: of a
+text and its near copies that is the text itself or a copy with few changes, which most others are alike.
+What that joins is one group; then members of different groups are compared, so no pair that matters is left out. The
+largest group of a shingle is never compared with itself, and members that the sizes and rests of all its
+members rule out don't travel. Those left carry a sketch of PARITIES bits: sets differ in no fewer shingles than
+their sketches in bits, which rules out most pairs that share a prefix without being alike. Whole sets travel only for pairs
+that may be alike, once for each partner that several have.
 """
 
 from __future__ import annotations
@@ -129,7 +131,7 @@ def slot_sums(texts: DataFrame) -> np.ndarray:
 
 
 def _met(texts: DataFrame) -> DataFrame:
-    """(key, sig, n, rest, first) of the prefix shingles that two texts or more have; first is the least member (sig, n, rest)."""
+    """(key, sig, n, rest, first) of the prefix shingles that two texts or more have; first is the member (place, sig, n) that has it in the first place."""
     counts = slot_sums(texts)
 
     @giving_back
@@ -153,8 +155,9 @@ def _met(texts: DataFrame) -> DataFrame:
 
     index = texts.mapInArrow(heads, "key long, sig long, n long, rest long")
     of_key = Window.partitionBy("key")
-    first = F.min(F.struct("sig", "n", "rest")).over(of_key)
-    return keep(index.select("*", first.alias("first"), F.max("sig").over(of_key).alias("last")).where("first.sig != last").drop("last"))
+    first = F.min(F.struct((F.col("n") - F.col("rest")).alias("place"), "sig", "n")).over(of_key)
+    ends = [F.min("sig").over(of_key).alias("low"), F.max("sig").over(of_key).alias("high")]
+    return keep(index.select("*", first.alias("first"), *ends).where("low != high").drop("low", "high"))
 
 
 def _of_wanted(texts: DataFrame, wanted: DataFrame, make: Callable[[np.ndarray], bytes]) -> DataFrame:
@@ -208,27 +211,32 @@ def _verified(texts: DataFrame, pairs: DataFrame) -> DataFrame:
     return keep(met.groupBy("u", "task").applyInArrow(compare, "u long, v long"))
 
 
+def _to_compare(met: DataFrame, groups: DataFrame) -> DataFrame:
+    """(key, sig, n, rest, group, inside): the members that may be alike one of another group; inside are those of the key's largest group."""
+    rows = met.join(groups, met["sig"] == groups["node"], "left").select("key", "sig", "n", "rest", F.coalesce("root", "sig").alias("group"))
+    sizes = rows.groupBy("key", "group").agg(F.count("*").alias("size"), F.min("n").alias("n"), F.max("rest").alias("rest"))
+    held = sizes.groupBy("key").agg(F.max(F.struct("size", "group"))["group"].alias("large"), F.count("*").alias("groups"), F.min("n").alias("least"), F.max("rest").alias("most"))
+    share = 9 * F.least("rest", "most")
+    able = (share >= 4 * (F.col("n") + F.col("least"))) & (5 * share >= 36 * F.col("n"))  # no partner has fewer than `least`, or 4 in 5 of n
+    rows = rows.join(held.where("groups > 1"), "key").where(able)
+    rows = keep(rows.select("key", "sig", "n", "rest", "group", (F.col("group") == F.col("large")).alias("inside")).distinct())
+    several = rows.groupBy("key").agg(F.min("group").alias("low"), F.max("group").alias("high")).where("low != high")
+    return rows.join(several, "key", "left_semi")
+
+
 def links(texts: DataFrame) -> DataFrame:
     """(u, v), signatures: enough links of alike texts to connect all that are alike. `texts` has one column, text."""
     met = _met(texts)
-    close = may_be_alike(F.col("n"), F.col("first.n"), F.col("rest"), F.col("first.rest"))
+    close = may_be_alike(F.col("n"), F.col("first.n"), F.col("rest"), F.col("first.n") - F.col("first.place"))
     star = keep(met.where((F.col("sig") != F.col("first.sig")) & close).select(F.col("first.sig").alias("u"), F.col("sig").alias("v")).distinct())
     joined = _verified(texts, star)
-    groups = components(joined)
-    rows = met.join(groups, met["sig"] == groups["node"], "left").select("key", "sig", "n", "rest", F.coalesce("root", "sig").alias("group"))
-    held = rows.groupBy("key", "group").agg(F.min("n").alias("least"), F.max("n").alias("most"), F.max("rest").alias("rest"))
-    held = keep(held.withColumn("groups", F.count("*").over(Window.partitionBy("key"))).where("groups > 1").drop("groups"))
-    rows = keep(rows.join(held.select("key", "group"), ["key", "group"], "left_semi"))
-    rows = keep(_sketched(texts, rows))
+    rows = keep(_sketched(texts, _to_compare(met, components(joined))))
     drawn = [f"s{k}" for k in range(PARITIES // 64)]
-    one = held.select("key", F.col("group").alias("g"), F.col("least").alias("a"), F.col("most").alias("b"), F.col("rest").alias("r"))
-    two = held.select("key", F.col("group").alias("h"), F.col("least").alias("c"), F.col("most").alias("d"), F.col("rest").alias("s"))
-    may_meet = (F.col("g") < F.col("h")) & (9 * F.least("r", "s") >= 4 * (F.col("a") + F.col("c"))) & (5 * F.col("b") >= 4 * F.col("c")) & (5 * F.col("d") >= 4 * F.col("a"))
-    pairs = one.join(two, "key").where(may_meet).select("key", "g", "h")
-    left = rows.select("key", F.col("group").alias("g"), F.col("sig").alias("u"), F.col("n").alias("nu"), F.col("rest").alias("ru"), *[F.col(c).alias(f"u{c}") for c in drawn])
-    right = rows.select("key", F.col("group").alias("h"), F.col("sig").alias("v"), F.col("n").alias("nv"), F.col("rest").alias("rv"), *[F.col(c).alias(f"v{c}") for c in drawn])
+    left = rows.where("NOT inside").select("key", F.col("group").alias("g"), F.col("sig").alias("u"), F.col("n").alias("nu"), F.col("rest").alias("ru"), *[F.col(c).alias(f"u{c}") for c in drawn])
+    right = rows.select("key", F.col("group").alias("h"), F.col("sig").alias("v"), F.col("n").alias("nv"), F.col("rest").alias("rv"), "inside", *[F.col(c).alias(f"v{c}") for c in drawn])
     apart = sum((F.bit_count(F.col(f"u{c}").bitwiseXOR(F.col(f"v{c}"))) for c in drawn[1:]), F.bit_count(F.col("us0").bitwiseXOR(F.col("vs0"))))
     close = may_be_alike(F.col("nu"), F.col("nv"), F.col("ru"), F.col("rv")) & (9 * apart <= F.col("nu") + F.col("nv"))
-    across = pairs.join(left, ["key", "g"]).join(right, ["key", "h"]).where(close)
-    across = across.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct().join(star, ["u", "v"], "left_anti")
+    across = left.join(right, "key").where((F.col("g") != F.col("h")) & (F.col("inside") | (F.col("u") < F.col("v"))) & close)
+    ends = [F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")]
+    across = across.select(*ends).distinct().join(star.select(*ends), ["u", "v"], "left_anti")
     return joined.unionByName(_verified(texts, keep(across)))

@@ -45,6 +45,40 @@ def test_stage_drops_alike_texts_that_fingerprints_miss(spark):
     assert missed > 5 and sorted(r.doc_id for r in kept.collect()) == sorted(set(group.values()))
 
 
+def test_copies_of_one_text_meet_few_others(spark, monkeypatch):
+    """Copies alike their text, but often not each other: compared with it, hardly a pair is left; all alike are still connected."""
+    rng = random.Random(11)
+    base = [f"b{rng.randrange(10**6)}" for _ in range(150)]
+    texts = [" ".join(base)]
+    for _ in range(80):
+        copy = list(base)
+        for _ in range(rng.choice([1, 2, 2, 3, 3, 6])):
+            copy[rng.randrange(len(copy))] = f"n{rng.randrange(10**6)}"
+        texts.append(" ".join(copy))
+    compared, verified = [], alike._verified
+
+    def counting(given, pairs):
+        compared.append(pairs.count())
+        return verified(given, pairs)
+
+    monkeypatch.setattr(alike, "_verified", counting)
+    found = alike.links(spark.createDataFrame([(t,) for t in [*texts, *texts[:9]]], "text string").repartition(3)).collect()
+    known: dict[bytes, int] = {}
+    sets = {alike.signature(w): alike.shingles(w, known) for w in (alike.words_of(t.encode()) for t in texts)}
+    near = [(u, v) for u, v in itertools.combinations(sets, 2) if alike.alike(sets[u], sets[v])]
+    assert all(alike.alike(sets[r.u], sets[r.v]) for r in found)
+
+    def parts(pairs):
+        group = {s: s for s in sets}
+        for u, v in pairs:
+            low, high = sorted((group[u], group[v]))
+            group = {s: low if g == high else g for s, g in group.items()}
+        return group
+
+    assert parts(near) == parts([(r.u, r.v) for r in found])
+    assert len(near) > 300 and compared[0] < 120 and compared[1] < 5
+
+
 def test_prefixes_of_alike_sets_meet():
     rng = random.Random(9)
     counts = np.random.default_rng(9).integers(0, 4, alike.SLOTS).astype(np.uint16)
