@@ -11,18 +11,34 @@ and n_chars go through as they are, whatever their names.
 
 from __future__ import annotations
 
+import functools
 import uuid
+from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ludolytics.llm import bpe, mixing, pii, simhash, toxicity
-from ludolytics.llm.shared import free_name, shared_folder, table, with_rows
+from ludolytics.llm.shared import SENT_ROWS, free_name, shared_folder, table, with_rows
 
 ORACLE_SQL = None
 
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
+
+def in_small_batches(stage: Stage) -> Stage:
+    """The stage, run on its own or by `run`, with few rows at once on their way to Python: a whole partition in one batch is held by both sides at the same time."""
+
+    @functools.wraps(stage)
+    def set_first(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(SENT_ROWS))
+        return stage(spark, docs, sf_dir)
+
+    return set_first
+
+
+@in_small_batches
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents that a model, trained on them and the labels, does not take for toxic.
 
@@ -32,6 +48,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return toxicity.clean(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
 
 
+@in_small_batches
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each near-duplicate group: fingerprints within two bits, or five-word shingles alike by 0.8 or more.
 
@@ -41,6 +58,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     return simhash.first_rows(docs)
 
 
+@in_small_batches
 def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with personal data replaced by its kind, and their new lengths; a null text stays null."""
     return pii.mask(docs).withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
@@ -57,6 +75,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return mixed.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
 
 
+@in_small_batches
 def encode_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, source, n_tokens, ids_sha256, decoded_sha256 of each row of the mix; a null text has no tokens."""
     done = bpe.round_trip(docs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN, carry=("source",))
@@ -75,7 +94,6 @@ STAGES = [
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = shared_folder(spark)
     folder = f"{root.rstrip('/')}/corpus-{uuid.uuid4()}"
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
     docs = table(spark, sf_dir, "documents")
     for k, (_, stage) in enumerate(STAGES):
         stage(spark, docs, sf_dir).write.parquet(f"{folder}/{k}")

@@ -24,7 +24,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ludolytics.llm.shared import giving_back, once
+from ludolytics.llm.shared import giving_back, once, pieces
 
 #: Marks a configuration at the start of a text, where no token stands before.
 START = -1
@@ -286,9 +286,9 @@ def encoder_for(vocabulary: str, pattern: str) -> Encoder:
 
 
 def encode_batches(batches: Batches, encoder: Encoder) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
-    """Each batch with the packed tokens of its second column; what the encoder remembers is given back at the end of the task."""
+    """The batches in pieces, each with the packed tokens of its second column; what the encoder remembers is given back at the end of the task."""
     try:
-        for batch in batches:
+        for batch in pieces(batches):
             yield batch, [encoder(text or "") for text in batch.column(1).to_pylist()]
     finally:
         encoder.release()
